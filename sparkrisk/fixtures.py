@@ -8,6 +8,7 @@ the parquet scans: Catalyst prunes the columns each query needs and pushes filte
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -66,7 +67,8 @@ def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 def fx_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, ("lineitem", "orders", "customer", "nation", "region"))
-    return spark.sql(FX_INSPECTIONS_SQL)
+    # date_trunc gives a session-zoned timestamp; keep wall-clock time like the source.
+    return spark.sql(FX_INSPECTIONS_SQL).withColumn("issdttm", F.col("issdttm").cast("timestamp_ntz"))
 
 
 def fx_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
