@@ -1,3 +1,132 @@
-"""Checked queries (filled in below)."""
+"""Checked queries for scans, sinks and paged ingest.
 
-from sparkrisk.plans.registry import query  # noqa: F401
+Each query writes to a fresh folder under the shared checkpoint folder and reads back, so
+the check covers the round trip.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import types as T
+
+from sparkrisk import fixtures as FX
+from sparkrisk.plans import q_history as QH
+from sparkrisk.plans.registry import query
+from sparkrisk.plans.sql import CTE_HISTORY
+from sparkrisk.schemas import HISTORY
+from sparkrisk.session import shared_dir
+from sparkrisk.sources import pages as PG
+from sparkrisk.sources import tables as TB
+from sparkrisk.streaming.ingest import ingest_stream
+
+INS = f"WITH {FX.CTE_INSPECTIONS} "
+PAGE_LIMIT = 5000
+
+# Records as text (the API's form), except the numeric id.
+TEXT_COLUMNS = ["property_id", "resultdttm", "issdttm", "resultdttm_raw", "state", "location", "licensecat",
+                "descript", "city", "zip", "result", "violstatus", "viollevel"]
+RECORD_SCHEMA = T.StructType([T.StructField("_id", T.LongType())] + [T.StructField(c, T.StringType()) for c in TEXT_COLUMNS])
+TEXT_SQL = ", ".join(["_id"] + [f"CAST({c} AS VARCHAR) AS {c}" for c in TEXT_COLUMNS])
+TYPED_SQL = ", ".join(
+    ["_id"] + [c if c in ("resultdttm", "issdttm") else f"CAST({c} AS VARCHAR) AS {c}" for c in TEXT_COLUMNS]
+)
+
+
+def _name(prefix):
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def _landed_pages(spark, sf_dir):
+    path = shared_dir(spark, "pages")
+    PG.write_pages(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), path, PAGE_LIMIT)
+    return path
+
+
+@query("S1_empty_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s1_empty_table(spark, sf_dir):
+    """Start from an empty table of the history schema and append the history to it."""
+    empty = TB.empty_table(spark, HISTORY)
+    return empty.unionByName(QH.history(spark, sf_dir))
+
+
+@query(
+    "S2_page_plan",
+    INS + f"SELECT CAST(p AS BIGINT) AS page, CAST(p * {PAGE_LIMIT} AS BIGINT) AS offset, {PAGE_LIMIT} AS limit "
+    f"FROM (SELECT unnest(range(0, CAST(ceil(count(*) / {PAGE_LIMIT}.0) AS BIGINT))) AS p FROM fx_inspections)",
+)
+def s2_page_plan(spark, sf_dir):
+    return PG.page_plan(FX.fx_inspections(spark, sf_dir), PAGE_LIMIT)
+
+
+@query("S3_read_pages", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
+def s3_read_pages(spark, sf_dir):
+    return PG.read_pages(spark, _landed_pages(spark, sf_dir), RECORD_SCHEMA)
+
+
+@query("S4_conform", INS + f"SELECT CAST(_id AS INTEGER) AS _id, {', '.join(TEXT_COLUMNS[:4])}, "
+       "CAST(NULL AS VARCHAR) AS businessname FROM (SELECT " + TEXT_SQL + " FROM fx_inspections)")
+def s4_conform(spark, sf_dir):
+    target = T.StructType.fromDDL(
+        "_id INT, property_id STRING, resultdttm STRING, issdttm STRING, resultdttm_raw STRING, businessname STRING"
+    )
+    return PG.conform(PG.read_pages(spark, _landed_pages(spark, sf_dir), RECORD_SCHEMA), target)
+
+
+@query("S5_read_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s5_read_table(spark, sf_dir):
+    path = TB.write_parquet(QH.history(spark, sf_dir), shared_dir(spark, "history"))
+    return TB.read_table(spark, path)
+
+
+@query("S6_scan_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s6_scan_table(spark, sf_dir):
+    name = TB.write_table(QH.history(spark, sf_dir), _name("inspections_historic"), shared_dir(spark, "history"))
+    return TB.scan_table(spark, name)
+
+
+@query("S7_read_csv", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s7_read_csv(spark, sf_dir):
+    path = TB.write_csv(QH.history(spark, sf_dir), shared_dir(spark, "train_data"))
+    return TB.read_csv(spark, path, sep=";", schema=HISTORY)
+
+
+@query("S8_write_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s8_write_table(spark, sf_dir):
+    name = TB.write_table(QH.history(spark, sf_dir), _name("inspections_historic"), shared_dir(spark, "history"), files=1)
+    return spark.table(name)
+
+
+@query("S9_managed_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s9_managed_table(spark, sf_dir):
+    db = _name("sparkrisk")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_dir(spark, 'warehouse')}'")
+    name = TB.write_table(QH.history(spark, sf_dir), f"{db}.predict")
+    return spark.table(name)
+
+
+@query("S10_write_csv", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
+def s10_write_csv(spark, sf_dir):
+    path = TB.write_csv(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "csv"))
+    return TB.read_csv(spark, path, schema=RECORD_SCHEMA)
+
+
+@query("S11_file_count", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
+def s11_file_count(spark, sf_dir):
+    path = TB.write_parquet(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "files"), files=10)
+    return TB.read_table(spark, path)
+
+
+@query("C1_ingest", INS + f"SELECT {TYPED_SQL} FROM fx_inspections")
+def c1_ingest(spark, sf_dir):
+    pages = _landed_pages(spark, sf_dir)
+    return PG.ingest(spark, pages, RECORD_SCHEMA, ["resultdttm", "issdttm"], _name("inspections"),
+                     shared_dir(spark, "inspections"), files=10)
+
+
+@query("C1_ingest_stream", INS + f"SELECT {TYPED_SQL} FROM fx_inspections")
+def c1_ingest_stream(spark, sf_dir):
+    pages = _landed_pages(spark, sf_dir)
+    sink = shared_dir(spark, "inspections-stream")
+    ingest_stream(spark, pages, RECORD_SCHEMA, ["resultdttm", "issdttm"], sink)
+    return TB.read_table(spark, sink)
