@@ -50,6 +50,7 @@ def ordered_window(
     row_number: str | None = None,
     lags: Mapping[str, str] | None = None,
     group_sums: Mapping[str, str] | None = None,
+    running_sums: Mapping[str, str] | None = None,
     strategy: str = "range",
     num_partitions: int | None = None,
     null_time_sum=None,
@@ -61,14 +62,17 @@ def ordered_window(
     - ``group_sums``: ``{out: src}``, sum of ``src`` over rows with the same (key, time),
       computed before the lags, so a lag may read a group sum. A null time forms no group
       and gives ``null_time_sum``.
+    - ``running_sums``: ``{out: src}``, sum of ``src`` over the key's rows up to and
+      including this one (a prefix sum; with a constant key, a global one).
 
     The order is ``time`` then ``ties``, all ascending with nulls first. Rows with a null
     key form one group, as in a SQL window.
     """
     lags = dict(lags or {})
     group_sums = dict(group_sums or {})
+    running = dict(running_sums or {})
     if strategy == "hash":
-        return _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum)
+        return _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, running)
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -77,21 +81,24 @@ def ordered_window(
     ranged = df.repartitionByRange(n, F.col(key).asc_nulls_first(), F.col(time).asc_nulls_first())
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
 
-    local = _hash_window(ranged, key, time, ties, _LRN, lags, group_sums, null_time_sum, part=[_PID])
-    if not lags and row_number is None:
+    local = _hash_window(ranged, key, time, ties, _LRN, lags, group_sums, null_time_sum, running, part=[_PID])
+    if not lags and not running and row_number is None:
         return local.drop(_PID, _LRN)
     local = materialize(local)
 
     # Per (partition, key): rows and the lag sources of the last row.
     srcs = sorted(set(lags.values()))
     last = F.max_by(F.struct(*[F.col(c) for c in srcs]), F.col(_LRN)) if srcs else F.lit(None)
-    summary = local.groupBy(_PID, key).agg(F.count(F.lit(1)).alias("__seq_cnt"), last.alias("__seq_last"))
+    sums = [F.sum(F.col(src)).alias(f"__seq_s{i}") for i, src in enumerate(running.values())]
+    summary = local.groupBy(_PID, key).agg(F.count(F.lit(1)).alias("__seq_cnt"), last.alias("__seq_last"), *sums)
     by_part = Window.partitionBy(key).orderBy(_PID)
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         _PID,
         F.col(key).alias("__seq_key"),
-        F.sum("__seq_cnt").over(by_part.rowsBetween(Window.unboundedPreceding, -1)).alias("__seq_off"),
+        F.sum("__seq_cnt").over(before).alias("__seq_off"),
         F.lag("__seq_last").over(by_part).alias("__seq_prev"),
+        *[F.sum(f"__seq_s{i}").over(before).alias(f"__seq_o{i}") for i in range(len(running))],
     ).filter(F.col("__seq_off").isNotNull())
     # At most one continuing key per partition: bounded by the partition count.
     corr = F.broadcast(summary)
@@ -103,13 +110,15 @@ def ordered_window(
     cols = {}
     for out, src in lags.items():
         cols[out] = F.when(first, F.col("__seq_prev").getField(src)).otherwise(F.col(out))
+    for i, out in enumerate(running):
+        cols[out] = F.col(out) + F.coalesce(F.col(f"__seq_o{i}"), F.lit(0))
     if row_number is not None:
         cols[row_number] = (F.col(_LRN) + F.coalesce(F.col("__seq_off"), F.lit(0))).cast("int")
     out = joined.withColumns(cols)
-    return out.drop(_PID, _LRN, "__seq_key", "__seq_off", "__seq_prev")
+    return out.drop(_PID, _LRN, "__seq_key", "__seq_off", "__seq_prev", *[f"__seq_o{i}" for i in range(len(running))])
 
 
-def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, part=()):
+def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, running=None, part=()):
     w = Window.partitionBy(*part, key).orderBy(*_order(time, ties))
     if group_sums:
         g = Window.partitionBy(*part, key, time)
@@ -120,6 +129,8 @@ def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_su
             }
         )
     cols = {o: F.lag(F.col(s)).over(w) for o, s in lags.items()}
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols.update({o: F.sum(F.col(s)).over(upto) for o, s in (running or {}).items()})
     if row_number is not None:
         cols[row_number] = F.row_number().over(w)
     return df.withColumns(cols) if cols else df

@@ -1,3 +1,253 @@
-"""Checked queries (filled in below)."""
+"""Checked queries for splits, encoders, models and evaluation.
 
-from sparkrisk.plans.registry import query  # noqa: F401
+Learned models have no SQL twin: those queries get the driver's rows-only check, and the
+properties in tests/ (probabilities in [0, 1], save/load equality, same seed same scores).
+Everything SQL can restate (split, indexes, one-hot slots, assembled vectors, ROC, AUC,
+accuracy) has an oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from sparkrisk import fixtures as FX
+from sparkrisk.ml import evaluate as EV
+from sparkrisk.ml import model as MD
+from sparkrisk.ml import text_model as TM
+from sparkrisk.operators import text as TX
+from sparkrisk.plans import q_history as QH
+from sparkrisk.plans.registry import query
+from sparkrisk.plans.sql import CTE_FEATURES, CTE_HISTORY
+from sparkrisk.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from sparkrisk.session import shared_dir
+
+CATS = list(CATEGORICAL_FEATURES)
+
+
+def _training(spark, sf_dir):
+    return MD.training_frame(QH.history(spark, sf_dir))
+
+
+def _encoding_model(spark, sf_dir):
+    stages = []
+    for ix, enc in zip(MD.indexers(), MD.encoders()):
+        stages += [ix, enc]
+    return Pipeline(stages=[*stages, MD.assembler()]).fit(_training(spark, sf_dir))
+
+
+# SQL: training rows as the model sees them, and per-column index tables.
+CTE_TRAIN = CTE_FEATURES + """,
+train AS (SELECT licensecat, descript, city, coalesce(zip, '02116') AS zip FROM hist)"""
+
+
+def _cte_index(c):
+    return (f"idx_{c} AS (SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS INTEGER) AS idx "
+            f"FROM (SELECT {c} AS value, count(*) AS n FROM train WHERE {c} IS NOT NULL GROUP BY {c}))")
+
+
+CTE_INDEXES = CTE_TRAIN + ",\n" + ",\n".join(_cte_index(c) for c in CATS)
+
+
+@query(
+    "M1_hash_split",
+    "SELECT o_orderkey, substr(md5(CAST(o_orderkey AS VARCHAR) || '1407'), 1, 4) < 'e666' AS is_train FROM orders",
+)
+def m1_hash_split(spark, sf_dir):
+    orders = FX.table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", EV.split_column("o_orderkey", EV.TRAIN_SHARE, EV.SPLIT_SEED).alias("is_train"))
+
+
+@query(
+    "M2_string_index",
+    f"WITH {CTE_INDEXES} SELECT value, CAST(idx AS DOUBLE) AS index FROM idx_city",
+)
+def m2_string_index(spark, sf_dir):
+    return MD.string_index(_training(spark, sf_dir), "city")
+
+
+@query(
+    "M2_string_indexer_model",
+    f"WITH {CTE_INDEXES} SELECT value, CAST(idx AS DOUBLE) AS index FROM idx_city",
+)
+def m2_string_indexer_model(spark, sf_dir):
+    """The fitted MLlib indexer's labels, as (value, index)."""
+    model = MD.indexers(["city"])[0].fit(_training(spark, sf_dir))
+    rows = [(v, float(i)) for i, v in enumerate(model.labelsArray[0])]
+    return spark.createDataFrame(rows, "value string, index double")
+
+
+@query(
+    "M3_one_hot",
+    f"WITH {CTE_INDEXES} "
+    + " UNION ALL ".join(
+        f"SELECT f._id, '{c}' AS feature, ix.idx AS slot, 1.0 AS value FROM feat f JOIN idx_{c} ix ON f.{c} = ix.value"
+        for c in CATS
+    ),
+)
+def m3_one_hot(spark, sf_dir):
+    scored = _encoding_model(spark, sf_dir).transform(QH.features(spark, sf_dir))
+    parts = [MD.slots_long(scored, "_id", f"{c}Vec").withColumn("feature", F.lit(c)) for c in CATS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("_id", "feature", "slot", "value")
+
+
+def _assemble_sql():
+    sizes = {c: f"(SELECT count(*) FROM idx_{c})" for c in CATS}
+    offs, acc = {}, "4"
+    for c in CATS:
+        offs[c] = acc
+        acc = f"{acc} + {sizes[c]}"
+    num = " UNION ALL ".join(
+        f"SELECT _id, {i} AS slot, CAST({c} AS DOUBLE) AS value FROM feat WHERE {c} <> 0"
+        for i, c in enumerate(NUMERIC_FEATURES)
+    )
+    cat = " UNION ALL ".join(
+        f"SELECT f._id, CAST({offs[c]} + ix.idx AS INTEGER) AS slot, 1.0 AS value FROM feat f "
+        f"JOIN idx_{c} ix ON f.{c} = ix.value"
+        for c in CATS
+    )
+    return f"WITH {CTE_INDEXES} {num} UNION ALL {cat}"
+
+
+@query("M5_assemble", _assemble_sql())
+def m5_assemble(spark, sf_dir):
+    scored = _encoding_model(spark, sf_dir).transform(QH.features(spark, sf_dir))
+    return MD.slots_long(scored, "_id", "features")
+
+
+def _labelled_docs(spark, sf_dir):
+    return TX.labelled_text(FX.table(spark, sf_dir, "documents"), FX.table(spark, sf_dir, "labels"))
+
+
+_AUC_SQL = """WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, l.quality AS y
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM s)
+SELECT (sum(rk) FILTER (WHERE y = 1) - count(*) FILTER (WHERE y = 1) * (count(*) FILTER (WHERE y = 1) + 1) / 2.0)
+       / (count(*) FILTER (WHERE y = 1) * count(*) FILTER (WHERE y = 0)) AS auc FROM r"""
+
+
+@query("M9_auc", _AUC_SQL)
+def m9_auc(spark, sf_dir):
+    return EV.auc(_labelled_docs(spark, sf_dir), "n_chars", "quality")
+
+
+@query(
+    "M10_roc_curve",
+    """WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, CAST(l.quality AS DOUBLE) AS y
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+g AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score),
+c AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+  FROM g WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT score, fp / n, tp / p FROM c""",
+)
+def m10_roc_curve(spark, sf_dir):
+    return EV.roc_curve(_labelled_docs(spark, sf_dir), "n_chars", "quality")
+
+
+_RULE = "CASE WHEN last_viol_fail > 0 AND last_viol_fail <> 99999999 THEN 1 ELSE 0 END"
+
+
+@query(
+    "M11_accuracy",
+    f"WITH {CTE_HISTORY} SELECT avg(CAST(({_RULE}) = fail AS DOUBLE)) AS accuracy FROM hist "
+    "WHERE NOT (substr(md5(concat_ws('|', property_id, CAST(resultdttm AS VARCHAR)) || '1407'), 1, 4) < 'e666')",
+)
+def m11_accuracy(spark, sf_dir):
+    """Accuracy of the rule 'failed last time' on the held-out side of the split."""
+    h = QH.history(spark, sf_dir).withColumn("__key", F.concat_ws("|", "property_id", F.col("resultdttm").cast("string")))
+    _, test = EV.hash_split(h, "__key")
+    pred = F.when((F.col("last_viol_fail") > 0) & (F.col("last_viol_fail") != 99999999), 1).otherwise(0)
+    return EV.accuracy(test.withColumn("pred", pred), "pred", "fail")
+
+
+# --- learned models: rows-only checks -------------------------------------------------
+
+def _trained(spark, sf_dir, kind="forest"):
+    return MD.train_risk(QH.history(spark, sf_dir), kind=kind)
+
+
+@query("C4_train_risk")
+def c4_train_risk(spark, sf_dir):
+    """Held-out rows with their risk and the held-out AUC."""
+    _, scored, area = _trained(spark, sf_dir)
+    return MD.with_risk(scored).withColumn("auc", F.lit(area))
+
+
+@query("C6_predict_risk")
+def c6_predict_risk(spark, sf_dir):
+    model, _, _ = _trained(spark, sf_dir)
+    return MD.predict_risk(QH.features(spark, sf_dir), model)
+
+
+@query("C7_review_scores")
+def c7_review_scores(spark, sf_dir):
+    model, _, _ = _trained(spark, sf_dir)
+    MD.predict_risk(QH.features(spark, sf_dir), model).createOrReplaceTempView("predict")
+    return spark.sql(
+        "SELECT BusinessName AS businessname, descript, city, proba FROM predict "
+        "ORDER BY proba DESC, property_id LIMIT 30"
+    )
+
+
+@query("M4_drop_invariant")
+def m4_drop_invariant(spark, sf_dir):
+    model = MD.risk_pipeline(drop_invariant=True).fit(_training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES)))
+    scored = model.transform(QH.features(spark, sf_dir))
+    return scored.select("_id", F.size(vector_to_array("selected")).alias("kept"), F.size(vector_to_array("features")).alias("slots"))
+
+
+@query("M6_M8_forest_scores")
+def m6_m8_forest_scores(spark, sf_dir):
+    model, scored, _ = _trained(spark, sf_dir)
+    return scored.select("__key", "prediction", vector_to_array("probability").alias("probability"))
+
+
+@query("M12_save_load")
+def m12_save_load(spark, sf_dir):
+    model, _, _ = _trained(spark, sf_dir)
+    path = MD.save_model(model, shared_dir(spark, "predict_ranking"))
+    return MD.predict_risk(QH.features(spark, sf_dir), MD.load_model(path))
+
+
+@query("M13_grid_search")
+def m13_grid_search(spark, sf_dir):
+    train = _training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES))
+    _, table = MD.grid_search(train, folds=5, seed=7, kind="gbt", maxIter=10)
+    return table
+
+
+@query("M14_gbt_scores")
+def m14_gbt_scores(spark, sf_dir):
+    _, scored, area = _trained(spark, sf_dir, kind="gbt")
+    return MD.with_risk(scored).withColumn("auc", F.lit(area))
+
+
+@query("M15_with_risk")
+def m15_with_risk(spark, sf_dir):
+    model, scored, _ = _trained(spark, sf_dir)
+    return MD.with_risk(scored)
+
+
+@query("M16_importances")
+def m16_importances(spark, sf_dir):
+    model, scored, _ = _trained(spark, sf_dir)
+    return MD.importances(model, scored)
+
+
+@query("T7_embed")
+def t7_embed(spark, sf_dir):
+    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text")
+    return TM.embed_pipeline().fit(docs).transform(docs).select("doc_id", "embedding")
+
+
+@query("T9_text_model")
+def t9_text_model(spark, sf_dir):
+    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+    train, test = EV.hash_split(docs, "doc_id")
+    model = TM.fit_text(train)
+    return TM.score_text(model, test)
