@@ -95,8 +95,11 @@ def seen_ids(toks_with_ids: DataFrame, train_ids: DataFrame, id_col: str = "id")
 def ngrams(df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3) -> DataFrame:
     """T8 counts: (key, ngram, count) of width-``n`` word windows, words joined by a space,
     the same strings MLlib's ``NGram`` produces."""
-    words = split_words(text)
+    # The word array is a column first: inside the lambda an expression would be
+    # re-evaluated for every window position.
+    split = df.select(key, split_words(text).alias("__w"))
+    words = F.col("__w")
     grams = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
     has = F.size(words) >= n
-    exploded = df.select(key, F.explode(F.when(has, grams).otherwise(F.array().cast("array<string>"))).alias("ngram"))
+    exploded = split.select(key, F.explode(F.when(has, grams).otherwise(F.array().cast("array<string>"))).alias("ngram"))
     return exploded.groupBy(key, "ngram").agg(F.count(F.lit(1)).alias("count"))
