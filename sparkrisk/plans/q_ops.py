@@ -257,7 +257,8 @@ def head_rows(df, n, order):
     return df.orderBy(*order).limit(n)
 
 
-_HIST_SORT = [F.col(c).asc_nulls_first() for c in QH.TUPLE]
+def _hist_sort():
+    return [F.col(c).asc_nulls_first() for c in QH.TUPLE]
 
 
 @query(
@@ -265,7 +266,7 @@ _HIST_SORT = [F.col(c).asc_nulls_first() for c in QH.TUPLE]
     f"WITH {CTE_HISTORY} SELECT * FROM hist ORDER BY {HIST_ORDER.replace('PARTITION BY property_id ORDER BY ', 'property_id NULLS FIRST, ')} LIMIT 10",
 )
 def o1_head_rows(spark, sf_dir):
-    return head_rows(QH.history(spark, sf_dir), 10, _HIST_SORT)
+    return head_rows(QH.history(spark, sf_dir), 10, _hist_sort())
 
 
 @query(

@@ -108,7 +108,7 @@ def a7_describe_all(spark, sf_dir):
 def _corr_sql():
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     parts = [
-        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM hist" for a in cols for b in cols
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for a in cols for b in cols
     ]
     return " UNION ALL ".join(parts)
 

@@ -9,8 +9,23 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "STRING": T.StringType(),
+    "DOUBLE": T.DoubleType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name TYPE, ..."`` with the simple types above, all fields nullable. Built without a
+    session, so the constants can be imported before Spark starts."""
+    fields = []
+    for item in spec.split(","):
+        name, typ = item.split()
+        fields.append(T.StructField(name, _TYPES[typ.upper()]))
+    return T.StructType(fields)
 
 
 # Inspection records, in source order; all nullable. The four *dttm columns
