@@ -121,7 +121,11 @@ def ordered_window(
 def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, running=None, part=()):
     w = Window.partitionBy(*part, key).orderBy(*_order(time, ties))
     if group_sums:
-        g = Window.partitionBy(*part, key, time)
+        # Peers of the current time within the key: the same rows as partitionBy(key, time),
+        # but on the key's partitioning, so both windows share one shuffle.
+        g = Window.partitionBy(*part, key).orderBy(F.col(time).asc_nulls_first()).rangeBetween(
+            Window.currentRow, Window.currentRow
+        )
         df = df.withColumns(
             {
                 o: F.when(F.col(time).isNotNull(), F.sum(s).over(g)).otherwise(F.lit(null_time_sum))

@@ -36,8 +36,9 @@ def history(spark: SparkSession, sf_dir: str, strategy: str = "range") -> DataFr
     return H.build_history(events(spark, sf_dir), strategy=strategy)
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return H.latest_features(history(spark, sf_dir), FX.fx_establishments(spark, sf_dir), as_of=FX.AS_OF)
+def features(spark: SparkSession, sf_dir: str, hist: DataFrame | None = None) -> DataFrame:
+    hist = history(spark, sf_dir) if hist is None else hist
+    return H.latest_features(hist, FX.fx_establishments(spark, sf_dir), as_of=FX.AS_OF)
 
 
 @query("C3_build_history", f"WITH {CTE_HISTORY} SELECT * FROM hist")

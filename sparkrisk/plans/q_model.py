@@ -167,8 +167,8 @@ def m11_accuracy(spark, sf_dir):
 
 # --- learned models: rows-only checks -------------------------------------------------
 
-def _trained(spark, sf_dir, kind="forest"):
-    return MD.train_risk(QH.history(spark, sf_dir), kind=kind)
+def _trained(spark, sf_dir, kind="forest", hist=None):
+    return MD.train_risk(QH.history(spark, sf_dir) if hist is None else hist, kind=kind)
 
 
 @query("C4_train_risk")
@@ -180,14 +180,17 @@ def c4_train_risk(spark, sf_dir):
 
 @query("C6_predict_risk")
 def c6_predict_risk(spark, sf_dir):
-    model, _, _ = _trained(spark, sf_dir)
-    return MD.predict_risk(QH.features(spark, sf_dir), model)
+    """Train on the history and score the entities with the same history (built once)."""
+    hist = QH.history(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    return MD.predict_risk(QH.features(spark, sf_dir, hist), model)
 
 
 @query("C7_review_scores")
 def c7_review_scores(spark, sf_dir):
-    model, _, _ = _trained(spark, sf_dir)
-    MD.predict_risk(QH.features(spark, sf_dir), model).createOrReplaceTempView("predict")
+    hist = QH.history(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    MD.predict_risk(QH.features(spark, sf_dir, hist), model).createOrReplaceTempView("predict")
     return spark.sql(
         "SELECT BusinessName AS businessname, descript, city, proba FROM predict "
         "ORDER BY proba DESC, property_id LIMIT 30"
@@ -209,9 +212,10 @@ def m6_m8_forest_scores(spark, sf_dir):
 
 @query("M12_save_load")
 def m12_save_load(spark, sf_dir):
-    model, _, _ = _trained(spark, sf_dir)
+    hist = QH.history(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir, hist=hist)
     path = MD.save_model(model, shared_dir(spark, "predict_ranking"))
-    return MD.predict_risk(QH.features(spark, sf_dir), MD.load_model(path))
+    return MD.predict_risk(QH.features(spark, sf_dir, hist), MD.load_model(path))
 
 
 @query("M13_grid_search")
