@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrisk.functions.scalar import vector_element
+from sparkrisk.functions.scalar import vector_element  # noqa: F401  (re-exported for queries)
 from sparkrisk.ml.evaluate import SPLIT_SEED, TRAIN_SHARE, hash_split
 from sparkrisk.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 

@@ -70,12 +70,18 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Per column: count and unique; for other than numeric columns ``top`` (the most
     frequent non-null value as text, ties broken by the smaller text) and ``freq``; for
     numeric columns mean, std, min, 25/50/75 % and max. Percentiles are the smallest value
-    reaching the share (exact up to the sketch error). ``digits`` rounds mean and std."""
+    reaching the share (exact up to the sketch error). ``digits`` rounds mean and std.
+
+    Two passes: one aggregation for counts and numeric statistics, and one long form
+    (column, value as text) grouped by value, which gives both the distinct counts and the
+    most frequent values; a single row expansion instead of one per distinct count.
+    Distinct values are told apart by their text (so -0.0 and 0.0 count twice).
+    """
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
         c = F.col(f.name)
-        aggs += [F.count(c).alias(f"d{i}_count"), F.count_distinct(c).alias(f"d{i}_unique")]
+        aggs.append(F.count(c).alias(f"d{i}_count"))
         if _is_numeric(f.dataType):
             x = c.cast("double")
             q = F.percentile_approx(x, list(PERCENTILES), PERCENTILE_ACCURACY)
@@ -94,21 +100,24 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
         else:
             aggs += [F.lit(None).cast("double").alias(f"d{i}_{s}") for s in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     stats = _stack(df.agg(*aggs), [f.name for f in fields],
-                   ["count", "unique", "mean", "std", "min", "p25", "p50", "p75", "max"], "d")
-    stats = stats.withColumn("unique", F.col("unique").cast("bigint"))
-    # top / freq: grouped counts of (column, value) in long form, then the best per column.
-    other = [f for f in fields if not _is_numeric(f.dataType)]
-    if not other:
-        return stats.withColumns({"top": F.lit(None).cast("string"), "freq": F.lit(None).cast("bigint")})
+                   ["count", "mean", "std", "min", "p25", "p50", "p75", "max"], "d")
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(f.name).alias("feature"), F.col(f.name).cast("string").alias("value"))
-                           for f in other]))
+                           for f in fields]))
     ).filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").count()
-    top = counts.groupBy("feature").agg(
-        F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("k"), F.col("value"))).alias("t")
-    ).select("feature", F.col("t.value").alias("top"), F.col("t.count").alias("freq"))
-    return stats.join(top, "feature", "left")
+    best = F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("k"), F.col("value")))
+    per = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("unique"), best.alias("t"))
+    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
+    is_num = F.col("feature").isin(*numeric) if numeric else F.lit(False)
+    per = per.select(
+        "feature",
+        "unique",
+        F.when(~is_num, F.col("t.value")).alias("top"),
+        F.when(~is_num, F.col("t.count")).alias("freq"),
+    )
+    out = stats.join(per, "feature", "left").withColumn("unique", F.coalesce(F.col("unique"), F.lit(0)))
+    return out.select("feature", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:

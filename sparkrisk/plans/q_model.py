@@ -255,3 +255,45 @@ def t9_text_model(spark, sf_dir):
     train, test = EV.hash_split(docs, "doc_id")
     model = TM.fit_text(train)
     return TM.score_text(model, test)
+
+
+@query("M7_fit_pipeline")
+def m7_fit_pipeline(spark, sf_dir):
+    """The fitted chain: (stage, kind, output) per stage, in order."""
+    model, _, _ = _trained(spark, sf_dir)
+    rows = []
+    for i, st in enumerate(model.stages):
+        out = st.getOutputCol() if st.hasParam("outputCol") else st.getOrDefault("predictionCol")
+        rows.append((i, type(st).__name__, out))
+    return spark.createDataFrame(rows, "stage int, kind string, output string")
+
+
+@query("M8_score")
+def m8_score(spark, sf_dir):
+    """Entity rows scored by the fitted chain: prediction and class probabilities."""
+    hist = QH.history(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    scored = MD.score(model, QH.features(spark, sf_dir, hist))
+    return scored.select("_id", "prediction", vector_to_array("probability").alias("probability"))
+
+
+@query("F12_vector_element")
+def f12_vector_element(spark, sf_dir):
+    """P(fail) read from the probability vector with a built-in function."""
+    _, scored, _ = _trained(spark, sf_dir)
+    return scored.select("__key", MD.vector_element("probability", 1).alias("proba"))
+
+
+@query("D1_proba_without_udf")
+def d1_proba_without_udf(spark, sf_dir):
+    """The reference's one Python UDF (vector to float of element 1), replaced by
+    ``vector_to_array`` so scoring never leaves the JVM."""
+    hist = QH.history(spark, sf_dir)
+    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    return MD.predict_risk(QH.features(spark, sf_dir, hist), model).select("_id", "proba")
+
+
+@query("O3_importances_sorted")
+def o3_importances_sorted(spark, sf_dir):
+    model, scored, _ = _trained(spark, sf_dir)
+    return MD.importances(model, scored)

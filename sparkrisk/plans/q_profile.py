@@ -132,3 +132,10 @@ def a8_corr_matrix_history(spark, sf_dir):
     cols = ["inspections_so_far", "days_since_last_inspect", "viol_fail", "fail"]
     return PR.corr_matrix(QH.history(spark, sf_dir), cols)
 
+
+
+@query("O2_profile_sorted", _profile_sql())
+def o2_profile_sorted(spark, sf_dir):
+    """The profile ordered by missing count, largest first (the order is part of the
+    operator; the check compares the rows)."""
+    return PR.profile(FX.fx_inspections(spark, sf_dir))
