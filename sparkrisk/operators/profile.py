@@ -44,22 +44,33 @@ def _stack(df_one_row: DataFrame, names: Sequence[str], fields: Sequence[str], p
 
 def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: distinct non-null values, type, missing count and share, sorted by
-    missing descending. ``approx=True`` uses HyperLogLog counts for very wide tables."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(df.columns):
-        aggs += [distinct(F.col(c)).alias(f"p{i}_classes"), F.count_if(F.col(c).isNull()).alias(f"p{i}_missing")]
+    missing descending.
+
+    Missing counts come from one aggregation. Distinct counts come from a long form
+    (column, value as text) grouped twice, each grouping combined map-side; narrower rows
+    than the Expand plan of many exact distinct aggregates. ``approx=True`` uses
+    HyperLogLog sketches in the single aggregation instead (no row expansion at all).
+    """
+    names = df.columns
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count_if(F.col(c).isNull()).alias(f"p{i}_missing") for i, c in enumerate(names)]
+    if approx:
+        aggs += [F.approx_count_distinct(F.col(c)).alias(f"p{i}_classes") for i, c in enumerate(names)]
     wide = df.agg(*aggs)
-    wide = wide.select(
-        "__n",
-        *[F.col(f"p{i}_classes").cast("bigint").alias(f"p{i}_classes") for i in range(len(df.columns))],
-        *[F.col(f"p{i}_missing") for i in range(len(df.columns))],
-        *[F.lit(f.dataType.simpleString()).alias(f"p{i}_datatype") for i, f in enumerate(df.schema.fields)],
-    )
-    long = _stack(wide.withColumns({f"p{i}_n": F.col("__n") for i in range(len(df.columns))}),
-                  df.columns, ["classes", "datatype", "missing", "n"], "p")
-    long = long.withColumn("missing_percent", F.col("missing") / F.col("n")).drop("n")
-    return long.orderBy(F.col("missing").desc(), F.col("feature"))
+    if not approx:
+        wide = wide.withColumns({f"p{i}_classes": F.lit(0).cast("bigint") for i in range(len(names))})
+    wide = wide.withColumns({f"p{i}_n": F.col("__n") for i in range(len(names))})
+    wide = wide.withColumns({f"p{i}_datatype": F.lit(types[c]) for i, c in enumerate(names)})
+    long = _stack(wide, names, ["classes", "datatype", "missing", "n"], "p")
+    if not approx:
+        values = df.select(
+            F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names]))
+        ).filter(F.col("value").isNotNull())
+        distinct = values.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("__d"))
+        long = long.join(distinct, "feature", "left").withColumn("classes", F.coalesce(F.col("__d"), F.lit(0)))
+    long = long.withColumn("missing_percent", F.col("missing") / F.col("n"))
+    out = long.select("feature", F.col("classes").cast("bigint").alias("classes"), "datatype", "missing", "missing_percent")
+    return out.orderBy(F.col("missing").desc(), F.col("feature"))
 
 
 def _is_numeric(t: T.DataType) -> bool:
