@@ -15,11 +15,12 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrisk.functions.scalar import vector_element  # noqa: F401  (re-exported for queries)
 from sparkrisk.ml.evaluate import SPLIT_SEED, TRAIN_SHARE, hash_split
+from sparkrisk.operators.sequence import ordered_window
 from sparkrisk.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 # Forest settings of the risk model.
@@ -35,8 +36,10 @@ def string_index(df: DataFrame, col: str) -> DataFrame:
     """M2 in SQL terms: (value, index) by frequency descending, ties by value, from 0.
     Unseen and null values take index = number of values (the extra bucket)."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).count()
-    order = Window.orderBy(F.col("count").desc(), F.col("value"))
-    return counts.select("value", (F.row_number().over(order) - 1).cast("double").alias("index"))
+    # A global numbering is one ordered group: range-partitioned, never one task.
+    keyed = counts.withColumns({"__k": F.lit(0), "__neg": -F.col("count")})
+    ranked = ordered_window(keyed, "__k", "__neg", ["value"], row_number="__rn")
+    return ranked.select("value", (F.col("__rn") - 1).cast("double").alias("index"))
 
 
 def indexers(cols: Sequence[str] = CATEGORICAL_FEATURES, handle_invalid: str = "keep") -> list:

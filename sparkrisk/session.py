@@ -36,6 +36,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spa
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SPARKRISK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove checkpoint files once their DataFrames are garbage collected.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in JOB_SETTINGS.items():
         builder = builder.config(k, v)

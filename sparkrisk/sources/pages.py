@@ -22,18 +22,21 @@ from sparkrisk.schemas import TIME_FORMAT, page_envelope
 
 def page_plan(df_or_total, limit: int, max_pages: int | None = None, spark: SparkSession | None = None) -> DataFrame:
     """One row per page (page, offset, limit): ceil(total / limit) pages, optionally
-    capped at ``max_pages``. ``total`` is a number or the row count of a DataFrame (a
-    one-row aggregate; no data reaches the driver)."""
+    capped at ``max_pages``. ``total`` is a number or the row count of a DataFrame.
+
+    Only the count (one number) reaches the driver; the page rows come from a distributed
+    ``range``, so the plan is spread over tasks however many pages there are.
+    """
     if isinstance(df_or_total, DataFrame):
-        totals = df_or_total.agg(F.count(F.lit(1)).alias("total"))
+        spark = df_or_total.sparkSession
+        total = df_or_total.count()
     else:
-        totals = spark.range(1).select(F.lit(int(df_or_total)).cast("bigint").alias("total"))
-    n = F.ceil(F.col("total") / F.lit(limit)).cast("bigint")
+        total = int(df_or_total)
+    n = -(-total // limit)
     if max_pages is not None:
-        n = F.least(n, F.lit(max_pages).cast("bigint"))
-    pages = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
-    out = totals.select(F.explode(pages).alias("page"))
-    return out.select("page", (F.col("page") * limit).alias("offset"), F.lit(limit).alias("limit"))
+        n = min(n, max_pages)
+    pages = spark.range(0, n).withColumnRenamed("id", "page")
+    return pages.select("page", (F.col("page") * limit).alias("offset"), F.lit(limit).alias("limit"))
 
 
 def as_api_records(df: DataFrame, keep: Sequence[str] = ("_id",)) -> DataFrame:
@@ -109,9 +112,9 @@ def ingest(
 try:  # Python data sources need pyspark >= 4.0
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-    class _Page(InputPartition):
-        def __init__(self, page: int, offset: int):
-            self.page, self.offset = page, offset
+    class _Pages(InputPartition):
+        def __init__(self, first: int, last: int):
+            self.first, self.last = first, last  # page numbers, last exclusive
 
     class PagedApiReader(DataSourceReader):
         def __init__(self, schema: T.StructType, options: Mapping[str, str]):
@@ -120,27 +123,30 @@ try:  # Python data sources need pyspark >= 4.0
             self.limit = int(options.get("limit", "5000"))
             self.total = int(options["total"])
             self.max_pages = int(options["max_pages"]) if "max_pages" in options else None
+            self.per_task = max(1, int(options.get("pages_per_partition", "1")))
 
         def partitions(self):
             n = -(-self.total // self.limit)
             if self.max_pages is not None:
                 n = min(n, self.max_pages)
-            return [_Page(p, p * self.limit) for p in range(n)]
+            return [_Pages(p, min(p + self.per_task, n)) for p in range(0, n, self.per_task)]
 
-        def read(self, partition: _Page) -> Iterator[tuple]:
+        def read(self, partition: _Pages) -> Iterator[tuple]:
             from urllib.request import urlopen
 
-            url = self.url.format(page=partition.page, offset=partition.offset, limit=self.limit)
-            with urlopen(url) as resp:  # noqa: S310 - the caller names the endpoint
-                body = json.load(resp)
             names = [f.name for f in self.schema.fields]
-            for rec in body["result"]["records"]:
-                yield tuple(None if rec.get(n) is None else str(rec[n]) for n in names)
+            for page in range(partition.first, partition.last):
+                url = self.url.format(page=page, offset=page * self.limit, limit=self.limit)
+                with urlopen(url) as resp:  # noqa: S310 - the caller names the endpoint
+                    body = json.load(resp)
+                for rec in body["result"]["records"]:
+                    yield tuple(None if rec.get(n) is None else str(rec[n]) for n in names)
 
     class PagedApiDataSource(DataSource):
         """``spark.read.format("paged_api").schema(text_schema).options(url=..., total=...,
-        limit=...)``: one partition per page; ``url`` is a template with ``{page}``,
-        ``{offset}`` and ``{limit}``. Every field is read as text; conform afterwards."""
+        limit=...)``: pages fetched on executors, ``pages_per_partition`` contiguous pages per
+        task (default 1); ``url`` is a template with ``{page}``, ``{offset}`` and ``{limit}``.
+        Every field is read as text; conform afterwards."""
 
         @classmethod
         def name(cls):

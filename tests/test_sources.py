@@ -28,6 +28,10 @@ def test_paged_api_source_reads_every_page(spark, tmp_path):
     typed = PG.conform(df, T.StructType.fromDDL("_id int, name string, missing string"))
     rows = sorted((r._id, r.name, r.missing) for r in typed.collect())
     assert len(rows) == 10 and rows[0] == (0, "n00", None)
+    grouped = (spark.read.format("paged_api").schema("_id string, name string")
+               .options(url=f"file://{tmp_path}/page-{{page}}.json", total="10", limit="4",
+                        pages_per_partition="2").load())
+    assert grouped.rdd.getNumPartitions() == 2 and grouped.count() == 10
 
 
 def test_file_count(spark):
