@@ -14,7 +14,7 @@ from sparkrisk import fixtures as FX
 from sparkrisk.plans import q_history as QH
 from sparkrisk.plans.registry import query
 from sparkrisk.plans.sql import CTE_HISTORY
-from sparkrisk.schemas import HISTORY
+from sparkrisk.schemas import ACTIVE_RAW, HISTORY, INSPECTIONS_RAW
 from sparkrisk.session import shared_dir
 from sparkrisk.sources import pages as PG
 from sparkrisk.sources import tables as TB
@@ -130,3 +130,36 @@ def c1_ingest_stream(spark, sf_dir):
     sink = shared_dir(spark, "inspections-stream")
     ingest_stream(spark, pages, RECORD_SCHEMA, ["resultdttm", "issdttm"], sink)
     return TB.read_table(spark, sink)
+
+
+def _conform_sql(schema, source_cols, table):
+    cols = []
+    have = {c.lower(): c for c in source_cols}
+    sql_types = {"int": "INTEGER", "string": "VARCHAR"}
+    for f in schema.fields:
+        t = sql_types[f.dataType.simpleString()]
+        src = have.get(f.name.lower())
+        cols.append(f"TRY_CAST({src} AS {t}) AS {f.name}" if src else f"CAST(NULL AS {t}) AS {f.name}")
+    return f"SELECT {', '.join(cols)} FROM {table}"
+
+
+@query(
+    "S4_conform_inspection_schema",
+    INS + _conform_sql(INSPECTIONS_RAW, ["_id", *TEXT_COLUMNS], f"(SELECT {TEXT_SQL} FROM fx_inspections)"),
+)
+def s4_conform_inspection_schema(spark, sf_dir):
+    """Landed pages read into the 27-column inspection layout: absent keys null, extra keys
+    (here ``resultdttm_raw``) dropped, ``_id`` narrowed to int."""
+    return PG.conform(PG.read_pages(spark, _landed_pages(spark, sf_dir), RECORD_SCHEMA), INSPECTIONS_RAW)
+
+
+@query(
+    "S4_conform_active_schema",
+    f"WITH {FX.CTE_ESTABLISHMENTS} "
+    + _conform_sql(ACTIVE_RAW, ["_id", "Property_ID", "BusinessName", "State", "LICENSECAT", "DESCRIPT", "CITY", "ZIP"],
+                   "fx_establishments"),
+)
+def s4_conform_active_schema(spark, sf_dir):
+    """Entity records in the 14-column active-establishment layout (names matched without
+    regard to case)."""
+    return PG.conform(FX.fx_establishments(spark, sf_dir), ACTIVE_RAW)
