@@ -48,7 +48,8 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score, highest first: pos, neg and their totals up to that score."""
     counts = _score_counts(df, score, label)
     cum = ordered_window(counts, "__k", "__neg_score", running_sums={"tp": "pos", "fp": "neg"})
-    totals = counts.groupBy("__k").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    # Totals from the materialized running sums: no second scan of the input.
+    totals = cum.groupBy("__k").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     # One row, joined on the constant key: a broadcast hash join.
     return cum.join(F.broadcast(totals), "__k")
 

@@ -46,30 +46,38 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: distinct non-null values, type, missing count and share, sorted by
     missing descending.
 
-    Missing counts come from one aggregation. Distinct counts come from a long form
-    (column, value as text) grouped twice, each grouping combined map-side; narrower rows
-    than the Expand plan of many exact distinct aggregates. ``approx=True`` uses
-    HyperLogLog sketches in the single aggregation instead (no row expansion at all).
+    Exact (default): one scan. Each row becomes (column, value as text) pairs, grouped by
+    pair with a map-side partial aggregate; per column, the null group gives the missing
+    count, the other groups the distinct count, and all groups the row count. Values are
+    told apart by their text. ``approx=True`` uses one aggregation with HyperLogLog
+    sketches instead (no row expansion at all).
     """
     names = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count_if(F.col(c).isNull()).alias(f"p{i}_missing") for i, c in enumerate(names)]
+    type_of = F.create_map(*[x for c in names for x in (F.lit(c), F.lit(types[c]))])
     if approx:
-        aggs += [F.approx_count_distinct(F.col(c)).alias(f"p{i}_classes") for i, c in enumerate(names)]
-    wide = df.agg(*aggs)
-    if not approx:
-        wide = wide.withColumns({f"p{i}_classes": F.lit(0).cast("bigint") for i in range(len(names))})
-    wide = wide.withColumns({f"p{i}_n": F.col("__n") for i in range(len(names))})
-    wide = wide.withColumns({f"p{i}_datatype": F.lit(types[c]) for i, c in enumerate(names)})
-    long = _stack(wide, names, ["classes", "datatype", "missing", "n"], "p")
-    if not approx:
-        values = df.select(
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"p{i}_missing") for i, c in enumerate(names)]
+        aggs += [F.approx_count_distinct(F.col(c)).cast("bigint").alias(f"p{i}_classes") for i, c in enumerate(names)]
+        wide = df.agg(*aggs).withColumns({f"p{i}_n": F.col("__n") for i in range(len(names))})
+        per = _stack(wide, names, ["classes", "missing", "n"], "p")
+    else:
+        pairs = df.select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names]))
-        ).filter(F.col("value").isNotNull())
-        distinct = values.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("__d"))
-        long = long.join(distinct, "feature", "left").withColumn("classes", F.coalesce(F.col("__d"), F.lit(0)))
-    long = long.withColumn("missing_percent", F.col("missing") / F.col("n"))
-    out = long.select("feature", F.col("classes").cast("bigint").alias("classes"), "datatype", "missing", "missing_percent")
+        )
+        groups = pairs.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
+        per = groups.groupBy("feature").agg(
+            F.count("value").alias("classes"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("missing"),
+            F.sum("rows").alias("n"),
+        )
+    out = per.select(
+        "feature",
+        F.col("classes").cast("bigint").alias("classes"),
+        type_of[F.col("feature")].alias("datatype"),
+        F.col("missing").cast("bigint").alias("missing"),
+        (F.col("missing") / F.col("n")).alias("missing_percent"),
+    )
     return out.orderBy(F.col("missing").desc(), F.col("feature"))
 
 
