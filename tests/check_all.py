@@ -20,7 +20,7 @@ from sparkrisk.session import local_session  # noqa: E402
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     picks = sys.argv[2:]
-    spark = local_session()
+    spark = local_session(shuffle_partitions=int(__import__("os").environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
     for k, fn in qs.items():

@@ -27,3 +27,17 @@ def test_matches_oracle(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     ok, msg = compare(df, SQL[key], SF_SMALL)
     assert ok, msg
+
+
+SURVEY_IDS = (
+    [f"S{i}" for i in range(1, 12)] + [f"P{i}" for i in range(1, 12)] + [f"J{i}" for i in range(1, 6)]
+    + [f"A{i}" for i in range(1, 9)] + [f"W{i}" for i in range(1, 6)] + ["O1", "O2", "O3", "U1", "U2"]
+    + [f"F{i}" for i in range(1, 13)] + ["D1"] + [f"M{i}" for i in range(1, 17)]
+    + [f"T{i}" for i in range(1, 10)] + [f"C{i}" for i in range(1, 8)]
+)
+
+
+def test_every_survey_id_has_a_query():
+    keys = list(E.queries())
+    missing = [i for i in SURVEY_IDS if not any(k.startswith(i + "_") for k in keys)]
+    assert not missing, missing
