@@ -14,6 +14,7 @@ from sparkrisk.operators import history as H
 from sparkrisk.plans import q_history as QH
 from sparkrisk.plans.registry import query
 from sparkrisk.plans.sql import CTE_EVENTS, CTE_HISTORY, HIST_ORDER
+from sparkrisk.schemas import DEFAULT_CITY, DEFAULT_ZIP
 
 INS = f"WITH {FX.CTE_INSPECTIONS} "
 EST = f"WITH {FX.CTE_ESTABLISHMENTS} "
@@ -60,7 +61,7 @@ def p4_rename(spark, sf_dir):
 )
 def p5_default_nulls(spark, sf_dir):
     df = _ins(spark, sf_dir).select("_id", "city", "zip")
-    return C.default_nulls(df, {"city": "boston", "zip": "02116"})
+    return C.default_nulls(df, {"city": DEFAULT_CITY, "zip": DEFAULT_ZIP})
 
 
 @query(
@@ -68,7 +69,7 @@ def p5_default_nulls(spark, sf_dir):
     EST + "SELECT _id, CASE WHEN CITY IN ('', ' ') THEN 'boston' ELSE CITY END AS CITY FROM fx_establishments",
 )
 def p6_default_blanks(spark, sf_dir):
-    return C.default_blanks(_est(spark, sf_dir).select("_id", "CITY"), {"CITY": "boston"})
+    return C.default_blanks(_est(spark, sf_dir).select("_id", "CITY"), {"CITY": DEFAULT_CITY})
 
 
 _PIVOT = (

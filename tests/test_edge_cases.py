@@ -16,7 +16,7 @@ def d(day):
 def _events(spark):
     rows = [
         # one entity, one event: previous values get the first-event fill
-        ("solo", d(1), d(1), "MA", "l", "FS", "x", "Boston", "02115", "Fail", "*"),
+        ("solo", d(1), d(1), "MA", "l", "FS", "x", "Old Town", "02115", "Fail", "*"),
         # two rows with the same key and time but another issue date: two history rows
         ("tie", d(1), d(1), "MA", "l", "FS", "x", "a/b  c", None, "Fail", "*"),
         ("tie", d(1), d(2), "MA", "l", "FS", "x", "a/b  c", None, "Pass", "*"),
@@ -39,7 +39,7 @@ def test_history_edge_rows(spark):
     assert {r.property_id for r in rows} == {"solo", "tie", "nt"}
     solo = hist[("solo", d(1))]
     assert (solo.inspections_so_far, solo.days_since_last_inspect, solo.last_viol_fail) == (1, 99999999, 99999999)
-    assert solo.fail == 1 and solo.city == "boston"
+    assert solo.fail == 1 and solo.city == "old town"
     t1, t2 = hist[("tie", d(1))], hist[("tie", d(2))]
     # both rows of the visit carry the visit's counts; ties ordered by issue date
     assert (t1.viol_fail, t1.viol_pass, t2.viol_fail, t2.viol_pass) == (1, 1, 1, 1)
@@ -75,3 +75,13 @@ def test_rename_is_case_insensitive_and_ignores_absent(spark):
 def test_to_int_bad_text_is_null(spark):
     df = spark.createDataFrame([("12",), ("x",), (None,)], "v string")
     assert [r.v for r in C.to_int(df, ["v"]).collect()] == [12, None, None]
+
+
+def test_joins_keep_left_rows(spark):
+    hist = H.build_history(_events(spark))
+    counts = H.pivot_count(C.clean_events(_events(spark)), ["property_id", "resultdttm"], "violstatus", H.OUTCOMES)
+    left = hist.select("property_id", "resultdttm", "issdttm")
+    assert H.attach_counts(left, counts, ["property_id", "resultdttm"]).count() == left.count()
+    ents = spark.createDataFrame([("solo",), ("none",), ("tie",)], "property_id string")
+    latest_rows = hist.groupBy("property_id").count()
+    assert H.attach_latest(ents, latest_rows).count() == 3

@@ -48,3 +48,26 @@ def test_risk_model_properties(spark):
     assert area2 == area
     imp = MD.importances(model, scored).collect()
     assert imp[0].importance == 100.0
+
+
+def test_roc_trapezoid_equals_auc_on_documents(spark):
+    from sparkrisk import fixtures as FX
+    from sparkrisk.operators.text import labelled_text
+
+    docs = labelled_text(FX.table(spark, SF_SMALL, "documents"), FX.table(spark, SF_SMALL, "labels"))
+    pts = sorted((r.fpr, r.tpr) for r in EV.roc_curve(docs, "n_chars", "quality").collect())
+    assert pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0)
+    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(pts, pts[1:]))
+    assert abs(area - EV.auc(docs, "n_chars", "quality").first().auc) < 1e-9
+
+
+def test_text_models_score_every_text(spark):
+    from sparkrisk.ml import text_model as TM
+
+    df = spark.createDataFrame(
+        [(i, ("good fine nice " if i % 2 else "bad poor awful ") * 4, float(i % 2)) for i in range(40)],
+        "doc_id long, text string, label double",
+    )
+    for kind in ("ngram", "embed"):
+        scored = TM.score_text(TM.fit_text(df, kind=kind), df).collect()
+        assert len(scored) == 40 and all(0.0 <= r.proba <= 1.0 for r in scored)
