@@ -67,12 +67,20 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/" + sub
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
     Used where one intermediate feeds two branches whose results must agree row for row
-    (e.g. partition ids after a range exchange). Reliable checkpoint, never a local one:
-    the files outlive any executor, and the lineage is cut.
+    (e.g. partition ids after a range exchange). ``how="parquet"`` (default) writes a
+    compressed columnar stage, so each branch reads only the columns it uses;
+    ``how="checkpoint"`` uses ``DataFrame.checkpoint``. Both are reliable (never a local
+    checkpoint): the files outlive any executor, and the lineage is cut.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    how = how or spark.conf.get("sparkrisk.materialize", "parquet")
+    if how == "checkpoint":
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = shared_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
