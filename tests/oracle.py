@@ -7,6 +7,8 @@ import datetime as dt
 import decimal
 import hashlib
 
+import os
+
 import duckdb
 
 from sparkrisk.fixtures import TABLES
@@ -16,7 +18,8 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return round(v, 6) + 0.0
+        # ORACLE_EXACT=1 compares floats bit for bit (no rounding).
+        return v + 0.0 if os.environ.get("ORACLE_EXACT") else round(v, 6) + 0.0
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6) + 0.0
     if isinstance(v, (dt.datetime, dt.date)):
