@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkrisk.operators.joins import bounded_broadcast
 from sparkrisk.operators.sequence import ordered_window
 
 # Seed and training share of the risk model split.
@@ -48,10 +49,10 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score, highest first: pos, neg and their totals up to that score."""
     counts = _score_counts(df, score, label)
     cum = ordered_window(counts, "__k", "__neg_score", running_sums={"tp": "pos", "fp": "neg"})
-    # Totals from the materialized running sums: no second scan of the input.
-    totals = cum.groupBy("__k").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # One row, joined on the constant key: a broadcast hash join.
-    return cum.join(F.broadcast(totals), "__k")
+    # Totals from the materialized running sums: no second scan of the input. A global
+    # aggregate is provably one row, so it is broadcast and joined on the constant key.
+    totals = cum.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("__k", F.lit(0))
+    return cum.join(bounded_broadcast(totals, 1), "__k")
 
 
 def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrisk.functions.scalar import join_words, split_words
+from sparkrisk.operators.joins import bounded_broadcast
 
 # Vocabulary size and sequence length of the text model inputs.
 VOCAB_SIZE = 5000
 SEQ_LEN = 250
+# Largest vocabulary broadcast to every task; larger ones are joined by shuffle.
+MAX_BROADCAST_VOCAB = 1_000_000
 
 
 def labelled_text(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -40,14 +43,20 @@ def vocabulary(toks: DataFrame, n: int = VOCAB_SIZE, word: str = "word") -> Data
     return top.select(word, F.row_number().over(rank).alias("id"), "count")
 
 
+def _vocab_side(vocab: DataFrame) -> DataFrame:
+    """The vocabulary from ``vocabulary()`` carries its ``limit``, so its bound is proven
+    and it is broadcast; any other table is left to adaptive execution."""
+    return bounded_broadcast(vocab, MAX_BROADCAST_VOCAB)
+
+
 def known_tokens(toks: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
     """Tokens present in the vocabulary (semi join against the bounded vocabulary)."""
-    return toks.join(F.broadcast(vocab.select(word)), word, "left_semi")
+    return toks.join(_vocab_side(vocab.select(word)), word, "left_semi")
 
 
 def lookup(toks: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
     """Token to id (inner join; unknown words drop out)."""
-    return toks.join(F.broadcast(vocab.select(word, "id")), word)
+    return toks.join(_vocab_side(vocab.select(word, "id")), word)
 
 
 def _ordered_list(value: Column) -> Column:
@@ -65,14 +74,14 @@ def encode(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_
     partial aggregate and the shuffle moves one row per text.
     """
     toks = df.select(key, F.posexplode_outer(split_words(text)).alias("pos", "word"))
-    ids = toks.join(F.broadcast(vocab.select("word", "id")), "word", "left")
+    ids = toks.join(_vocab_side(vocab.select("word", "id")), "word", "left")
     return ids.groupBy(key).agg(_ordered_list(F.col("id")).alias("ids"))
 
 
 def decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", key: str = "doc_id") -> DataFrame:
     """(key, text) with the words of the ids joined by one space. ``key`` unique."""
     exploded = df.select(key, F.posexplode_outer(ids).alias("pos", "id"))
-    words = exploded.join(F.broadcast(vocab.select("word", "id")), "id", "left")
+    words = exploded.join(_vocab_side(vocab.select("word", "id")), "id", "left")
     return words.groupBy(key).agg(join_words(_ordered_list(F.col("word"))).alias("text"))
 
 
@@ -87,9 +96,10 @@ def pad(df: DataFrame, col: str = "ids", n: int = SEQ_LEN, out: str | None = Non
 
 def seen_ids(toks_with_ids: DataFrame, train_ids: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows whose id occurs in the training ids. The distinct training ids are a
-    subset of the vocabulary ids, so the semi join is against a bounded table."""
+    subset of the vocabulary ids (small), but nothing in the plan proves it, so the join
+    strategy is left to adaptive execution, which broadcasts after measuring."""
     seen = train_ids.select(id_col).distinct()
-    return toks_with_ids.join(F.broadcast(seen), id_col, "left_semi")
+    return toks_with_ids.join(seen, id_col, "left_semi")
 
 
 def ngrams(df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3) -> DataFrame:
