@@ -26,7 +26,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sparkrisk") -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sparkrisk",
+                  extra: dict | None = None) -> SparkSession:
     """Session for tests and the local bench. Clusters pass their own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -39,7 +40,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spa
         # Remove checkpoint files once their DataFrames are garbage collected.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for k, v in JOB_SETTINGS.items():
+    for k, v in {**JOB_SETTINGS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

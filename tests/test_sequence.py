@@ -69,3 +69,16 @@ def test_latest_equals_row_number_one(spark):
     ref = df.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
     got = latest(df, "k", "t", ["tie", "uid"])
     assert _collect(got, ["k", "uid"]) == _collect(ref, ["k", "uid"])
+
+
+def test_range_layout_splits_a_hot_key(spark):
+    """The mechanism the range strategy relies on: a key with 60 % of the rows is cut into
+    several ordered ranges and no range is much larger than the average."""
+    df = _df(spark).filter(F.col("t").isNotNull())
+    ranged = df.repartitionByRange(8, F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first())
+    layout = ranged.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("k") == "hot").alias("hot"))
+    rows = layout.collect()
+    sizes = [r.n for r in rows]
+    assert sum(1 for r in rows if r.hot > 0) >= 4
+    assert max(sizes) <= 2.5 * (sum(sizes) / len(sizes))
