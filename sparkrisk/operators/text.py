@@ -31,6 +31,11 @@ def tokens(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return df.select(key, F.posexplode(split_words(text)).alias("pos", "word"))
 
 
+def words(df: DataFrame, text: str = "text") -> DataFrame:
+    """One row per non-empty token, without positions (what counting needs)."""
+    return df.select(F.explode(split_words(text)).alias("word"))
+
+
 def vocabulary(toks: DataFrame, n: int = VOCAB_SIZE, word: str = "word") -> DataFrame:
     """The ``n`` most frequent words; id = frequency rank from 1, ties by word.
 

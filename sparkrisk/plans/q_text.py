@@ -37,7 +37,7 @@ def _docs(spark, sf_dir):
 
 
 def _vocab(spark, sf_dir):
-    return TX.vocabulary(TX.tokens(_docs(spark, sf_dir)))
+    return TX.vocabulary(TX.words(_docs(spark, sf_dir)))
 
 
 def _encoded(spark, sf_dir):
