@@ -50,14 +50,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spa
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    The folder named in ``spark.checkpoint.dir`` is read from the session. Only when the
-    session has none (tests, local runs) is one created under the local temp folder.
+    The folder named in ``spark.checkpoint.dir`` is read from the session. Only a local-mode
+    session without one (tests, local runs) gets a folder under the local temp folder; a
+    cluster session without one is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="sparkrisk-"))
+        if not conf:
+            if not sc.master.startswith("local"):
+                # A machine-local folder is not visible to other executors.
+                raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
+            conf = tempfile.mkdtemp(prefix="sparkrisk-")
+        sc.setCheckpointDir(conf)
         base = sc.getCheckpointDir()
     return base
 
