@@ -95,7 +95,7 @@ def ordered_window(
     by_part = Window.partitionBy(key).orderBy(_PID)
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
-        _PID,
+        F.col(_PID).alias("__seq_cpid"),
         F.col(key).alias("__seq_key"),
         F.sum("__seq_cnt").over(before).alias("__seq_off"),
         F.lag("__seq_last").over(by_part).alias("__seq_prev"),
@@ -103,9 +103,8 @@ def ordered_window(
     ).filter(F.col("__seq_off").isNotNull())
     # At most one continuing key per partition: bounded by the partition count.
     corr = F.broadcast(summary)
-    joined = local.join(
-        corr, (local[_PID] == corr[_PID]) & local[key].eqNullSafe(corr["__seq_key"]), "left"
-    ).drop(corr[_PID])
+    on = (F.col(_PID) == F.col("__seq_cpid")) & F.col(key).eqNullSafe(F.col("__seq_key"))
+    joined = local.join(corr, on, "left")
 
     first = F.col(_LRN) == 1
     cols = {}
@@ -116,7 +115,8 @@ def ordered_window(
     if row_number is not None:
         cols[row_number] = (F.col(_LRN) + F.coalesce(F.col("__seq_off"), F.lit(0))).cast("int")
     out = joined.withColumns(cols)
-    return out.drop(_PID, _LRN, "__seq_key", "__seq_off", "__seq_prev", *[f"__seq_o{i}" for i in range(len(running))])
+    internal = [_PID, _LRN, "__seq_cpid", "__seq_key", "__seq_off", "__seq_prev"]
+    return out.drop(*internal, *[f"__seq_o{i}" for i in range(len(running))])
 
 
 def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, running=None, part=()):
