@@ -95,11 +95,14 @@ def ingest(
     time_cols: Sequence[str] | Mapping[str, str],
     table: str,
     path: str,
-    files: int | None = 10,
+    files: int | None = None,
     multiline: bool = False,
 ) -> DataFrame:
     """Pages to a typed table: read (S3), conform (S4), parse times (F5), size the
-    output files (S11) and save as an external table (S8). Returns the table scan."""
+    output files (S11) and save as an external table (S8). Returns the table scan.
+
+    ``files=None`` leaves file sizes to adaptive execution; a fixed count caps the write at
+    that many tasks, so use it only for small tables."""
     from sparkrisk.sources.tables import write_table
 
     records = conform(read_pages(spark, pages_path, record_schema, multiline), record_schema)

@@ -42,8 +42,9 @@ def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructTyp
 
 
 def _files(df: DataFrame, files: int | None) -> DataFrame:
-    """Output file count. ``None`` leaves sizing to adaptive execution; a number
-    repartitions (round robin) to exactly that many files."""
+    """Output file count. ``None`` (the default everywhere) leaves sizing to adaptive
+    execution; a number repartitions (round robin) to exactly that many files, which also
+    means that many writing tasks, so keep it for small outputs."""
     return df if files is None else df.repartition(files)
 
 
