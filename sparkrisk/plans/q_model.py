@@ -31,10 +31,7 @@ def _training(spark, sf_dir):
 
 
 def _encoding_model(spark, sf_dir):
-    stages = []
-    for ix, enc in zip(MD.indexers(), MD.encoders()):
-        stages += [ix, enc]
-    return Pipeline(stages=[*stages, MD.assembler()]).fit(_training(spark, sf_dir))
+    return Pipeline(stages=[*MD.indexers(), *MD.encoders(), MD.assembler()]).fit(_training(spark, sf_dir))
 
 
 # SQL: training rows as the model sees them, and per-column index tables.
@@ -73,7 +70,7 @@ def m2_string_index(spark, sf_dir):
 )
 def m2_string_indexer_model(spark, sf_dir):
     """The fitted MLlib indexer's labels, as (value, index)."""
-    model = MD.indexers(["city"])[0].fit(_training(spark, sf_dir))
+    model = MD.indexers(["city"])[0].fit(_training(spark, sf_dir))  # labelsArray[0]: the city labels
     rows = [(v, float(i)) for i, v in enumerate(model.labelsArray[0])]
     return spark.createDataFrame(rows, "value string, index double")
 
@@ -263,7 +260,12 @@ def m7_fit_pipeline(spark, sf_dir):
     model, _, _ = _trained(spark, sf_dir)
     rows = []
     for i, st in enumerate(model.stages):
-        out = st.getOutputCol() if st.hasParam("outputCol") else st.getOrDefault("predictionCol")
+        if st.hasParam("outputCols") and st.isSet("outputCols"):
+            out = ",".join(st.getOrDefault("outputCols"))
+        elif st.hasParam("outputCol"):
+            out = st.getOrDefault("outputCol")
+        else:
+            out = st.getOrDefault("predictionCol")
         rows.append((i, type(st).__name__, out))
     return spark.createDataFrame(rows, "stage int, kind string, output string")
 
