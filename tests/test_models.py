@@ -71,3 +71,17 @@ def test_text_models_score_every_text(spark):
     for kind in ("ngram", "embed"):
         scored = TM.score_text(TM.fit_text(df, kind=kind), df).collect()
         assert len(scored) == 40 and all(0.0 <= r.proba <= 1.0 for r in scored)
+
+
+def test_drop_invariant_removes_constant_features(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = [(f"c{i % 3}", "same", "x" if i % 2 else "y", "02116", i % 4, i, 0, i % 2, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "licensecat string, descript string, city string, zip string, "
+                                     "inspections_so_far int, days_since_last_inspect int, last_viol_fail int, "
+                                     "last_viol_pass int, fail int")
+    model = MD.risk_pipeline(drop_invariant=True).fit(df)
+    out = model.transform(df).select(F.size(vector_to_array("features")).alias("all"),
+                                     F.size(vector_to_array("selected")).alias("kept")).first()
+    # constant: last_viol_fail, the single descript slot and the single zip slot
+    assert out["all"] - out["kept"] == 3
