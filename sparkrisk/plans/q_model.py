@@ -79,7 +79,7 @@ def m2_string_indexer_model(spark, sf_dir):
     "M3_one_hot",
     f"WITH {CTE_INDEXES} "
     + " UNION ALL ".join(
-        f"SELECT f._id, '{c}' AS feature, ix.idx AS slot, 1.0 AS value FROM feat f JOIN idx_{c} ix ON f.{c} = ix.value"
+        f"SELECT f._id, '{c}' AS feature, ix.idx AS slot, CAST(1.0 AS DOUBLE) AS value FROM feat f JOIN idx_{c} ix ON f.{c} = ix.value"
         for c in CATS
     ),
 )

@@ -1,0 +1,28 @@
+"""Compare output column types of every query with its DuckDB oracle (normalized names)."""
+import sys
+from pathlib import Path
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+import duckdb
+from sparkrisk.session import local_session
+from sparkrisk.fixtures import TABLES
+import __spark_entry__ as E
+SF = "/root/testdata/sf0.001"
+spark = local_session()
+con = duckdb.connect()
+for t in TABLES:
+    con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+M = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+     "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "array<int>": "INTEGER[]", "array<string>": "VARCHAR[]",
+     "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT"}
+qs, sqls = E.queries(), E.oracle_sql()
+bad = 0
+for k, sql in sqls.items():
+    df = qs[k](spark, SF)
+    st = {n: M.get(t, t) for n, t in df.dtypes}
+    rel = con.sql(sql)
+    dt = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    diff = {n: (st.get(n), dt.get(n)) for n in set(st) | set(dt) if st.get(n) != dt.get(n)}
+    if diff:
+        bad += 1
+        print(k, diff)
+print("mismatching queries:", bad)
