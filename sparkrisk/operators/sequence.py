@@ -81,6 +81,12 @@ def ordered_window(
     order = [F.col(key).asc_nulls_first(), F.col(time).asc_nulls_first()]
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
+    # The windows need rows clustered by (range, key). Range ids all carry about the same
+    # number of rows, so range-partitioning on the id puts about one range per task; a hash
+    # of (range, key) would let several chunks of a hot key collide in one task. A range
+    # partitioning on the id alone satisfies the windows' clustering: no further exchange.
+    by_id = F.col(_PID).asc()
+    ranged = ranged.repartitionByRange(num_partitions, by_id) if num_partitions else ranged.repartitionByRange(by_id)
 
     local = _hash_window(ranged, key, time, ties, _LRN, lags, group_sums, null_time_sum, running, part=[_PID])
     if not lags and not running and row_number is None:

@@ -11,7 +11,15 @@ from sparkrisk.operators import clean as C
 from sparkrisk.operators import history as H
 from sparkrisk.operators.sequence import latest, ordered_window
 from sparkrisk.plans.registry import query
-from sparkrisk.plans.sql import CTE_EVENTS, CTE_FEATURES, CTE_HISTORY, HIST_ORDER, LATEST_ORDER
+from sparkrisk.plans.sql import (
+    CTE_EVENTS,
+    CTE_FEATURES,
+    CTE_HISTORY,
+    CTE_HISTORY_HOT,
+    HIST_ORDER,
+    HOT_KEY_SQL,
+    LATEST_ORDER,
+)
 
 TUPLE = [H.KEY, H.TIME, *H.TIES]
 TUPLE_SQL = ", ".join(TUPLE)
@@ -47,6 +55,18 @@ def c3_build_history(spark, sf_dir):
     return history(spark, sf_dir)
 
 
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with one entity holding about a third of them (ids divisible by 3
+    become '0'): the case the skew-safe window is built for."""
+    return events(spark, sf_dir).withColumn(H.KEY, F.expr(HOT_KEY_SQL))
+
+
+@query("C3_build_history_hot_entity", f"WITH {CTE_HISTORY_HOT} SELECT * FROM hist")
+def c3_build_history_hot_entity(spark, sf_dir):
+    """C3 when one entity holds a third of all rows."""
+    return H.build_history(hot_events(spark, sf_dir))
+
+
 @query("C5_latest_features", f"WITH {CTE_FEATURES} SELECT * FROM feat")
 def c5_latest_features(spark, sf_dir):
     return features(spark, sf_dir)

@@ -9,11 +9,11 @@ from __future__ import annotations
 from sparkrisk.fixtures import CTE_ESTABLISHMENTS, CTE_INSPECTIONS
 
 # Event rows of the history job: P1 filter, C2 training clean, F5 parse of the event time.
-CTE_EVENTS = (
+_EVENTS_TEMPLATE = (
     CTE_INSPECTIONS
     + """,
 ev AS (
-  SELECT property_id,
+  SELECT {key} AS property_id,
          try_strptime(resultdttm_raw, '%Y-%m-%d %H:%M:%S') AS resultdttm,
          issdttm, lower(state) AS state, location, licensecat, descript,
          replace(replace(coalesce(lower(city), 'boston'), '/', ''), '  ', ' ') AS city,
@@ -22,6 +22,11 @@ ev AS (
   WHERE viollevel <> '1919' AND property_id IS NOT NULL AND violstatus <> ' '
 )"""
 )
+CTE_EVENTS = _EVENTS_TEMPLATE.format(key="property_id")
+
+# One entity holding about a third of the rows: every entity id divisible by 3 becomes '0'.
+HOT_KEY_SQL = "CASE WHEN CAST(property_id AS BIGINT) % 3 = 0 THEN '0' ELSE property_id END"
+CTE_EVENTS_HOT = _EVENTS_TEMPLATE.format(key=HOT_KEY_SQL)
 
 HIST_ORDER = (
     "PARTITION BY property_id ORDER BY resultdttm NULLS FIRST, issdttm NULLS FIRST, "
@@ -36,9 +41,8 @@ LATEST_ORDER = (
 )
 
 # C3 history in SQL: distinct tuples, visit counts joined back, windows.
-CTE_HISTORY = (
-    CTE_EVENTS
-    + f""",
+_HISTORY_TAIL = (
+    f""",
 d AS (SELECT DISTINCT property_id, issdttm, state, location, licensecat, descript, city, zip, resultdttm FROM ev),
 v AS (
   SELECT property_id, resultdttm,
@@ -63,6 +67,8 @@ hist AS (
   FROM j WINDOW w AS ({HIST_ORDER})
 )"""
 )
+CTE_HISTORY = CTE_EVENTS + _HISTORY_TAIL
+CTE_HISTORY_HOT = CTE_EVENTS_HOT + _HISTORY_TAIL
 
 # C5 scoring features in SQL.
 CTE_FEATURES = (
