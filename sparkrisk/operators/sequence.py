@@ -7,16 +7,19 @@ entity holds a third of the rows, that task holds a third of the data. ``strateg
 1. ``repartitionByRange(key, time)``: Spark samples the sort keys and cuts the data into
    ordered ranges of similar size, so a hot key is spread over many partitions by time. All
    rows sharing (key, time) land in the same partition, so sums over such a group stay whole.
-2. Windows run per (partition, key) with the full order (time, ties); this is balanced.
-   The result is written once to the shared checkpoint folder: both later branches must
-   see the same partition ids, and a second plan of the range exchange would sample its
-   own bounds (and recompute the whole input).
+2. Windows run per (partition, key) with the full order (time, ties). The rows are moved
+   once more, range-partitioned on the partition id, which gives the windows their
+   (partition, key) clustering with about one range per task (a hash of (partition, key)
+   would let several chunks of a hot key collide in one task). The result is written once
+   as a parquet stage in the shared checkpoint folder: both later branches must see the
+   same partition ids, and a second plan of the range exchange would sample its own bounds
+   (and recompute the whole input).
 3. A key that continues from earlier partitions needs the row count and the last row of
-   those partitions. Per (partition, key) summaries (no shuffle: the checkpoint keeps the
-   (partition, key) clustering) are combined with a window over the summary (at most one
-   row per partition for any key). Only the first key of a partition can continue from an
-   earlier one, so the correction table has at most one row per partition: a size bound
-   that does not grow with the data, which makes the broadcast safe.
+   those partitions. Per (partition, key) summaries (a small aggregate over the stage) are
+   combined with a window over the summary (at most one row per partition for any key).
+   Only the first key of a partition can continue from an earlier one, so the correction
+   table has at most one row per partition: a size bound that does not grow with the data,
+   which makes the broadcast safe.
 
 ``strategy="hash"`` is the plain window, one shuffle, for data known to be free of hot keys.
 
