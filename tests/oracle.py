@@ -40,22 +40,34 @@ def table_digest(columns, rows):
     return [columns[i] for i in order], len(rows), h, normed
 
 
+# Spark type names and the DuckDB names of the same types.
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "array<int>": "INTEGER[]",
+    "array<string>": "VARCHAR[]", "array<bigint>": "BIGINT[]", "array<double>": "DOUBLE[]",
+}
+
+
 def duck(sql: str, sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    cur = con.execute(sql)
-    cols = [d[0] for d in cur.description]
-    return cols, cur.fetchall()
+    rel = con.sql(sql)
+    types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    return list(rel.columns), rel.fetchall(), types
 
 
 def compare(df, sql: str, sf_dir: str):
-    """Return (ok, message)."""
+    """Return (ok, message): column names, column types, row count, value hash."""
     s_cols, s_n, s_h, s_rows = table_digest(df.columns, df.collect())
-    d_cols, d_rows_raw = duck(sql, sf_dir)
+    d_cols, d_rows_raw, d_types = duck(sql, sf_dir)
     d_cols, d_n, d_h, d_rows = table_digest(d_cols, d_rows_raw)
     if s_cols != d_cols:
         return False, f"columns differ: spark={s_cols} duckdb={d_cols}"
+    s_types = {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
+    type_diff = {n: (s_types[n], d_types[n]) for n in s_cols if s_types[n] != d_types[n]}
+    if type_diff:
+        return False, f"types differ (spark, duckdb): {type_diff}"
     if s_n != d_n:
         return False, f"row counts differ: spark={s_n} duckdb={d_n}"
     if s_h != d_h:
