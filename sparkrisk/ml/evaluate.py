@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrisk.operators.joins import bounded_broadcast
 from sparkrisk.operators.sequence import ordered_window
 
 # Seed and training share of the risk model split.
@@ -49,10 +48,9 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score, highest first: pos, neg and their totals up to that score."""
     counts = _score_counts(df, score, label)
     cum = ordered_window(counts, "__k", "__neg_score", running_sums={"tp": "pos", "fp": "neg"})
-    # Totals from the materialized running sums: no second scan of the input. A global
-    # aggregate is provably one row, so it is broadcast and joined on the constant key.
-    totals = cum.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("__k", F.lit(0))
-    return cum.join(bounded_broadcast(totals, 1), "__k")
+    # Totals from the materialized running sums (no second scan of the input), as scalar
+    # subqueries: computed once and used as constants, no join.
+    return cum.withColumns({"P": cum.agg(F.sum("pos")).scalar(), "N": cum.agg(F.sum("neg")).scalar()})
 
 
 def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -74,7 +72,7 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     class is missing."""
     cum = _cumulative(df, score, label)
     area = F.try_divide(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)), F.first("P") * F.first("N"))
-    return cum.groupBy("__k").agg(area.alias("auc")).select("auc")
+    return cum.agg(area.alias("auc"))
 
 
 def accuracy(df: DataFrame, pred: str, label: str) -> DataFrame:
