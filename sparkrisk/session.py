@@ -39,6 +39,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spa
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Remove checkpoint files once their DataFrames are garbage collected.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Managed tables of local runs go to a scratch folder, not the working directory.
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="sparkrisk-warehouse-"))
     )
     for k, v in {**JOB_SETTINGS, **(extra or {})}.items():
         builder = builder.config(k, v)
