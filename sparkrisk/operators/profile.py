@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Relative error 1e-6 of the quantile sketch: exact below a million rows per column.
+# Relative error 1e-6 of the quantile sketch: exact below a million rows per column. The
+# sketch keeps at most about 2 x accuracy entries per column and task whatever the data
+# size (tens of MB per numeric column); lower it for very wide tables.
 PERCENTILE_ACCURACY = 1_000_000
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -85,7 +87,7 @@ def _is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 
 
-def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
+def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
     """Per column: count and unique; for other than numeric columns ``top`` (the most
     frequent non-null value as text, ties broken by the smaller text) and ``freq``; for
     numeric columns mean, std, min, 25/50/75 % and max. Percentiles are the smallest value
@@ -103,7 +105,7 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
         aggs.append(F.count(c).alias(f"d{i}_count"))
         if _is_numeric(f.dataType):
             x = c.cast("double")
-            q = F.percentile_approx(x, list(PERCENTILES), PERCENTILE_ACCURACY)
+            q = F.percentile_approx(x, list(PERCENTILES), accuracy)
             mean, std = F.avg(x), F.stddev_samp(x)
             if digits is not None:
                 mean, std = F.round(mean, digits), F.round(std, digits)
