@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkrisk.ml import model as MD
 from sparkrisk.operators import history as H
 from sparkrisk.schemas import ACTIVE_RAW, ACTIVE_TIME_COLUMNS, INSPECTION_TIME_COLUMNS, INSPECTIONS_RAW
-from sparkrisk.session import prepare
+from sparkrisk.session import prepare, release_stages
 from sparkrisk.sources import pages as PG
 from sparkrisk.sources import tables as TB
 
@@ -46,6 +46,7 @@ def transform(spark: SparkSession, inspections: str, table: str, path: str, stra
     """C3 + S8: the history table."""
     hist = H.build_history(_read(prepare(spark), inspections), strategy=strategy)
     TB.write_table(hist, table, path)
+    release_stages(spark)  # the window stage is no longer read: the table is written
     return spark.table(table)
 
 

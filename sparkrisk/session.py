@@ -92,4 +92,22 @@ def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
         return df.checkpoint(eager=True)
     path = shared_dir(spark, "stage")
     df.write.parquet(path)
+    _STAGES.append(path)
     return spark.read.parquet(path)
+
+
+# Stage folders written by this process, removed by ``release_stages``.
+_STAGES: list[str] = []
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete the stage folders this process has written. Call it only once every result
+    that reads them has been written out (a job's last step). Returns the folder count."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        path.getFileSystem(conf).delete(path, True)
+        done += 1
+    return done

@@ -22,8 +22,11 @@ def test_job_chain(spark):
     ents = J.extract(spark, ent_pages, f"active_{tag}", shared_dir(spark, "act"), "active")
     assert len(ents.columns) == 14
 
+    from sparkrisk import session as SS
+
     hist = J.transform(spark, f"inspections_{tag}", f"inspections_historic_{tag}", shared_dir(spark, "hist"))
     assert len(hist.columns) == 17 and hist.count() > 0
+    assert SS._STAGES == []  # the window stage was released after the table was written
 
     model_path = shared_dir(spark, "model")
     area = J.train(spark, f"inspections_historic_{tag}", model_path)
