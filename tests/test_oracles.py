@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from oracle import compare
 
 import __spark_entry__ as E
+from sparkrisk.session import release_stages
 
 SQL = E.oracle_sql()
 
@@ -33,6 +34,7 @@ def test_matches_oracle(spark, key):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in FORBIDDEN if n in plan], plan
     ok, msg = compare(df, SQL[key], SF_SMALL)
+    release_stages(spark)
     assert ok, msg
 
 
