@@ -50,7 +50,8 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     cum = ordered_window(counts, "__k", "__neg_score", running_sums={"tp": "pos", "fp": "neg"})
     # Totals from the materialized running sums (no second scan of the input), as scalar
     # subqueries: computed once and used as constants, no join.
-    return cum.withColumns({"P": cum.agg(F.sum("pos")).scalar(), "N": cum.agg(F.sum("neg")).scalar()})
+    totals = cum.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
+    return cum.withColumns({"P": totals.getField("P"), "N": totals.getField("N")})
 
 
 def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
