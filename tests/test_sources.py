@@ -39,3 +39,15 @@ def test_file_count(spark):
     local = path.removeprefix("file:")  # the local test checkpoint folder is a file: URI
     assert len([f for f in os.listdir(local) if f.endswith(".parquet")]) == 3
     assert Path(local).exists()
+
+
+def test_read_pages_one_document_per_file(spark, tmp_path):
+    schema = T.StructType.fromDDL("_id int, name string, absent string")
+    for p in range(2):
+        recs = [{"_id": p * 10 + i, "name": f"n{i}", "unknown": True} for i in range(3)]
+        (tmp_path / f"page-{p}.json").write_text(json.dumps({"result": {"total": 6, "records": recs}}, indent=2))
+    df = PG.conform(PG.read_pages(spark, str(tmp_path), schema, multiline=True), schema)
+    rows = sorted((r._id, r.name, r.absent) for r in df.collect())
+    assert rows == [(0, "n0", None), (1, "n1", None), (2, "n2", None), (10, "n0", None), (11, "n1", None),
+                    (12, "n2", None)]
+    assert df.columns == ["_id", "name", "absent"]
