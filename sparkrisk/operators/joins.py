@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 def max_rows(df: DataFrame) -> int | None:
     """Upper bound on the row count that Catalyst can prove from the plan (a ``limit``,
     a one-row aggregate, ...), or None."""
-    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    try:
+        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    except AttributeError:  # no JVM handle (remote client): the bound is unknown
+        return None
     return int(bound.get()) if bound.isDefined() else None
 
 
