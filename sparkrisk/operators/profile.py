@@ -87,7 +87,8 @@ def _is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 
 
-def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCENTILE_ACCURACY,
+                 approx: bool = False) -> DataFrame:
     """Per column: count and unique; for other than numeric columns ``top`` (the most
     frequent non-null value as text, ties broken by the smaller text) and ``freq``; for
     numeric columns mean, std, min, 25/50/75 % and max. Percentiles are the smallest value
@@ -97,12 +98,16 @@ def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCE
     (column, value as text) grouped by value, which gives both the distinct counts and the
     most frequent values; a single row expansion instead of one per distinct count.
     Distinct values are told apart by their text (so -0.0 and 0.0 count twice).
+    ``approx=True`` counts distinct values with HyperLogLog in the first aggregation and
+    expands only the other-than-numeric columns (for ``top``/``freq``).
     """
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
         c = F.col(f.name)
         aggs.append(F.count(c).alias(f"d{i}_count"))
+        if approx:
+            aggs.append(F.approx_count_distinct(c).cast("bigint").alias(f"d{i}_approx_unique"))
         if _is_numeric(f.dataType):
             x = c.cast("double")
             q = F.percentile_approx(x, list(PERCENTILES), accuracy)
@@ -120,11 +125,16 @@ def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCE
             ]
         else:
             aggs += [F.lit(None).cast("double").alias(f"d{i}_{s}") for s in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-    stats = _stack(df.agg(*aggs), [f.name for f in fields],
-                   ["count", "mean", "std", "min", "p25", "p50", "p75", "max"], "d")
+    stat_names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"] + (["approx_unique"] if approx else [])
+    stats = _stack(df.agg(*aggs), [f.name for f in fields], stat_names, "d")
+    expanded = [f for f in fields if not (approx and _is_numeric(f.dataType))]
+    if not expanded:
+        out = stats.withColumns({"unique": F.col("approx_unique"), "top": F.lit(None).cast("string"),
+                                 "freq": F.lit(None).cast("bigint")})
+        return out.select("feature", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(f.name).alias("feature"), F.col(f.name).cast("string").alias("value"))
-                           for f in fields]))
+                           for f in expanded]))
     ).filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").count()
     best = F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("k"), F.col("value")))
@@ -137,7 +147,9 @@ def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCE
         F.when(~is_num, F.col("t.value")).alias("top"),
         F.when(~is_num, F.col("t.count")).alias("freq"),
     )
-    out = stats.join(per, "feature", "left").withColumn("unique", F.coalesce(F.col("unique"), F.lit(0)))
+    out = stats.join(per, "feature", "left")
+    unique = F.col("approx_unique") if approx else F.coalesce(F.col("unique"), F.lit(0))
+    out = out.withColumn("unique", unique.cast("bigint"))
     return out.select("feature", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

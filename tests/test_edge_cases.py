@@ -85,3 +85,18 @@ def test_joins_keep_left_rows(spark):
     ents = spark.createDataFrame([("solo",), ("none",), ("tie",)], "property_id string")
     latest_rows = hist.groupBy("property_id").count()
     assert H.attach_latest(ents, latest_rows).count() == 3
+
+
+def test_describe_all_approx_agrees_on_small_data(spark):
+    from sparkrisk.operators.profile import describe_all
+
+    df = spark.createDataFrame([(i % 7, f"w{i % 3}", float(i)) for i in range(200)], "a int, b string, c double")
+    exact = {r.feature: r for r in describe_all(df).collect()}
+    approx = {r.feature: r for r in describe_all(df, approx=True).collect()}
+    assert set(exact) == set(approx) == {"a", "b", "c"}
+    for k in exact:
+        e, a = exact[k], approx[k]
+        assert (e["count"], e.top, e.freq, e.mean, e.p50) == (a["count"], a.top, a.freq, a.mean, a.p50)
+        # approx_count_distinct has a 5 % relative standard error: allow three of them
+        assert abs(e.unique - a.unique) <= max(1, 0.15 * e.unique)
+    assert exact["b"].top == "w0" and exact["a"].unique == 7
