@@ -51,3 +51,12 @@ def test_read_pages_one_document_per_file(spark, tmp_path):
     assert rows == [(0, "n0", None), (1, "n1", None), (2, "n2", None), (10, "n0", None), (11, "n1", None),
                     (12, "n2", None)]
     assert df.columns == ["_id", "name", "absent"]
+
+
+def test_parse_times_mapping_and_bad_text(spark):
+    df = spark.createDataFrame([("2020-01-02 03:04:05", "not-a-date")], "issdttm string, violdttm string")
+    own = PG.parse_times(df, ["issdttm", "violdttm"]).first()
+    assert str(own.issdttm) == "2020-01-02 03:04:05" and own.violdttm is None
+    # each column parsed from another one, e.g. every later time column from the issue time
+    mapped = PG.parse_times(df, {"issdttm": "issdttm", "violdttm": "issdttm"}).first()
+    assert mapped.violdttm == mapped.issdttm
