@@ -100,3 +100,13 @@ def test_describe_all_approx_agrees_on_small_data(spark):
         # approx_count_distinct has a 5 % relative standard error: allow three of them
         assert abs(e.unique - a.unique) <= max(1, 0.15 * e.unique)
     assert exact["b"].top == "w0" and exact["a"].unique == 7
+
+
+def test_pivot_keeps_columns_for_absent_values(spark):
+    """Explicit values: a status that never occurs still gives its column (all null), and an
+    unexpected status gives none."""
+    df = spark.createDataFrame([("k", 1, "Pass"), ("k", 1, "Pass"), ("k", 2, "Other")], "p string, t int, s string")
+    out = H.pivot_count(df, ["p", "t"], "s", {"viol_fail": "Fail", "viol_pass": "Pass"})
+    assert out.columns == ["p", "t", "viol_fail", "viol_pass"]
+    rows = {r.t: (r.viol_fail, r.viol_pass) for r in out.collect()}
+    assert rows == {1: (None, 2), 2: (None, None)}
