@@ -111,6 +111,25 @@ def build_history(
     )
 
 
+def latest_state(
+    history: DataFrame,
+    as_of: str | None = None,
+    key: str = KEY,
+    time: str = TIME,
+    ties: Sequence[str] = TIES,
+) -> DataFrame:
+    """W5 + F6/F7: per entity, the latest history row's ordinal, days from it to ``as_of``
+    and its outcome counts (as the previous counts of the next event)."""
+    last = latest(history, key, time, ties, cols=[time, "inspections_so_far", "viol_fail", "viol_pass"])
+    return last.select(
+        key,
+        F.col("inspections_so_far").cast("int").alias("inspections_so_far"),
+        S.days_between(S.as_of_date(as_of), F.col(time)).alias("days_since_last_inspect"),
+        F.col("viol_fail").cast("int").alias("last_viol_fail"),
+        F.col("viol_pass").cast("int").alias("last_viol_pass"),
+    )
+
+
 def latest_features(
     history: DataFrame,
     entities: DataFrame,
@@ -126,14 +145,7 @@ def latest_features(
     ``days_since_last_inspect`` counts from ``as_of`` (today when None). Entities without
     history get ``first_fill`` days and 0 for the other features.
     """
-    last = latest(history, key, time, ties, cols=[time, "inspections_so_far", "viol_fail", "viol_pass"])
-    last = last.select(
-        key,
-        F.col("inspections_so_far").cast("int").alias("inspections_so_far"),
-        S.days_between(S.as_of_date(as_of), F.col(time)).alias("days_since_last_inspect"),
-        F.col("viol_fail").cast("int").alias("last_viol_fail"),
-        F.col("viol_pass").cast("int").alias("last_viol_pass"),
-    )
+    last = latest_state(history, as_of, key, time, ties)
     ents = C.clean_city(C.rename(entities, renames), stage="score")
     data = attach_latest(ents, last, key)
     data = data.fillna(first_fill, subset=["days_since_last_inspect"])

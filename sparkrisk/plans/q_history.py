@@ -162,14 +162,6 @@ def j1_attach_counts(spark, sf_dir):
     "lt.last_viol_fail, lt.last_viol_pass FROM ents LEFT JOIN lt ON ents.property_id = lt.property_id",
 )
 def j2_attach_latest(spark, sf_dir):
-    h = history(spark, sf_dir)
-    last = latest(h, H.KEY, H.TIME, H.TIES, cols=[H.TIME, "inspections_so_far", "viol_fail", "viol_pass"])
-    last = last.select(
-        H.KEY,
-        F.col("inspections_so_far").cast("int").alias("inspections_so_far"),
-        S.days_between(S.as_of_date(FX.AS_OF), H.TIME).alias("days_since_last_inspect"),
-        F.col("viol_fail").cast("int").alias("last_viol_fail"),
-        F.col("viol_pass").cast("int").alias("last_viol_pass"),
-    )
+    last = H.latest_state(history(spark, sf_dir), as_of=FX.AS_OF)
     ents = C.clean_city(C.rename(FX.fx_establishments(spark, sf_dir), H.ENTITY_RENAMES), stage="score")
     return H.attach_latest(ents, last)
