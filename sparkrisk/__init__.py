@@ -8,7 +8,7 @@ The main operators, importable from the package root (no session is needed to im
 from sparkrisk.ml.evaluate import accuracy, auc, hash_split, roc_curve
 from sparkrisk.ml.model import predict_risk, risk_pipeline, train_risk
 from sparkrisk.operators.clean import clean_city, clean_events
-from sparkrisk.operators.history import build_history, latest_features, pivot_count
+from sparkrisk.operators.history import build_history, latest_features, latest_state, pivot_count
 from sparkrisk.operators.profile import corr_matrix, describe_all, profile, value_counts
 from sparkrisk.operators.sequence import latest, ordered_window
 from sparkrisk.operators.text import decode, encode, ngrams, pad, tokens, vocabulary
@@ -20,7 +20,7 @@ __version__ = "0.1.0"
 
 __all__ = [
     "accuracy", "auc", "build_history", "clean_city", "clean_events", "conform", "corr_matrix", "decode",
-    "describe_all", "encode", "hash_split", "ingest", "ingest_stream", "latest", "latest_features",
+    "describe_all", "encode", "hash_split", "ingest", "ingest_stream", "latest", "latest_features", "latest_state",
     "local_session", "materialize", "ngrams", "ordered_window", "pad", "page_plan", "pivot_count",
     "predict_risk", "prepare", "profile", "read_pages", "release_stages", "risk_pipeline", "roc_curve",
     "tokens", "train_risk", "value_counts", "vocabulary",
