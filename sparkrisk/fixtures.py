@@ -56,7 +56,7 @@ CTE_ESTABLISHMENTS = f"fx_establishments AS ({FX_ESTABLISHMENTS_SQL})"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
