@@ -110,3 +110,13 @@ def test_pivot_keeps_columns_for_absent_values(spark):
     assert out.columns == ["p", "t", "viol_fail", "viol_pass"]
     rows = {r.t: (r.viol_fail, r.viol_pass) for r in out.collect()}
     assert rows == {1: (None, 2), 2: (None, None)}
+
+
+def test_ordered_outputs(spark):
+    from sparkrisk.operators.profile import profile, value_counts
+    from sparkrisk.plans.q_ops import head_rows
+
+    df = spark.createDataFrame([("b", None), ("a", 1), ("b", 2), ("c", None), ("a", None), ("b", 3)], "v string, n int")
+    assert [(r.value, r["count"]) for r in value_counts(df, "v").collect()] == [("b", 3), ("a", 2), ("c", 1)]
+    assert [r.feature for r in profile(df).collect()] == ["n", "v"]  # most missing first
+    assert [r.n for r in head_rows(df.filter("n IS NOT NULL"), 2, ["n"]).collect()] == [1, 2]
