@@ -60,3 +60,14 @@ def test_parse_times_mapping_and_bad_text(spark):
     # each column parsed from another one, e.g. every later time column from the issue time
     mapped = PG.parse_times(df, {"issdttm": "issdttm", "violdttm": "issdttm"}).first()
     assert mapped.violdttm == mapped.issdttm
+
+
+def test_empty_table_written_with_schema(spark):
+    import uuid
+
+    from sparkrisk.schemas import HISTORY, INSPECTIONS_RAW
+
+    name = f"empty_{uuid.uuid4().hex[:8]}"
+    t = TB.empty_table(spark, HISTORY, name, shared_dir(spark, "empty"))
+    assert t.count() == 0 and t.schema == HISTORY
+    assert TB.empty_table(spark, INSPECTIONS_RAW).columns == INSPECTIONS_RAW.fieldNames()
