@@ -18,9 +18,11 @@ def test_contract_keys():
 
 
 def test_entry_runs(spark):
+    from sparkrisk.schemas import HISTORY
+
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns[:2] == ["property_id", "resultdttm"]
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in HISTORY.fields]
 
 
 # Plan nodes no query may use: pair-producing joins, and row-at-a-time or Arrow Python
