@@ -61,3 +61,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_token_files(table(spark, sf_dir, "documents"), shared_dir(spark, "tokens"),
                              _tokenizer("byte_bpe_50k.json"), end_id=0)
     return read_token_files(spark, path)
+
+
+@_query("op6_main_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from sparkrisk.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
