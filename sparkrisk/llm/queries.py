@@ -69,3 +69,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkrisk.llm.html import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@_query("op1_hilbert_neighbours")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    from sparkrisk.llm.ann import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, k=20, query=vectors["vec_id"] % 20 == 0)
