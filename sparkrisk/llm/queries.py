@@ -78,3 +78,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, k=20, query=vectors["vec_id"] % 20 == 0)
+
+
+@_query("op9_line_crf_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    from pyspark.sql import functions as F
+
+    from sparkrisk.llm import crf
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = crf.fit(docs, table(spark, sf_dir, "labels"))
+    return crf.score(docs, model).select("doc_id", crf.held_out("doc_id").alias("held_out"), "score",
+                                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
