@@ -91,3 +91,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = crf.fit(docs, table(spark, sf_dir, "labels"))
     return crf.score(docs, model).select("doc_id", crf.held_out("doc_id").alias("held_out"), "score",
                                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@_query("op7_fm_index_repeats")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat an earlier 20-word window, removed."""
+    from sparkrisk.llm.substring import kept_digests
+
+    return kept_digests(table(spark, sf_dir, "documents"))
