@@ -99,3 +99,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkrisk.llm.substring import kept_digests
 
     return kept_digests(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_minhash_coordinates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates: four-word shingles, similarity of 0.8 or more."""
+    from sparkrisk.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
