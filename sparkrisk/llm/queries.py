@@ -107,3 +107,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkrisk.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@_query("op3_robust_outliers")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and robust outlier verdict of every document, per language and source."""
+    from sparkrisk.llm.outliers import verdicts
+
+    return verdicts(table(spark, sf_dir, "documents"))
