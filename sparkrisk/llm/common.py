@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkrisk.session import prepare, shared_dir
 
@@ -32,3 +33,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def join_small(rows: DataFrame, side: DataFrame, on, how: str, most: int) -> DataFrame:
+    """Join a written table: by broadcast if it has at most ``most`` rows, else by shuffle."""
+    return rows.join(F.broadcast(side) if side.limit(most + 1).count() <= most else side, on, how)

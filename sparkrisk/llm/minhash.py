@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrisk.llm.common import stage
+from sparkrisk.llm.common import join_small, stage
 from sparkrisk.llm.components import components
 from sparkrisk.llm.wordhash import Runs, mix, utf8, words
 
@@ -41,6 +41,7 @@ COORDINATES = 48
 MATCHES = 26
 # Shingles that a chunk of a cluster brings into one task, about.
 CHUNK_SHINGLES = 1_500_000
+MAX_BROADCAST_IDS = 500_000
 
 
 def shingle_sets(column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,6 +240,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                       F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose id is its component's smallest (for one of its texts, where an
+    id is repeated). Rows with a null id stay."""
+    found = near_duplicates(docs, key, **options)
+    gone = stage(found.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("kept").alias("kept")).filter("not kept").select(
+        F.col(key).alias("__gone")), "dropped")
+    return join_small(docs, gone, docs[key] == F.col("__gone"), "left_anti", MAX_BROADCAST_IDS)
+
+
 def _links_across(sets: DataFrame, chunked: DataFrame, hubs: DataFrame, links: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links between chunks of one cluster: documents outside the component of its hub meet the
     cluster's other chunks."""

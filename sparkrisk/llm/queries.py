@@ -115,3 +115,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkrisk.llm.outliers import verdicts
 
     return verdicts(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_disclosure_spans")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that give it away, in every document."""
+    from sparkrisk.llm.disclosure import find_spans
+
+    return find_spans(table(spark, sf_dir, "documents"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
