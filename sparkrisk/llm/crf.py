@@ -29,6 +29,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkrisk.llm.wordhash import mix, utf8
+from sparkrisk.llm.wordhash import words as word_hashes
+
 # Labelled documents used for fitting, at most: the only sample, its bound does not grow.
 SAMPLE_DOCS = 4000
 
@@ -70,24 +73,17 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     starts[0] = 0
     length = ends - starts
     x = np.zeros((len(ends), OWN), dtype=np.float32)
-    size = np.maximum(length, 1)
+    size, c = np.maximum(length, 1), len(_CLASSES)
     full = np.nonzero(length)[0]
     if len(full):
         bounds = np.stack([starts[full], ends[full]], 1).ravel()
         padded = np.append(data, np.uint8(10))
         for i in range(len(_CLASSES)):
             x[full, i] = np.add.reduceat(_LUTS[i][padded], bounds, dtype=np.int64)[::2] / size[full]
-        # Words: runs of bytes above space; a hash of each from weighted byte sums.
-        word = padded > 32
-        edge = np.diff(word.astype(np.int8), prepend=0)
-        first, stop = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+        hashes, first, _, _ = word_hashes(data, offsets, lower=True)
         line = np.searchsorted(starts, first, side="right") - 1
         if len(first):
-            weight = _mix(np.arange(len(padded), dtype=np.uint64) - np.repeat(
-                np.concatenate([[0], first]).astype(np.uint64), np.diff(np.concatenate([[0], first, [len(padded)]]))))
-            lower = np.where((padded >= 65) & (padded <= 90), padded + 32, padded).astype(np.uint64) + np.uint64(1)
-            sums = np.add.reduceat(np.where(word, lower * weight, np.uint64(0)), first)
-            code = _mix(sums) >> np.uint64(28)
+            code = hashes >> np.uint64(28)
             words = np.bincount(line, minlength=len(ends))
             distinct = np.unique(line.astype(np.uint64) << np.uint64(36) | code) >> np.uint64(36)
             unique = np.bincount(distinct.astype(np.int64), minlength=len(ends))
@@ -95,19 +91,18 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
             same = np.nonzero((code[1:] == code[:-1]) & (line[1:] == line[:-1]))[0]
             np.add.at(again, line[same], 1)
             some = np.maximum(words, 1)
-            c = len(_CLASSES)
             x[:, c] = np.minimum(length / some, 40) / 10
             x[:, c + 1] = 1 - unique / some
             x[:, c + 2] = again / some
             x[:, c + 3] = np.log1p(words) / 5
             # Lines with an equal line in the same text: equal sums of word hashes and length.
-            key = _mix(np.bincount(line, weights=(code >> np.uint64(8)).astype(np.float64), minlength=len(ends)).astype(np.uint64)
-                       + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                       + np.repeat(np.arange(n, dtype=np.uint64), lines) * np.uint64(0xC2B2AE3D27D4EB4F))
+            key = mix(np.bincount(line, weights=(code >> np.uint64(8)).astype(np.float64), minlength=len(ends)).astype(np.uint64)
+                      + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                      + np.repeat(np.arange(n, dtype=np.uint64), lines) * np.uint64(0xC2B2AE3D27D4EB4F))
             _, at, count = np.unique(key, return_inverse=True, return_counts=True)
             x[:, c + 4] = ((count[at] > 1) & (length > 0)).astype(np.float32)
-            x[:, c + 5] = np.log1p(length) / 8
-            x[:, c + 6] = np.repeat(np.log1p(lines), lines) / 5
+    x[:, c + 5] = np.log1p(length) / 8
+    x[:, c + 6] = np.repeat(np.log1p(lines), lines) / 5
     out = np.zeros((len(ends), FEATURES), dtype=np.float32)
     out[:, :OWN] = x
     begin = np.ones(len(ends), dtype=bool)
@@ -123,12 +118,6 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return out, length, lines
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 @dataclass
 class ChainModel:
     weights: np.ndarray  # unary log-odds of good
@@ -214,18 +203,6 @@ def fit_chain(features: np.ndarray, length: np.ndarray, lines: np.ndarray, label
     return chain
 
 
-def _texts(column) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes and offsets of an Arrow string column; nulls are empty."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    buffers = column.buffers()
-    offsets = np.frombuffer(buffers[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
-    return data, offsets
-
-
 def held_out(key: str):
     """Rows kept out of training: crc32 of the id's text divisible by 5."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -246,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, length, lines = line_features(*_texts(batch.column(2)))
+            x, length, lines = line_features(*utf8(batch.column(2)))
             cut = np.cumsum(lines)[:-1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([a.tobytes() for a in np.split(x, cut)], pa.binary()),
@@ -274,7 +251,7 @@ def score(docs: DataFrame, model: ChainModel, text: str = "text", out: str = "sc
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            s = model.score(*line_features(*_texts(batch.column(at)))) if batch.num_rows else []
+            s = model.score(*line_features(*utf8(batch.column(at)))) if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[f.name for f in schema.fields])
 
     return docs.select(*[docs[f.name] for f in fields]).mapInArrow(run, schema)
