@@ -92,7 +92,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
             np.add.at(again, line[same], 1)
             some = np.maximum(words, 1)
             x[:, c] = np.minimum(length / some, 40) / 10
-            x[:, c + 1] = 1 - unique / some
+            x[:, c + 1] = (words - unique) / some
             x[:, c + 2] = again / some
             x[:, c + 3] = np.log1p(words) / 5
             # Lines with an equal line in the same text: equal sums of word hashes and length.
