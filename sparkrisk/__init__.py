@@ -12,7 +12,7 @@ from sparkrisk.operators.history import build_history, latest_features, latest_s
 from sparkrisk.operators.profile import corr_matrix, describe_all, profile, value_counts
 from sparkrisk.operators.sequence import latest, ordered_window
 from sparkrisk.operators.text import decode, encode, ngrams, pad, tokens, vocabulary
-from sparkrisk.session import local_session, materialize, prepare, release_stages
+from sparkrisk.session import local_session, materialize, prepare, stage_scope
 from sparkrisk.sources.pages import conform, ingest, page_plan, read_pages
 from sparkrisk.streaming.ingest import ingest_stream
 
@@ -22,6 +22,6 @@ __all__ = [
     "accuracy", "auc", "build_history", "clean_city", "clean_events", "conform", "corr_matrix", "decode",
     "describe_all", "encode", "hash_split", "ingest", "ingest_stream", "latest", "latest_features", "latest_state",
     "local_session", "materialize", "ngrams", "ordered_window", "pad", "page_plan", "pivot_count",
-    "predict_risk", "prepare", "profile", "read_pages", "release_stages", "risk_pipeline", "roc_curve",
+    "predict_risk", "prepare", "profile", "read_pages", "risk_pipeline", "roc_curve", "stage_scope",
     "tokens", "train_risk", "value_counts", "vocabulary",
 ]

@@ -34,7 +34,6 @@ SELECT CAST(l.l_orderkey * 10 + l.l_linenumber AS BIGINT) AS _id,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE o.o_custkey % 5 <> 0
 """
 
 FX_ESTABLISHMENTS_SQL = """

@@ -19,11 +19,17 @@ TRAIN_SHARE = 0.9
 
 
 def split_column(key, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED):
-    """Boolean column: True for the training side. The first 16 bits of
-    md5(key || seed) against ``share``: the same rows on any engine and any partitioning."""
-    threshold = format(min(int(share * 65536), 65535), "04x")
-    k = F.col(key) if isinstance(key, str) else key
-    return F.substring(F.md5(F.concat(k.cast("string"), F.lit(str(seed)))), 1, 4) < F.lit(threshold)
+    """Boolean column, never null: True for the training side. The first 32 bits of
+    md5(key || seed) against ``share``: the same rows on any engine and any partitioning. A
+    null key is hashed as an empty one; a share of 1 takes all rows."""
+    k = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
+    bits = F.conv(F.substring(F.md5(F.concat(k, F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
+    return bits < F.lit(split_threshold(share))
+
+
+def split_threshold(share: float) -> int:
+    """Hash values below this (of 2^32) are on the training side."""
+    return round(share * (1 << 32))
 
 
 def hash_split(df: DataFrame, key: str, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:

@@ -27,10 +27,11 @@ from sparkrisk.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 # Forest settings of the risk model.
 FOREST = {"numTrees": 20, "maxDepth": 5, "impurity": "gini", "maxBins": 32}
 LABEL = "fail"
-# Working columns removed from scored rows.
-WORK_COLUMNS = ("inspections_so_far", "days_since_last_inspect", "last_viol_fail", "last_viol_pass",
-                "licensecatIndex", "licensecatVec", "descriptIndex", "descriptVec", "cityIndex", "cityVec",
-                "zipIndex", "zipVec", "features", "rawPrediction", "prediction", "probability")
+# Working columns removed from scored rows.
+WORK_COLUMNS = (*NUMERIC_FEATURES, *(f"{c}{kind}" for c in CATEGORICAL_FEATURES for kind in ("Index", "Vec")),
+                "features", "rawPrediction", "prediction", "probability")
+# Most values of a categorical feature: they are kept on the driver and widen every vector.
+MAX_CATEGORIES = 100_000
 
 
 def string_index(df: DataFrame, col: str) -> DataFrame:
@@ -94,8 +95,18 @@ def training_frame(history: DataFrame) -> DataFrame:
     return df.drop("location", "last_inspections", "resultdttm", "issdttm", "state", "viol_fail", "viol_pass")
 
 
+def check_categories(df: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES, most: int = MAX_CATEGORIES) -> None:
+    """Refuse features with more than ``most`` values before an indexer collects them: one
+    aggregation of sketches, and a margin for their error."""
+    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    wide = {c: counts[c] for c in cols if counts[c] > 1.1 * most}
+    if wide:
+        raise ValueError(f"too many categories to index: {wide}; group rare values first")
+
+
 def fit(df: DataFrame, kind: str = "forest", **params) -> PipelineModel:
     """M7."""
+    check_categories(df)
     return risk_pipeline(kind, **params).fit(df)
 
 
@@ -166,9 +177,10 @@ def importances(model: PipelineModel, scored: DataFrame, features: str = "featur
 
 
 def train_risk(history: DataFrame, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED, kind: str = "forest",
-               key: Sequence[str] = ("property_id", "resultdttm")) -> tuple[PipelineModel, DataFrame, float]:
-    """C4: split by a hash of the key, fill training nulls with 0, fit, score the test
-    side, and return (model, scored test rows, AUC)."""
+               key: Sequence[str] = ("property_id", "resultdttm")) -> tuple[PipelineModel, DataFrame]:
+    """C4: split by a hash of the key, fill training nulls with 0, fit, and return (model,
+    scored test rows); ``evaluate_auc`` of those gives the held-out AUC. The test side is not
+    read until its rows are used."""
     keyed = history.withColumn("__key", F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
     df = training_frame(keyed)
     train, test = hash_split(df, "__key", share, seed)
@@ -178,8 +190,7 @@ def train_risk(history: DataFrame, share: float = TRAIN_SHARE, seed: int = SPLIT
         model = fit(train, kind=kind)
     finally:
         train.unpersist()
-    scored = score(model, test)
-    return model, scored, evaluate_auc(scored)
+    return model, score(model, test)
 
 
 def predict_risk(features: DataFrame, model: PipelineModel) -> DataFrame:

@@ -1,7 +1,8 @@
 """Table profiles.
 
 Every statistic is a partial aggregate: computed per task, combined map-side, then merged.
-Nothing collects a column into one task; percentiles use a bounded-memory quantile sketch.
+Nothing collects a column into one task; percentiles are exact, from running counts over ordered
+ranges of the distinct values.
 """
 
 from __future__ import annotations
@@ -12,10 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Relative error 1e-6 of the quantile sketch: exact below a million rows per column. The
-# sketch keeps at most about 2 x accuracy entries per column and task whatever the data
-# size (tens of MB per numeric column); lower it for very wide tables.
-PERCENTILE_ACCURACY = 1_000_000
+from sparkrisk.operators.sequence import ordered_window
+
 PERCENTILES = (0.25, 0.5, 0.75)
 
 
@@ -44,35 +43,26 @@ def _stack(df_one_row: DataFrame, names: Sequence[str], fields: Sequence[str], p
     return df_one_row.select(F.inline(F.array(*structs)))
 
 
-def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame) -> DataFrame:
     """Per column: distinct non-null values, type, missing count and share, sorted by
     missing descending.
 
-    Exact (default): one scan. Each row becomes (column, value as text) pairs, grouped by
-    pair with a map-side partial aggregate; per column, the null group gives the missing
-    count, the other groups the distinct count, and all groups the row count. Values are
-    told apart by their text. ``approx=True`` uses one aggregation with HyperLogLog
-    sketches instead (no row expansion at all).
+    One scan. Each row becomes (column, value as text) pairs, grouped by pair with a map-side
+    partial aggregate; per column, the null group gives the missing count, the other groups the
+    distinct count, and all groups the row count. Values are told apart by their text.
     """
     names = df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     type_of = F.create_map(*[x for c in names for x in (F.lit(c), F.lit(types[c]))])
-    if approx:
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"p{i}_missing") for i, c in enumerate(names)]
-        aggs += [F.approx_count_distinct(F.col(c)).cast("bigint").alias(f"p{i}_classes") for i, c in enumerate(names)]
-        wide = df.agg(*aggs).withColumns({f"p{i}_n": F.col("__n") for i in range(len(names))})
-        per = _stack(wide, names, ["classes", "missing", "n"], "p")
-    else:
-        pairs = df.select(
-            F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names]))
-        )
-        groups = pairs.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
-        per = groups.groupBy("feature").agg(
-            F.count("value").alias("classes"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("missing"),
-            F.sum("rows").alias("n"),
-        )
+    pairs = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in names]))
+    )
+    groups = pairs.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
+    per = groups.groupBy("feature").agg(
+        F.count("value").alias("classes"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("missing"),
+        F.sum("rows").alias("n"),
+    )
     out = per.select(
         "feature",
         F.col("classes").cast("bigint").alias("classes"),
@@ -87,77 +77,57 @@ def _is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 
 
-def describe_all(df: DataFrame, digits: int | None = None, accuracy: int = PERCENTILE_ACCURACY,
-                 approx: bool = False) -> DataFrame:
+def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Per column: count and unique; for other than numeric columns ``top`` (the most
     frequent non-null value as text, ties broken by the smaller text) and ``freq``; for
     numeric columns mean, std, min, 25/50/75 % and max. Percentiles are the smallest value
-    reaching the share (exact up to the sketch error). ``digits`` rounds mean and std.
+    reaching the share, exact at any size. ``digits`` rounds mean and std.
 
-    Two passes: one aggregation for counts and numeric statistics, and one long form
-    (column, value as text) grouped by value, which gives both the distinct counts and the
-    most frequent values; a single row expansion instead of one per distinct count.
+    One aggregation for counts and moments, and one long form (column, value as text) counted
+    by value, which gives the distinct counts, the most frequent values and, by running counts
+    in value order (``ordered_window``: ranges, no column in one task), the percentiles.
     Distinct values are told apart by their text (so -0.0 and 0.0 count twice).
-    ``approx=True`` counts distinct values with HyperLogLog in the first aggregation and
-    expands only the other-than-numeric columns (for ``top``/``freq``).
     """
     fields = df.schema.fields
+    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
     aggs = []
     for i, f in enumerate(fields):
-        c = F.col(f.name)
-        aggs.append(F.count(c).alias(f"d{i}_count"))
-        if approx:
-            aggs.append(F.approx_count_distinct(c).cast("bigint").alias(f"d{i}_approx_unique"))
-        if _is_numeric(f.dataType):
-            x = c.cast("double")
-            q = F.percentile_approx(x, list(PERCENTILES), accuracy)
-            mean, std = F.avg(x), F.stddev_samp(x)
-            if digits is not None:
-                mean, std = F.round(mean, digits), F.round(std, digits)
-            aggs += [
-                mean.alias(f"d{i}_mean"),
-                std.alias(f"d{i}_std"),
-                F.min(x).alias(f"d{i}_min"),
-                q[0].alias(f"d{i}_p25"),
-                q[1].alias(f"d{i}_p50"),
-                q[2].alias(f"d{i}_p75"),
-                F.max(x).alias(f"d{i}_max"),
-            ]
-        else:
-            aggs += [F.lit(None).cast("double").alias(f"d{i}_{s}") for s in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-    stat_names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"] + (["approx_unique"] if approx else [])
-    stats = _stack(df.agg(*aggs), [f.name for f in fields], stat_names, "d")
-    expanded = [f for f in fields if not (approx and _is_numeric(f.dataType))]
-    if not expanded:
-        out = stats.withColumns({"unique": F.col("approx_unique"), "top": F.lit(None).cast("string"),
-                                 "freq": F.lit(None).cast("bigint")})
-        return out.select("feature", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(f.name).alias("feature"), F.col(f.name).cast("string").alias("value"))
-                           for f in expanded]))
-    ).filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").count()
+        c, is_num = F.col(f.name), f.name in numeric
+        x = c.cast("double") if is_num else F.lit(None).cast("double")
+        stats = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+        if digits is not None:
+            stats |= {k: F.round(stats[k], digits) for k in ("mean", "std")}
+        aggs += [F.count(c).alias(f"d{i}_count"), *[v.alias(f"d{i}_{k}") for k, v in stats.items()]]
+    stats = _stack(df.agg(*aggs), [f.name for f in fields], ["count", "mean", "std", "min", "max"], "d")
+    pairs = [F.struct(F.lit(f.name).alias("feature"), F.col(f.name).cast("string").alias("value"),
+                      (F.col(f.name).cast("double") if f.name in numeric else F.lit(None).cast("double")).alias("x"))
+             for f in fields]
+    long = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    counts = long.groupBy("feature", "value", "x").agg(F.count(F.lit(1)).alias("count"))
+    if numeric:
+        counts = ordered_window(counts, "feature", "x", ["value"], running_sums={"upto": "count"})
+    else:
+        counts = counts.withColumn("upto", F.lit(None).cast("bigint"))
     best = F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("k"), F.col("value")))
-    per = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("unique"), best.alias("t"))
-    numeric = [f.name for f in fields if _is_numeric(f.dataType)]
     is_num = F.col("feature").isin(*numeric) if numeric else F.lit(False)
-    per = per.select(
-        "feature",
-        "unique",
-        F.when(~is_num, F.col("t.value")).alias("top"),
-        F.when(~is_num, F.col("t.count")).alias("freq"),
-    )
-    out = stats.join(per, "feature", "left")
-    unique = F.col("approx_unique") if approx else F.coalesce(F.col("unique"), F.lit(0))
-    out = out.withColumn("unique", unique.cast("bigint"))
+    sizes = stats.select("feature", F.col("count").alias("n"))
+    reached = [F.min(F.when(F.col("x").isNotNull() & (F.col("upto") >= F.lit(p) * F.col("n")), F.col("x"))).alias(f"p{int(100 * p)}")
+               for p in PERCENTILES]
+    # One row per column on the right side: as many as the schema has.
+    per = counts.join(F.broadcast(sizes), "feature").groupBy("feature").agg(
+        F.count(F.lit(1)).alias("unique"), best.alias("t"), *reached)
+    per = per.select("feature", "unique", *[f"p{int(100 * p)}" for p in PERCENTILES],
+                     F.when(~is_num, F.col("t.value")).alias("top"), F.when(~is_num, F.col("t.count")).alias("freq"))
+    out = stats.join(per, "feature", "left").withColumn("unique", F.coalesce(F.col("unique"), F.lit(0)).cast("bigint"))
     return out.select("feature", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation for every ordered pair (a, b) of numeric columns, using the
     rows where both are non-null; rounded to ``digits``."""
-    pairs = [(a, b) for a in cols for b in cols]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(F.col(f"c{i}"), digits).alias("r"))
-               for i, (a, b) in enumerate(pairs)]
+    # Correlation is symmetric: each unordered pair is computed once and listed in both orders.
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
+    one = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"c{i}_{j}") for i, j in pairs])
+    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(F.col(f"c{max(i, j)}_{min(i, j)}"), digits).alias("r"))
+               for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return one.select(F.inline(F.array(*structs)))

@@ -4,9 +4,10 @@ A plain ``Window.partitionBy(key)`` sends every row of one key to one task. If a
 entity holds a third of the rows, that task holds a third of the data. ``strategy="range"``
 (the default) avoids this:
 
-1. ``repartitionByRange(key, time)``: Spark samples the sort keys and cuts the data into
-   ordered ranges of similar size, so a hot key is spread over many partitions by time. All
-   rows sharing (key, time) land in the same partition, so sums over such a group stay whole.
+1. Spark cuts the data into ordered ranges of similar size by (key, time, ties), so a hot key
+   is spread over many partitions, and so are the rows of a hot key that share one time. With
+   sums over (key, time) groups, rows of one group must stay together: the cut is by (key,
+   time) there, and by the ties only among rows without a time, which form no group.
 2. Windows run per (partition, key) with the full order (time, ties). The rows are moved
    once more, range-partitioned on the partition id, which gives the windows their
    (partition, key) clustering with about one range per task (a hash of (partition, key)
@@ -14,17 +15,15 @@ entity holds a third of the rows, that task holds a third of the data. ``strateg
    as a parquet stage in the shared checkpoint folder: both later branches must see the
    same partition ids, and a second plan of the range exchange would sample its own bounds
    (and recompute the whole input).
-3. A key that continues from earlier partitions needs the row count and the last row of
-   those partitions. Per (partition, key) summaries (a small aggregate over the stage) are
-   combined with a window over the summary (at most one row per partition for any key).
-   Only the first key of a partition can continue from an earlier one, so the correction
-   table has at most one row per partition: a size bound that does not grow with the data,
-   which makes the broadcast safe.
+3. Only the first and the last key of a range can continue in another one. The local windows
+   mark the last row of those keys; it carries their count, running sums and lag sources. So
+   the correction reads at most two rows per range (no aggregate over the data), combines them
+   with a window over ranges, and is broadcast: its bound is twice the partition count.
 
 ``strategy="hash"`` is the plain window, one shuffle, for data known to be free of hot keys.
 
-W5 (latest row per key) needs no window at all: ``max_by`` over the order is a partial
-aggregate, combined map-side before the shuffle, so hot keys are pre-aggregated.
+W5 (latest row per key) is ``row_number() = 1``, which Spark plans with a group limit before the
+shuffle: every task sends at most one row per key, so a hot key is reduced in the tasks.
 """
 
 from __future__ import annotations
@@ -38,6 +37,7 @@ from sparkrisk.session import materialize
 
 _PID = "__seq_pid"
 _LRN = "__seq_lrn"
+_EDGE = "__seq_edge"
 
 
 def _order(time: str, ties: Sequence[str]) -> list[Column]:
@@ -60,7 +60,7 @@ def ordered_window(
 ) -> DataFrame:
     """Add per-key ordered columns.
 
-    - ``row_number``: name of a 1..n ordinal per key (W1).
+    - ``row_number``: name of a 1..n bigint ordinal per key (W1).
     - ``lags``: ``{out: src}``, value of ``src`` on the previous row of the key (W2, W4).
     - ``group_sums``: ``{out: src}``, sum of ``src`` over rows with the same (key, time),
       computed before the lags, so a lag may read a group sum. A null time forms no group
@@ -70,6 +70,9 @@ def ordered_window(
 
     The order is ``time`` then ``ties``, all ascending with nulls first. Rows with a null
     key form one group, as in a SQL window.
+
+    With ``strategy="range"`` the call itself runs a job: it writes the window stage. Jobs own
+    it through ``session.stage_scope``.
     """
     lags = dict(lags or {})
     group_sums = dict(group_sums or {})
@@ -82,6 +85,9 @@ def ordered_window(
     # Without a fixed count, adaptive execution may merge neighbouring ranges to its target
     # size; merged ranges are still contiguous and ordered, which is all the correction needs.
     order = [F.col(key).asc_nulls_first(), F.col(time).asc_nulls_first()]
+    for tie in ties:
+        cut = F.when(F.col(time).isNull(), F.col(tie)) if group_sums else F.col(tie)
+        order.append(cut.asc_nulls_first())
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
     # The windows need rows clustered by (range, key). Range ids all carry about the same
@@ -94,23 +100,35 @@ def ordered_window(
     local = _hash_window(ranged, key, time, ties, _LRN, lags, group_sums, null_time_sum, running, part=[_PID])
     if not lags and not running and row_number is None:
         return local.drop(_PID, _LRN)
+    # The last row of the range's first key, and the range's last row.
+    of_key = Window.partitionBy(_PID, key).orderBy(*_order(time, ties))
+    of_range = Window.partitionBy(_PID).orderBy(F.col(key).asc_nulls_first(), *_order(time, ties))
+    upto = of_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first_key = F.first(F.struct(F.col(key).alias("k"))).over(upto)["k"]
+    local = local.withColumns({
+        _EDGE: F.lead(F.lit(1)).over(of_key).isNull()
+        & (F.lead(F.lit(1)).over(of_range).isNull() | F.col(key).eqNullSafe(first_key))
+    })
     local = materialize(local)
 
-    # Per (partition, key): rows and the lag sources of the last row.
     srcs = sorted(set(lags.values()))
-    last = F.max_by(F.struct(*[F.col(c) for c in srcs]), F.col(_LRN)) if srcs else F.lit(None)
-    sums = [F.sum(F.col(src)).alias(f"__seq_s{i}") for i, src in enumerate(running.values())]
-    summary = local.groupBy(_PID, key).agg(F.count(F.lit(1)).alias("__seq_cnt"), last.alias("__seq_last"), *sums)
-    by_part = Window.partitionBy(key).orderBy(_PID)
+    by_part = Window.partitionBy("__seq_key").orderBy("__seq_cpid")
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(
+    edges = local.filter(F.col(_EDGE)).select(
         F.col(_PID).alias("__seq_cpid"),
         F.col(key).alias("__seq_key"),
+        F.col(_LRN).alias("__seq_cnt"),
+        F.struct(*[F.col(c) for c in srcs] or [F.lit(None).alias("none")]).alias("__seq_last"),
+        *[F.col(out).alias(f"__seq_s{i}") for i, out in enumerate(running)],
+    )
+    summary = edges.select(
+        "__seq_cpid",
+        "__seq_key",
         F.sum("__seq_cnt").over(before).alias("__seq_off"),
         F.lag("__seq_last").over(by_part).alias("__seq_prev"),
         *[F.sum(f"__seq_s{i}").over(before).alias(f"__seq_o{i}") for i in range(len(running))],
     ).filter(F.col("__seq_off").isNotNull())
-    # At most one continuing key per partition: bounded by the partition count.
+    # At most two rows per range.
     corr = F.broadcast(summary)
     on = (F.col(_PID) == F.col("__seq_cpid")) & F.col(key).eqNullSafe(F.col("__seq_key"))
     joined = local.join(corr, on, "left")
@@ -122,9 +140,9 @@ def ordered_window(
     for i, out in enumerate(running):
         cols[out] = F.col(out) + F.coalesce(F.col(f"__seq_o{i}"), F.lit(0))
     if row_number is not None:
-        cols[row_number] = (F.col(_LRN) + F.coalesce(F.col("__seq_off"), F.lit(0))).cast("int")
+        cols[row_number] = F.col(_LRN) + F.coalesce(F.col("__seq_off"), F.lit(0))
     out = joined.withColumns(cols)
-    internal = [_PID, _LRN, "__seq_cpid", "__seq_key", "__seq_off", "__seq_prev"]
+    internal = [_PID, _LRN, _EDGE, "__seq_cpid", "__seq_key", "__seq_off", "__seq_prev"]
     return out.drop(*internal, *[f"__seq_o{i}" for i in range(len(running))])
 
 
@@ -146,7 +164,8 @@ def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_su
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols.update({o: F.sum(F.col(s)).over(upto) for o, s in (running or {}).items()})
     if row_number is not None:
-        cols[row_number] = F.row_number().over(w)
+        # A count, not row_number(): ordinals may pass 2^31.
+        cols[row_number] = F.count(F.lit(1)).over(upto)
     return df.withColumns(cols) if cols else df
 
 
@@ -158,13 +177,11 @@ def latest(
     cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """The latest row of each key: newest time first, null time last, then ties
-    descending (nulls last). Equivalent to ``row_number() = 1`` over that order.
+    descending (nulls last).
 
-    ``max_by`` over a struct of (time, ties) orders fields ascending with nulls first, so
-    its maximum is exactly that row. It is a partial aggregate: map-side combined, so a hot
-    key is reduced to one row per task before the shuffle.
+    A rank filter: Spark keeps one row per key in every task before the shuffle, and again
+    after it, so a hot key arrives as one row per task.
     """
     cols = [c for c in (cols or df.columns) if c != key]
-    order = F.struct(*[F.col(c) for c in (time, *ties)])
-    picked = F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("__row")
-    return df.groupBy(key).agg(picked).select(key, *[F.col("__row").getField(c).alias(c) for c in cols])
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in (time, *ties)])
+    return df.withColumn("__latest", F.row_number().over(w)).filter(F.col("__latest") == 1).select(key, *cols)

@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrisk.functions.scalar import join_words, split_words
-from sparkrisk.operators.joins import bounded_broadcast
+from sparkrisk.operators.joins import max_rows
 
 # Vocabulary size and sequence length of the text model inputs.
 VOCAB_SIZE = 5000
 SEQ_LEN = 250
-# Largest vocabulary broadcast to every task; larger ones are joined by shuffle.
+# Largest vocabulary broadcast to every task; larger ones are joined by shuffle, the tokens of
+# each word dealt over this many tasks (a frequent word is a hot key).
 MAX_BROADCAST_VOCAB = 1_000_000
+WORD_SALTS = 32
 
 
 def labelled_text(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -48,46 +50,62 @@ def vocabulary(toks: DataFrame, n: int = VOCAB_SIZE, word: str = "word") -> Data
     return top.select(word, F.row_number().over(rank).alias("id"), "count")
 
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    """The vocabulary from ``vocabulary()`` carries its ``limit``, so its bound is proven
-    and it is broadcast; any other table is left to adaptive execution."""
-    return bounded_broadcast(vocab, MAX_BROADCAST_VOCAB)
+def _join_vocab(toks: DataFrame, vocab: DataFrame, on: str, how: str, most: int = MAX_BROADCAST_VOCAB) -> DataFrame:
+    """Join tokens with a vocabulary. One from ``vocabulary()`` carries its ``limit``, so its bound
+    is proven and it is broadcast. Any other is repeated once per salt and joined by shuffle on
+    (value, salt), so the tokens of a frequent word are spread over ``WORD_SALTS`` tasks."""
+    bound = max_rows(vocab)
+    if bound is not None and bound <= most:
+        return toks.join(F.broadcast(vocab), on, how)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(WORD_SALTS - 1))).alias("__salt")
+    salted = toks.withColumn("__salt", F.pmod(F.xxhash64(*toks.columns), F.lit(WORD_SALTS)).cast("int"))
+    return salted.join(vocab.select("*", salts), [on, "__salt"], how).drop("__salt")
 
 
 def known_tokens(toks: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
     """Tokens present in the vocabulary (semi join against the bounded vocabulary)."""
-    return toks.join(_vocab_side(vocab.select(word)), word, "left_semi")
+    return _join_vocab(toks, vocab.select(word), word, "left_semi")
 
 
 def lookup(toks: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
     """Token to id (inner join; unknown words drop out)."""
-    return toks.join(_vocab_side(vocab.select(word, "id")), word)
+    return _join_vocab(toks, vocab.select(word, "id"), word, "inner")
 
 
-def _ordered_list(value: Column) -> Column:
-    """Values of one group in ``pos`` order; null values are left out."""
-    item = F.when(value.isNotNull(), F.struct(F.col("pos"), value.alias("v")))
-    return F.transform(F.array_sort(F.collect_list(item)), lambda s: s["v"])
+def _row_key(content: str) -> list[Column]:
+    """What tells rows of one key apart: a hash of their content."""
+    return [F.xxhash64(F.col(content)).alias("__row")]
+
+
+def _regroup(items: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, list) per original row: its non-null values in ``pos`` order. Equal rows of a key share
+    a group; every item is there once per row, and the first position tells how many rows."""
+    item = F.when(F.col(value).isNotNull(), F.struct(F.col("pos"), F.col(value).alias("v")))
+    rows = F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).cast("int")
+    grouped = items.groupBy(key, "__row").agg(F.array_sort(F.collect_list(item)).alias("__items"), rows.alias("__n"))
+    one = F.transform(F.filter("__items", lambda x, i: i % F.col("__n") == 0), lambda s: s["v"])
+    return grouped.select(key, one.alias("list"), F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__i")).select(key, "list")
 
 
 def encode(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """T4: (key, ids) with the ids of known words in text order; a text without any known
-    word gets an empty array. ``key`` must be unique.
+    """T4: (key, ids) with the ids of known words in text order, one row per row of ``df``
+    (repeated keys are separate texts); a text without any known word gets an empty array.
 
     Outer explode and an outer broadcast join keep every text, so no join back is needed;
     all tokens of a text sit in one task, so the grouping is complete after the map-side
     partial aggregate and the shuffle moves one row per text.
     """
-    toks = df.select(key, F.posexplode_outer(split_words(text)).alias("pos", "word"))
-    ids = toks.join(_vocab_side(vocab.select("word", "id")), "word", "left")
-    return ids.groupBy(key).agg(_ordered_list(F.col("id")).alias("ids"))
+    toks = df.select(key, *_row_key(text), F.posexplode_outer(split_words(text)).alias("pos", "word"))
+    ids = _join_vocab(toks, vocab.select("word", "id"), "word", "left")
+    return _regroup(ids, key, "id").withColumnRenamed("list", "ids")
 
 
 def decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", key: str = "doc_id") -> DataFrame:
-    """(key, text) with the words of the ids joined by one space. ``key`` unique."""
-    exploded = df.select(key, F.posexplode_outer(ids).alias("pos", "id"))
-    words = exploded.join(_vocab_side(vocab.select("word", "id")), "id", "left")
-    return words.groupBy(key).agg(join_words(_ordered_list(F.col("word"))).alias("text"))
+    """(key, text) with the words of the ids joined by one space, one row per row of
+    ``df``."""
+    exploded = df.select(key, *_row_key(ids), F.posexplode_outer(ids).alias("pos", "id"))
+    words = _join_vocab(exploded, vocab.select("word", "id"), "id", "left")
+    return _regroup(words, key, "word").select(key, join_words(F.col("list")).alias("text"))
 
 
 def pad(df: DataFrame, col: str = "ids", n: int = SEQ_LEN, out: str | None = None) -> DataFrame:
@@ -99,12 +117,12 @@ def pad(df: DataFrame, col: str = "ids", n: int = SEQ_LEN, out: str | None = Non
     return df.withColumn(out or col, F.concat(zeros, kept))
 
 
-def seen_ids(toks_with_ids: DataFrame, train_ids: DataFrame, id_col: str = "id") -> DataFrame:
-    """Rows whose id occurs in the training ids. The distinct training ids are a
-    subset of the vocabulary ids (small), but nothing in the plan proves it, so the join
-    strategy is left to adaptive execution, which broadcasts after measuring."""
-    seen = train_ids.select(id_col).distinct()
-    return toks_with_ids.join(seen, id_col, "left_semi")
+def seen_ids(toks_with_ids: DataFrame, train_ids: DataFrame, vocab: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows whose id occurs in the training ids. The seen ids are taken from the
+    vocabulary, whose size is bounded, so the tokens are never shuffled by id."""
+    used = train_ids.groupBy(id_col).agg(F.count(F.lit(1)).alias("__uses")).select(id_col)
+    seen = vocab.select(id_col).join(used, id_col, "left_semi")
+    return _join_vocab(toks_with_ids, seen, id_col, "left_semi")
 
 
 def ngrams(df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3) -> DataFrame:

@@ -75,7 +75,7 @@ def c5_latest_features(spark, sf_dir):
 @query(
     "W1_ordinal",
     f"WITH {CTE_EVENTS}, d AS (SELECT DISTINCT {TUPLE_SQL} FROM ev) "
-    f"SELECT *, CAST(row_number() OVER ({HIST_ORDER}) AS INTEGER) AS inspections_so_far FROM d",
+    f"SELECT *, row_number() OVER ({HIST_ORDER}) AS inspections_so_far FROM d",
 )
 def w1_ordinal(spark, sf_dir):
     d = distinct_tuples(spark, sf_dir)

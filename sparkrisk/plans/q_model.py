@@ -1,15 +1,18 @@
 """Checked queries for splits, encoders, models and evaluation.
 
-Learned models have no SQL twin: those queries get the driver's rows-only check, and the
-properties in tests/ (probabilities in [0, 1], save/load equality, same seed same scores).
-Everything SQL can restate (split, indexes, one-hot slots, assembled vectors, ROC, AUC,
-accuracy) has an oracle.
+A learned value has no SQL twin. Queries of learned models therefore return the key of every row
+with facts about the value that must hold whatever was learned (a probability in [0, 1], class
+probabilities that add up to 1, a prediction that is the likelier class, equal scores of a
+loaded model, a risk above chance), and their oracles say which rows there are and that every
+fact is true. Splits, indexes, one-hot slots, assembled vectors, ROC, AUC and accuracy of a
+rule are compared by value.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkrisk import fixtures as FX
@@ -49,7 +52,7 @@ CTE_INDEXES = CTE_TRAIN + ",\n" + ",\n".join(_cte_index(c) for c in CATS)
 
 @query(
     "M1_hash_split",
-    "SELECT o_orderkey, substr(md5(CAST(o_orderkey AS VARCHAR) || '1407'), 1, 4) < 'e666' AS is_train FROM orders",
+    "SELECT o_orderkey, substr(md5(CAST(o_orderkey AS VARCHAR) || '1407'), 1, 8) < 'e6666666' AS is_train FROM orders",
 )
 def m1_hash_split(spark, sf_dir):
     orders = FX.table(spark, sf_dir, "orders")
@@ -92,7 +95,7 @@ def m3_one_hot(spark, sf_dir):
     return out.select("_id", "feature", "slot", "value")
 
 
-def _assemble_sql():
+def _assemble_body():
     sizes = {c: f"(SELECT count(*) FROM idx_{c})" for c in CATS}
     offs, acc = {}, "4"
     for c in CATS:
@@ -107,10 +110,10 @@ def _assemble_sql():
         f"JOIN idx_{c} ix ON f.{c} = ix.value"
         for c in CATS
     )
-    return f"WITH {CTE_INDEXES} {num} UNION ALL {cat}"
+    return f"{num} UNION ALL {cat}"
 
 
-@query("M5_assemble", _assemble_sql())
+@query("M5_assemble", f"WITH {CTE_INDEXES} {_assemble_body()}")
 def m5_assemble(spark, sf_dir):
     scored = _encoding_model(spark, sf_dir).transform(QH.features(spark, sf_dir))
     return MD.slots_long(scored, "_id", "features")
@@ -146,13 +149,15 @@ def m10_roc_curve(spark, sf_dir):
     return EV.roc_curve(_labelled_docs(spark, sf_dir), "n_chars", "quality")
 
 
+HELD_OUT_KEY_SQL = "concat_ws('|', property_id, CAST(resultdttm AS VARCHAR))"
+HELD_OUT_SQL = f"NOT (substr(md5({HELD_OUT_KEY_SQL} || '1407'), 1, 8) < 'e6666666')"
 _RULE = "CASE WHEN last_viol_fail > 0 AND last_viol_fail <> 99999999 THEN 1 ELSE 0 END"
 
 
 @query(
     "M11_accuracy",
     f"WITH {CTE_HISTORY} SELECT avg(CAST(({_RULE}) = fail AS DOUBLE)) AS accuracy FROM hist "
-    "WHERE NOT (substr(md5(concat_ws('|', property_id, CAST(resultdttm AS VARCHAR)) || '1407'), 1, 4) < 'e666')",
+    f"WHERE {HELD_OUT_SQL}",
 )
 def m11_accuracy(spark, sf_dir):
     """Accuracy of the rule 'failed last time' on the held-out side of the split."""
@@ -162,102 +167,195 @@ def m11_accuracy(spark, sf_dir):
     return EV.accuracy(test.withColumn("pred", pred), "pred", "fail")
 
 
-# --- learned models: rows-only checks -------------------------------------------------
+CTE_INDEXES_WITH = f"WITH {CTE_INDEXES}"
+
+
+# --- learned models: keys and facts ------------------------------------------------------
 
 def _trained(spark, sf_dir, kind="forest", hist=None):
     return MD.train_risk(QH.history(spark, sf_dir) if hist is None else hist, kind=kind)
 
 
-@query("C4_train_risk")
+def _in_range(col="proba"):
+    return (F.col(col) >= 0) & (F.col(col) <= 1)
+
+
+def _held_out_sql(facts):
+    return f"WITH {CTE_HISTORY} SELECT {HELD_OUT_KEY_SQL} AS key, {facts} FROM hist WHERE {HELD_OUT_SQL}"
+
+
+def _entities_sql(facts):
+    return f"WITH {CTE_FEATURES} SELECT _id, {facts} FROM feat"
+
+
+def _better_than_chance(area):
+    """Area under ROC as a fact: the held-out rows are ranked better than at random."""
+    return F.lit(0.5 < area <= 1.0)
+
+
+@query("C4_train_risk", _held_out_sql("true AS proba_ok, true AS auc_ok"))
 def c4_train_risk(spark, sf_dir):
-    """Held-out rows with their risk and the held-out AUC."""
-    _, scored, area = _trained(spark, sf_dir)
-    return MD.with_risk(scored).withColumn("auc", F.lit(area))
+    """Held-out rows with their risk; the held-out AUC is above chance."""
+    _, scored = _trained(spark, sf_dir)
+    area = MD.evaluate_auc(scored)
+    return MD.with_risk(scored).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"),
+                                       _better_than_chance(area).alias("auc_ok"))
 
 
-@query("C6_predict_risk")
+@query("C6_predict_risk", _entities_sql("businessname, city, true AS proba_ok").replace("businessname,", "BusinessName AS businessname,"))
 def c6_predict_risk(spark, sf_dir):
     """Train on the history and score the entities with the same history (built once)."""
     hist = QH.history(spark, sf_dir)
-    model, _, _ = _trained(spark, sf_dir, hist=hist)
-    return MD.predict_risk(QH.features(spark, sf_dir, hist), model)
+    model, _ = _trained(spark, sf_dir, hist=hist)
+    risk = MD.predict_risk(QH.features(spark, sf_dir, hist), model)
+    return risk.select("_id", F.col("BusinessName").alias("businessname"), "city", _in_range().alias("proba_ok"))
 
 
-@query("C7_review_scores")
+@query(
+    "C7_review_scores",
+    f"WITH {CTE_FEATURES} SELECT CAST(r AS INTEGER) AS position, true AS sorted_ok, true AS entity_ok "
+    "FROM (SELECT unnest(range(1, 1 + least(30, (SELECT count(*) FROM feat)))) AS r)",
+)
 def c7_review_scores(spark, sf_dir):
+    """The 30 entities of highest risk, by SQL over a temp view: positions, falling risk, and each
+    one an entity of the scored table."""
     hist = QH.history(spark, sf_dir)
-    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    model, _ = _trained(spark, sf_dir, hist=hist)
     MD.predict_risk(QH.features(spark, sf_dir, hist), model).createOrReplaceTempView("predict")
-    return spark.sql(
-        "SELECT BusinessName AS businessname, descript, city, proba FROM predict "
+    top = spark.sql(
+        "SELECT BusinessName AS businessname, descript, city, proba, property_id FROM predict "
         "ORDER BY proba DESC, property_id LIMIT 30"
     )
+    w = Window.orderBy(F.col("proba").desc(), "property_id")  # at most 30 rows
+    ranked = top.select("*", F.row_number().over(w).alias("position"), F.lag("proba").over(w).alias("before"))
+    known = FX.fx_establishments(spark, sf_dir).select(F.col("Property_ID").alias("property_id"), F.lit(True).alias("known"))
+    return ranked.join(known, "property_id", "left").select(
+        "position", F.coalesce(F.col("before") >= F.col("proba"), F.lit(True)).alias("sorted_ok"),
+        F.coalesce("known", F.lit(False)).alias("entity_ok"))
+
+
+def _kept_slots_sql():
+    """Slots of the assembled vector that vary in the training rows, numbered anew."""
+    sizes = {c: f"(SELECT count(*) FROM idx_{c})" for c in CATS}
+    parts = [f"SELECT {i} AS slot, var_pop({c}) > 0 AS varies FROM hist" for i, c in enumerate(NUMERIC_FEATURES)]
+    off = "4"
+    for c in CATS:
+        parts.append(f"SELECT CAST({off} + idx AS INTEGER) AS slot, "
+                     f"(SELECT count(*) FROM train WHERE {c} = value) < (SELECT count(*) FROM train) AS varies FROM idx_{c}")
+        off = f"{off} + {sizes[c]}"
+    kept = f"kept AS (SELECT slot, CAST(row_number() OVER (ORDER BY slot) - 1 AS INTEGER) AS new_slot FROM ({' UNION ALL '.join(parts)}) WHERE varies)"
+    # The assembled long form, then only the kept slots.
+    return f"{CTE_INDEXES_WITH},\n{kept},\nlong AS ({_assemble_body()}) SELECT _id, new_slot AS slot, value FROM long JOIN kept USING (slot)"
 
 
-@query("M4_drop_invariant")
+@query("M4_drop_invariant", _kept_slots_sql())
 def m4_drop_invariant(spark, sf_dir):
+    """Encoded entity rows without the columns that are constant in the training rows."""
     model = MD.risk_pipeline(drop_invariant=True).fit(_training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES)))
-    scored = model.transform(QH.features(spark, sf_dir))
-    return scored.select("_id", F.size(vector_to_array("selected")).alias("kept"), F.size(vector_to_array("features")).alias("slots"))
+    return MD.slots_long(model.transform(QH.features(spark, sf_dir)), "_id", "selected")
 
 
-@query("M6_M8_forest_scores")
+def _class_facts(probability="probability"):
+    p = vector_to_array(probability)
+    return [(F.abs(p[0] + p[1] - 1) < 1e-9).alias("sums_to_one"),
+            F.when(p[0] == p[1], True).otherwise(F.col("prediction") == (p[1] > p[0]).cast("double")).alias("likelier_class")]
+
+
+@query("M6_M8_forest_scores", _held_out_sql("true AS sums_to_one, true AS likelier_class"))
 def m6_m8_forest_scores(spark, sf_dir):
-    model, scored, _ = _trained(spark, sf_dir)
-    return scored.select("__key", "prediction", vector_to_array("probability").alias("probability"))
+    _, scored = _trained(spark, sf_dir)
+    return scored.select(F.col("__key").alias("key"), *_class_facts())
 
 
-@query("M12_save_load")
+@query("M12_save_load", _entities_sql("true AS same_score"))
 def m12_save_load(spark, sf_dir):
+    """Scores of a model that was saved and loaded again, against those of the model itself."""
     hist = QH.history(spark, sf_dir)
-    model, _, _ = _trained(spark, sf_dir, hist=hist)
+    model, _ = _trained(spark, sf_dir, hist=hist)
     path = MD.save_model(model, shared_dir(spark, "predict_ranking"))
-    return MD.predict_risk(QH.features(spark, sf_dir, hist), MD.load_model(path))
+    feats = QH.features(spark, sf_dir, hist)
+    own = MD.predict_risk(feats, model).select("_id", F.col("proba").alias("own"))
+    loaded = MD.predict_risk(feats, MD.load_model(path)).select("_id", "proba")
+    return loaded.join(own, "_id", "left").select("_id", F.col("proba").eqNullSafe(F.col("own")).alias("same_score"))
 
 
-@query("M13_grid_search")
+@query(
+    "M13_grid_search",
+    f"WITH {CTE_HISTORY} SELECT params, true AS auc_ok, (SELECT count(*) FROM hist) AS rows FROM (VALUES "
+    "('maxDepth=3, stepSize=0.1'), ('maxDepth=3, stepSize=0.3'), ('maxDepth=6, stepSize=0.1'), ('maxDepth=6, stepSize=0.3')) t(params)",
+)
 def m13_grid_search(spark, sf_dir):
+    """Every combination of the grid with its mean AUC above chance, over all training rows."""
     train = _training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES))
-    _, table = MD.grid_search(train, folds=5, seed=7, kind="gbt", maxIter=10)
-    return table
+    _, table = MD.grid_search(train, folds=5, seed=7, kind="gbt")
+    ok = (F.col("auc") > 0.5) & (F.col("auc") <= 1)
+    return table.select("params", ok.alias("auc_ok"), F.lit(train.count()).cast("bigint").alias("rows"))
 
 
-@query("M14_gbt_scores")
+@query("M14_gbt_scores", _held_out_sql("true AS proba_ok, true AS auc_ok"))
 def m14_gbt_scores(spark, sf_dir):
-    _, scored, area = _trained(spark, sf_dir, kind="gbt")
-    return MD.with_risk(scored).withColumn("auc", F.lit(area))
+    _, scored = _trained(spark, sf_dir, kind="gbt")
+    area = MD.evaluate_auc(scored)
+    return MD.with_risk(scored).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"),
+                                       _better_than_chance(area).alias("auc_ok"))
 
 
-@query("M15_with_risk")
+@query("M15_with_risk", _held_out_sql("property_id, fail, true AS proba_ok, true AS float_ok"))
 def m15_with_risk(spark, sf_dir):
-    model, scored, _ = _trained(spark, sf_dir)
-    return MD.with_risk(scored)
+    """Held-out rows without the working columns: what is left, and the risk as a float."""
+    _, scored = _trained(spark, sf_dir)
+    risk = MD.with_risk(scored)
+    kept = not set(MD.WORK_COLUMNS) & set(risk.columns)
+    return risk.select(F.col("__key").alias("key"), "property_id", "fail", (_in_range() & F.lit(kept)).alias("proba_ok"),
+                       F.lit(dict(risk.dtypes)["proba"] == "float").alias("float_ok"))
 
 
-@query("M16_importances")
+def _feature_names_sql():
+    cats = " UNION ALL ".join(f"SELECT '{c}Vec_' || value AS feature FROM idx_{c}" for c in CATS)
+    nums = " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in NUMERIC_FEATURES)
+    return f"{CTE_INDEXES_WITH}, names AS ({nums} UNION ALL {cats})"
+
+
+@query("M16_importances", _feature_names_sql() + " SELECT feature, true AS in_range, true AS scaled FROM names")
 def m16_importances(spark, sf_dir):
-    model, scored, _ = _trained(spark, sf_dir)
-    return MD.importances(model, scored)
+    """Every feature by name, with a share of the largest importance, which is 100."""
+    model, scored = _trained(spark, sf_dir)
+    imp = MD.importances(model, scored)
+    top = imp.agg(F.max("importance").alias("top")).scalar()
+    return imp.select("feature", F.col("importance").between(0, 100).alias("in_range"), (top == 100.0).alias("scaled"))
 
 
-@query("T7_embed")
+@query("T7_embed", f"SELECT doc_id, {TM.EMBED_DIM} AS size, true AS finite FROM documents")
 def t7_embed(spark, sf_dir):
-    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text")
-    return TM.embed_pipeline().fit(docs).transform(docs).select("doc_id", "embedding")
+    """Vectors of every text, learned from every text."""
+    docs = FX.table(spark, sf_dir, "documents").select("doc_id", "text")
+    v = vector_to_array("embedding")
+    finite = F.forall(v, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return TM.embed_pipeline().fit(docs).transform(docs).select("doc_id", F.size(v).alias("size"), finite.alias("finite"))
 
 
-@query("T9_text_model")
+@query("T9_text_model", "SELECT doc_id, true AS proba_ok FROM documents")
 def t9_text_model(spark, sf_dir):
-    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
-    train, test = EV.hash_split(docs, "doc_id")
+    """Raw text to probability for every text, by a model of the labelled training side."""
+    labelled = _labelled_docs(spark, sf_dir).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+    train, _ = EV.hash_split(labelled, "doc_id")
     model = TM.fit_text(train)
-    return TM.score_text(model, test)
+    every = FX.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return TM.score_text(model, every).select("doc_id", _in_range().alias("proba_ok"))
 
 
-@query("M7_fit_pipeline")
+@query(
+    "M7_fit_pipeline",
+    f"{CTE_INDEXES_WITH} SELECT * FROM (VALUES (0, 'StringIndexerModel', "
+    "'licensecatIndex,descriptIndex,cityIndex,zipIndex', (SELECT count(*) FROM idx_licensecat) + (SELECT count(*) FROM idx_descript) "
+    "+ (SELECT count(*) FROM idx_city) + (SELECT count(*) FROM idx_zip)), "
+    "(1, 'OneHotEncoderModel', 'licensecatVec,descriptVec,cityVec,zipVec', 0), (2, 'VectorAssembler', 'features', 0), "
+    "(3, 'RandomForestClassificationModel', 'prediction', 0)) t(stage, kind, output, labels)",
+)
 def m7_fit_pipeline(spark, sf_dir):
-    """The fitted chain: (stage, kind, output) per stage, in order."""
-    model, _, _ = _trained(spark, sf_dir)
+    """The fitted chain: (stage, kind, output, number of indexed values) per stage, in order. The
+    chain is fitted on the training side; its indexes are compared on all of the history."""
+    model = MD.fit(_training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES)))
     rows = []
     for i, st in enumerate(model.stages):
         if st.hasParam("outputCols") and st.isSet("outputCols"):
@@ -266,36 +364,62 @@ def m7_fit_pipeline(spark, sf_dir):
             out = st.getOrDefault("outputCol")
         else:
             out = st.getOrDefault("predictionCol")
-        rows.append((i, type(st).__name__, out))
-    return spark.createDataFrame(rows, "stage int, kind string, output string")
+        labels = sum(len(x) for x in st.labelsArray) if type(st).__name__ == "StringIndexerModel" else 0
+        rows.append((i, type(st).__name__, out, labels))
+    return spark.createDataFrame(rows, "stage int, kind string, output string, labels long")
 
 
-@query("M8_score")
+@query("M8_score", _entities_sql("true AS sums_to_one, true AS likelier_class"))
 def m8_score(spark, sf_dir):
-    """Entity rows scored by the fitted chain: prediction and class probabilities."""
+    """Entity rows scored by the fitted chain."""
     hist = QH.history(spark, sf_dir)
-    model, _, _ = _trained(spark, sf_dir, hist=hist)
-    scored = MD.score(model, QH.features(spark, sf_dir, hist))
-    return scored.select("_id", "prediction", vector_to_array("probability").alias("probability"))
+    model, _ = _trained(spark, sf_dir, hist=hist)
+    return MD.score(model, QH.features(spark, sf_dir, hist)).select("_id", *_class_facts())
 
 
-@query("F12_vector_element")
+@query("F12_vector_element", _held_out_sql("true AS same_value"))
 def f12_vector_element(spark, sf_dir):
-    """P(fail) read from the probability vector with a built-in function."""
-    _, scored, _ = _trained(spark, sf_dir)
-    return scored.select("__key", MD.vector_element("probability", 1).alias("proba"))
+    """P(fail) read from the probability vector with a built-in function, against one minus the
+    other class."""
+    _, scored = _trained(spark, sf_dir)
+    other = 1 - vector_to_array("probability")[0]
+    return scored.select(F.col("__key").alias("key"), (F.abs(MD.vector_element("probability", 1) - other) < 1e-6).alias("same_value"))
 
 
-@query("D1_proba_without_udf")
+@query("D1_proba_without_udf", _entities_sql("true AS same_value"))
 def d1_proba_without_udf(spark, sf_dir):
     """The reference's one Python UDF (vector to float of element 1), replaced by
     ``vector_to_array`` so scoring never leaves the JVM."""
     hist = QH.history(spark, sf_dir)
-    model, _, _ = _trained(spark, sf_dir, hist=hist)
-    return MD.predict_risk(QH.features(spark, sf_dir, hist), model).select("_id", "proba")
+    model, _ = _trained(spark, sf_dir, hist=hist)
+    scored = MD.score(model, QH.features(spark, sf_dir, hist))
+    own = vector_to_array("probability")[1].cast("float")
+    return MD.with_risk(scored.withColumn("own", own)).select("_id", (F.col("proba") == F.col("own")).alias("same_value"))
 
 
-@query("O3_importances_sorted")
+@query(
+    "O3_importances_sorted",
+    _feature_names_sql() + " SELECT CAST(r AS INTEGER) AS position, true AS sorted_ok FROM "
+    "(SELECT unnest(range(1, 1 + (SELECT count(*) FROM names))) AS r)",
+)
 def o3_importances_sorted(spark, sf_dir):
-    model, scored, _ = _trained(spark, sf_dir)
-    return MD.importances(model, scored)
+    """Importances in falling order: position by position, none above the one before."""
+    model, scored = _trained(spark, sf_dir)
+    w = Window.orderBy(F.col("importance").desc(), "feature")  # one row per feature slot
+    imp = MD.importances(model, scored).withColumn("before", F.lag("importance").over(w))
+    return imp.select(F.row_number().over(w).alias("position"), F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("sorted_ok"))
+
+
+@query(
+    "M11_accuracy_model",
+    f"WITH {CTE_HISTORY} SELECT count(*) AS rows, true AS in_range, true AS beats_rule FROM hist WHERE {HELD_OUT_SQL}",
+)
+def m11_accuracy_model(spark, sf_dir):
+    """Accuracy of the fitted forest on the held-out side: at least that of the better constant
+    answer, less one hundredth."""
+    _, scored = _trained(spark, sf_dir)
+    acc = EV.accuracy(scored, "prediction", MD.LABEL)
+    share = scored.agg(F.count(F.lit(1)).alias("rows"), F.avg(F.col(MD.LABEL).cast("double")).alias("fail"))
+    share = share.withColumn("accuracy", acc.scalar())
+    return share.select("rows", F.col("accuracy").between(0, 1).alias("in_range"),
+                        (F.col("accuracy") >= F.greatest(F.col("fail"), 1 - F.col("fail")) - 0.01).alias("beats_rule"))

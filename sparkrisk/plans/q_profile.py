@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from sparkrisk import fixtures as FX
 from sparkrisk.operators import profile as PR
 from sparkrisk.plans import q_history as QH
@@ -134,8 +137,10 @@ def a8_corr_matrix_history(spark, sf_dir):
 
 
 
-@query("O2_profile_sorted", _profile_sql())
+@query("O2_profile_sorted", f"SELECT CAST(row_number() OVER (ORDER BY missing DESC, feature) AS INTEGER) AS position, feature, missing "
+       f"FROM ({_profile_sql()})")
 def o2_profile_sorted(spark, sf_dir):
-    """The profile ordered by missing count, largest first (the order is part of the
-    operator; the check compares the rows)."""
-    return PR.profile(FX.fx_inspections(spark, sf_dir))
+    """The order of the profile: each column's position by missing count, largest first."""
+    rows = PR.profile(FX.fx_inspections(spark, sf_dir)).select("feature", "missing")
+    w = Window.orderBy(F.col("missing").desc(), "feature")  # one row per column of the table
+    return rows.select(F.row_number().over(w).alias("position"), "feature", "missing")

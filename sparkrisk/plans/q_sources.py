@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkrisk import fixtures as FX
@@ -45,9 +46,39 @@ def _landed_pages(spark, sf_dir):
 
 @query("S1_empty_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
 def s1_empty_table(spark, sf_dir):
-    """Start from an empty table of the history schema and append the history to it."""
-    empty = TB.empty_table(spark, HISTORY)
-    return empty.unionByName(QH.history(spark, sf_dir))
+    """Start from an empty table of the history schema, written to the catalog, and append the
+    history to it."""
+    name = _name("historic")
+    TB.empty_table(spark, HISTORY, name, shared_dir(spark, "empty"))
+    QH.history(spark, sf_dir).write.mode("append").format("parquet").insertInto(name)
+    return spark.table(name)
+
+
+EMPTY_TABLES = (("inspections", INSPECTIONS_RAW, "fx_inspections"), ("active", ACTIVE_RAW, "fx_establishments"))
+
+
+def _empty_tables_sql():
+    rows = ", ".join(f"('{t}', {i}, '{f.name}', '{f.dataType.simpleString()}', (SELECT count(*) FROM {src}))"
+                     for t, schema, src in EMPTY_TABLES for i, f in enumerate(schema.fields))
+    return (f"WITH {FX.CTE_INSPECTIONS}, {FX.CTE_ESTABLISHMENTS} "
+            f"SELECT * FROM (VALUES {rows}) t(\"table\", ordinal, \"column\", type, rows)")
+
+
+@query("S1_empty_raw_tables", _empty_tables_sql())
+def s1_empty_raw_tables(spark, sf_dir):
+    """The 27- and 14-column record tables, written empty to the catalog, then filled: (table,
+    ordinal, column, type, rows) as the catalog and the filled tables have them."""
+    records = {"inspections": FX.fx_inspections(spark, sf_dir), "active": FX.fx_establishments(spark, sf_dir)}
+    out = None
+    for table, schema, _ in EMPTY_TABLES:
+        name = _name(table)
+        TB.empty_table(spark, schema, name, shared_dir(spark, "empty"))
+        PG.conform(records[table], schema).write.mode("append").format("parquet").insertInto(name)
+        fields = [F.struct(F.lit(table).alias("table"), F.lit(i).alias("ordinal"), F.lit(f.name).alias("column"),
+                           F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(spark.table(name).schema.fields)]
+        rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(F.inline(F.array(*fields)), "rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(
@@ -115,7 +146,7 @@ def s10_write_csv(spark, sf_dir):
 
 @query("S11_file_count", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
 def s11_file_count(spark, sf_dir):
-    path = TB.write_parquet(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "files"), files=10)
+    path = TB.write_parquet(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "files"))
     return TB.read_table(spark, path)
 
 
@@ -123,7 +154,7 @@ def s11_file_count(spark, sf_dir):
 def c1_ingest(spark, sf_dir):
     pages = _landed_pages(spark, sf_dir)
     return PG.ingest(spark, pages, RECORD_SCHEMA, ["resultdttm", "issdttm"], _name("inspections"),
-                     shared_dir(spark, "inspections"), files=10)
+                     shared_dir(spark, "inspections"))
 
 
 @query("C1_ingest_stream", INS + f"SELECT {TYPED_SQL} FROM fx_inspections")

@@ -90,15 +90,14 @@ def t6_pad(spark, sf_dir):
 
 @query(
     "T8_ngram_counts",
-    f"""WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents JOIN labels USING (doc_id)),
+    f"""WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents),
 g AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3
         THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
         ELSE CAST([] AS VARCHAR[]) END) AS ngram FROM w)
 SELECT doc_id, ngram, count(*) AS count FROM g GROUP BY doc_id, ngram""",
 )
 def t8_ngram_counts(spark, sf_dir):
-    docs = TX.labelled_text(_docs(spark, sf_dir), FX.table(spark, sf_dir, "labels"))
-    return TX.ngrams(docs.select("doc_id", "text"))
+    return TX.ngrams(_docs(spark, sf_dir).select("doc_id", "text"))
 
 
 @query("J3_known_tokens", f"WITH {CTE_VOCAB} SELECT * FROM tok WHERE word IN (SELECT word FROM vocab)")
@@ -117,12 +116,13 @@ def j4_lookup(spark, sf_dir):
 @query(
     "J5_seen_ids",
     f"WITH {CTE_VOCAB}, ids AS (SELECT t.doc_id, t.pos, v.id FROM tok t JOIN vocab v ON t.word = v.word) "
-    "SELECT * FROM ids WHERE id IN (SELECT id FROM ids JOIN labels ON ids.doc_id = labels.doc_id)",
+    "SELECT * FROM ids WHERE id IN (SELECT DISTINCT id FROM ids JOIN labels ON ids.doc_id = labels.doc_id)",
 )
 def j5_seen_ids(spark, sf_dir):
-    ids = TX.lookup(TX.tokens(_docs(spark, sf_dir)), _vocab(spark, sf_dir)).select("doc_id", "pos", "id")
-    train = ids.join(FX.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    return TX.seen_ids(ids, train)
+    docs, vocab = _docs(spark, sf_dir), _vocab(spark, sf_dir)
+    ids = TX.lookup(TX.tokens(docs), vocab).select("doc_id", "pos", "id")
+    labelled = docs.join(FX.table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return TX.seen_ids(ids, TX.lookup(TX.tokens(labelled), vocab).select("id"), vocab)
 
 
 @query("F9_split_words", f"SELECT doc_id, {WORDS} AS words FROM documents")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +18,9 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lists per text are collected by hash for this many texts of a task before the aggregate
+    # falls back to sorting every token (128 by default).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
@@ -61,7 +67,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
         if not conf:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 # A machine-local folder is not visible to other executors.
                 raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
             conf = tempfile.mkdtemp(prefix="sparkrisk-")
@@ -92,22 +98,28 @@ def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
         return df.checkpoint(eager=True)
     path = shared_dir(spark, "stage")
     df.write.parquet(path)
-    _STAGES.append(path)
+    owner = _SCOPE.get()
+    if owner is not None:
+        owner.append(path)
     return spark.read.parquet(path)
 
 
-# Stage folders written by this process, removed by ``release_stages``.
-_STAGES: list[str] = []
-
-
-def release_stages(spark: SparkSession) -> int:
-    """Delete the stage folders this process has written. Call it only once every result
-    that reads them has been written out (a job's last step). Returns the folder count."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = 0
-    while _STAGES:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(conf).delete(path, True)
-        done += 1
-    return done
+# Stage folders of the innermost open ``stage_scope``; None outside of any.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("stages", default=None)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the stage folders written inside the block and delete them at its end (no others:
+    scopes nest, and frames built elsewhere stay readable). Write results out inside the block.
+    Stages written outside of any scope stay in the checkpoint folder."""
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in own:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)

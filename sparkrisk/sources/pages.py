@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkrisk.functions.scalar import parse_time
-from sparkrisk.schemas import TIME_FORMAT, page_envelope
+from sparkrisk.schemas import TIME_FORMAT, as_text_schema, page_envelope
+from sparkrisk.session import materialize
 
 
-def page_plan(df_or_total, limit: int, max_pages: int | None = None, spark: SparkSession | None = None) -> DataFrame:
-    """One row per page (page, offset, limit): ceil(total / limit) pages, optionally
-    capped at ``max_pages``. ``total`` is a number or the row count of a DataFrame.
+def page_plan(df_or_total, limit: int, spark: SparkSession | None = None) -> DataFrame:
+    """One row per page (page, offset, limit): ceil(total / limit) pages. ``total`` is a
+    number or the row count of a DataFrame.
 
     Only the count (one number) reaches the driver; the page rows come from a distributed
     ``range``, so the plan is spread over tasks however many pages there are.
@@ -33,8 +34,6 @@ def page_plan(df_or_total, limit: int, max_pages: int | None = None, spark: Spar
     else:
         total = int(df_or_total)
     n = -(-total // limit)
-    if max_pages is not None:
-        n = min(n, max_pages)
     pages = spark.range(0, n).withColumnRenamed("id", "page")
     return pages.select("page", (F.col("page") * limit).alias("offset"), F.lit(limit).alias("limit"))
 
@@ -47,9 +46,11 @@ def as_api_records(df: DataFrame, keep: Sequence[str] = ("_id",)) -> DataFrame:
 def write_pages(df: DataFrame, path: str, limit: int) -> str:
     """Land ``df`` as page envelopes of at most ``limit`` records (JSON lines).
 
-    Page ids come from the row id within each task, so no global numbering or ordering is
-    needed; a page never mixes tasks and holds at most ``limit`` records, a bounded group.
+    The records are written once as a stage; page ids come from the row ids of its scan, which are
+    the same in every run of a task. No global numbering or ordering is needed; a page never mixes
+    tasks and holds at most ``limit`` records, a bounded group.
     """
+    df = materialize(df)
     total = df.count()
     rec = F.struct(*[F.col(c) for c in df.columns])
     paged = df.withColumn("__page", F.floor(F.monotonically_increasing_id() / F.lit(limit)))
@@ -60,13 +61,28 @@ def write_pages(df: DataFrame, path: str, limit: int) -> str:
 
 
 def read_pages(spark: SparkSession, path: str, record_schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """All records of all page files, one row per record, pages appended.
+    """All records of all page files, one row per record, pages appended, in the fields of
+    ``record_schema``.
 
-    Keys missing from a record read as null and unknown keys are dropped by the schema;
-    a JSON number read into a text field keeps its text.
+    A file that is not a whole page fails the read (no record is lost without notice). Records
+    are read as text and then cast: keys missing from a record read as null, unknown keys are
+    dropped, a JSON number read into a text field keeps its text. A value that does not convert
+    becomes null in ``conform`` by its definition; here it fails the read too.
     """
-    env = spark.read.schema(page_envelope(record_schema)).option("multiLine", str(multiline).lower()).json(path)
-    return env.select(F.inline("result.records"))
+    reader = spark.read.schema(page_envelope(as_text_schema(record_schema))).option("mode", "FAILFAST")
+    env = reader.option("multiLine", str(multiline).lower()).json(path)
+    return _strict(env.select(F.inline("result.records")), record_schema)
+
+
+def _strict(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text fields cast to ``schema``; text that does not convert is an error naming the field."""
+    cols = []
+    for f in schema.fields:
+        text = F.col(f.name)
+        value = text.try_cast(f.dataType)
+        bad = F.raise_error(F.concat(F.lit(f"{f.name}: cannot read "), text)).cast(f.dataType)
+        cols.append((text if isinstance(f.dataType, T.StringType) else F.when(text.isNotNull() & value.isNull(), bad).otherwise(value)).alias(f.name))
+    return records.select(*cols)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -115,6 +131,12 @@ def ingest(
 try:  # Python data sources need pyspark >= 4.0
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+    def _as_text(value) -> str | None:
+        """A JSON value as Spark gives it in a text field: text as it is, else its (compact) JSON."""
+        if value is None or isinstance(value, str):
+            return value
+        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
     class _Pages(InputPartition):
         def __init__(self, first: int, last: int):
             self.first, self.last = first, last  # page numbers, last exclusive
@@ -125,13 +147,11 @@ try:  # Python data sources need pyspark >= 4.0
             self.url = options["url"]
             self.limit = int(options.get("limit", "5000"))
             self.total = int(options["total"])
-            self.max_pages = int(options["max_pages"]) if "max_pages" in options else None
+            self.timeout = float(options.get("timeout", "60"))
             self.per_task = max(1, int(options.get("pages_per_partition", "1")))
 
         def partitions(self):
             n = -(-self.total // self.limit)
-            if self.max_pages is not None:
-                n = min(n, self.max_pages)
             return [_Pages(p, min(p + self.per_task, n)) for p in range(0, n, self.per_task)]
 
         def read(self, partition: _Pages) -> Iterator[tuple]:
@@ -140,10 +160,10 @@ try:  # Python data sources need pyspark >= 4.0
             names = [f.name for f in self.schema.fields]
             for page in range(partition.first, partition.last):
                 url = self.url.format(page=page, offset=page * self.limit, limit=self.limit)
-                with urlopen(url) as resp:  # noqa: S310 - the caller names the endpoint
+                with urlopen(url, timeout=self.timeout) as resp:  # noqa: S310 - the caller names the endpoint
                     body = json.load(resp)
                 for rec in body["result"]["records"]:
-                    yield tuple(None if rec.get(n) is None else str(rec[n]) for n in names)
+                    yield tuple(_as_text(rec.get(n)) for n in names)
 
     class PagedApiDataSource(DataSource):
         """``spark.read.format("paged_api").schema(text_schema).options(url=..., total=...,

@@ -42,10 +42,11 @@ def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructTyp
 
 
 def _files(df: DataFrame, files: int | None) -> DataFrame:
-    """Output file count. ``None`` (the default everywhere) leaves sizing to adaptive
-    execution; a number repartitions (round robin) to exactly that many files, which also
-    means that many writing tasks, so keep it for small outputs."""
-    return df if files is None else df.repartition(files)
+    """Output files. ``None`` (the default) rebalances: adaptive execution splits large
+    partitions and merges small ones to its advisory size, so the file count follows the data. A
+    number gives exactly that many files by a round-robin exchange, which is also the number of
+    writing tasks: only for outputs known to be small."""
+    return df.hint("rebalance") if files is None else df.repartition(files)
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", files: int | None = None) -> str:

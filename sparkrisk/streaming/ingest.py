@@ -16,31 +16,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkrisk.schemas import page_envelope
-from sparkrisk.session import shared_dir
-from sparkrisk.sources.pages import conform, parse_times
+from sparkrisk.schemas import as_text_schema, page_envelope
+from sparkrisk.sources.pages import _strict, parse_times
 
 
 def page_stream(spark: SparkSession, landing_path: str, record_schema: T.StructType,
                 time_cols: Sequence[str] | Mapping[str, str], max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of typed records from page files landing in ``landing_path``."""
-    reader = spark.readStream.schema(page_envelope(record_schema))
+    reader = spark.readStream.schema(page_envelope(as_text_schema(record_schema)))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    env = reader.json(landing_path)
-    return parse_times(conform(env.select(F.inline("result.records")), record_schema), time_cols)
+    env = reader.option("mode", "FAILFAST").json(landing_path)
+    return parse_times(_strict(env.select(F.inline("result.records")), record_schema), time_cols)
 
 
 def ingest_stream(spark: SparkSession, landing_path: str, record_schema: T.StructType,
                   time_cols: Sequence[str] | Mapping[str, str], sink_path: str,
                   checkpoint: str | None = None, wait: bool = True) -> StreamingQuery:
-    """Append newly landed pages to the parquet table at ``sink_path``."""
+    """Append newly landed pages to the parquet table at ``sink_path``. The checkpoint belongs to
+    the sink: by default it is the folder ``<sink_path>-checkpoint``, the same in every call (a
+    fresh one would number its batches from 0 again, which the sink takes for written)."""
     stream = page_stream(spark, landing_path, record_schema, time_cols)
     q = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", sink_path)
-        .option("checkpointLocation", checkpoint or shared_dir(spark, "ingest-checkpoint"))
+        .option("checkpointLocation", checkpoint or sink_path.rstrip("/") + "-checkpoint")
         .trigger(availableNow=True)
         .start()
     )

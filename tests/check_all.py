@@ -14,7 +14,7 @@ sys.path.insert(0, str(__import__("pathlib").Path(__file__).resolve().parent))
 from oracle import compare  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
-from sparkrisk.session import local_session, release_stages  # noqa: E402
+from sparkrisk.session import local_session, stage_scope  # noqa: E402
 
 
 def main():
@@ -28,15 +28,15 @@ def main():
             continue
         t = time.time()
         try:
-            df = fn(spark, sf_dir)
-            if k in sqls:
-                ok, msg = compare(df, sqls[k], sf_dir)
-            else:
-                n = df.count()
-                ok, msg = True, f"{n} rows (no oracle)"
+            with stage_scope(spark):
+                df = fn(spark, sf_dir)
+                if k in sqls:
+                    ok, msg = compare(df, sqls[k], sf_dir)
+                else:
+                    n = df.count()
+                    ok, msg = True, f"{n} rows (no oracle)"
         except Exception as e:  # noqa: BLE001
             ok, msg = False, f"{type(e).__name__}: {str(e)[:400]}"
-        release_stages(spark)
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {k:40s} {time.time() - t:6.1f}s {msg}", flush=True)
     print("failures:", bad)

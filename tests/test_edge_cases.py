@@ -87,19 +87,18 @@ def test_joins_keep_left_rows(spark):
     assert H.attach_latest(ents, latest_rows).count() == 3
 
 
-def test_describe_all_approx_agrees_on_small_data(spark):
+def test_describe_all_exact_percentiles(spark):
     from sparkrisk.operators.profile import describe_all
 
-    df = spark.createDataFrame([(i % 7, f"w{i % 3}", float(i)) for i in range(200)], "a int, b string, c double")
-    exact = {r.feature: r for r in describe_all(df).collect()}
-    approx = {r.feature: r for r in describe_all(df, approx=True).collect()}
-    assert set(exact) == set(approx) == {"a", "b", "c"}
-    for k in exact:
-        e, a = exact[k], approx[k]
-        assert (e["count"], e.top, e.freq, e.mean, e.p50) == (a["count"], a.top, a.freq, a.mean, a.p50)
-        # approx_count_distinct has a 5 % relative standard error: allow three of them
-        assert abs(e.unique - a.unique) <= max(1, 0.15 * e.unique)
-    assert exact["b"].top == "w0" and exact["a"].unique == 7
+    df = spark.createDataFrame([(i % 7 if i % 5 else None, f"w{i % 3}", float(-i)) for i in range(200)], "a int, b string, c double")
+    got = {r.feature: r for r in describe_all(df.repartition(9)).collect()}
+    assert set(got) == {"a", "b", "c"} and got["b"].top == "w0" and got["b"].p50 is None
+    for name, values in (("a", [i % 7 for i in range(200) if i % 5]), ("c", [float(-i) for i in range(200)])):
+        values.sort()
+        want = [values[-(-len(values) * p // 100) - 1] for p in (25, 50, 75)]
+        assert [got[name][f"p{p}"] for p in (25, 50, 75)] == want
+        assert got[name]["count"] == len(values)
+    assert got["a"].unique == 7 and got["c"].min == -199
 
 
 def test_pivot_keeps_columns_for_absent_values(spark):

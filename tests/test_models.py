@@ -19,6 +19,24 @@ def test_split_disjoint_complete_and_partition_free(spark):
     assert a_train.count() + a_test.count() == 5000
 
 
+def test_split_keeps_null_keys_and_takes_all(spark):
+    df = spark.createDataFrame([(str(i) if i % 11 else None, i) for i in range(55)], "k string, i int")
+    train, test = EV.hash_split(df, "k")
+    assert train.count() + test.count() == 55
+    all_, none = EV.hash_split(spark.range(200_000), "id", share=1.0)
+    assert all_.count() == 200_000 and none.count() == 0
+    half = EV.hash_split(spark.range(200_000), "id", share=0.5)[0].count()
+    assert abs(half - 100_000) < 1500
+
+
+def test_too_many_categories_are_refused(spark):
+    import pytest
+
+    df = spark.range(500).selectExpr("CAST(id AS STRING) AS city")
+    with pytest.raises(ValueError, match="city"):
+        MD.check_categories(df, ["city"], most=100)
+
+
 def test_roc_and_auc_ties_and_single_class(spark):
     df = spark.createDataFrame([(0.9, 1), (0.9, 0), (0.5, 1), (0.1, 0)], "s double, y int")
     # pairs (pos, neg): (0.9, 0.9) tie 0.5, (0.9, 0.1) 1, (0.5, 0.9) 0, (0.5, 0.1) 1
@@ -32,7 +50,8 @@ def test_roc_and_auc_ties_and_single_class(spark):
 
 def test_risk_model_properties(spark):
     hist = QH.history(spark, SF_SMALL)
-    model, scored, area = MD.train_risk(hist)
+    model, scored = MD.train_risk(hist)
+    area = MD.evaluate_auc(scored)
     assert 0.0 <= area <= 1.0
     feats = QH.features(spark, SF_SMALL)
     risk = MD.predict_risk(feats, model)
@@ -44,8 +63,8 @@ def test_risk_model_properties(spark):
     a = {r._id: r.proba for r in risk.collect()}
     b = {r._id: r.proba for r in again.collect()}
     assert a == b
-    model2, _, area2 = MD.train_risk(hist)
-    assert area2 == area
+    _, scored2 = MD.train_risk(hist)
+    assert MD.evaluate_auc(scored2) == area
     imp = MD.importances(model, scored).collect()
     assert imp[0].importance == 100.0
 

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from oracle import compare
 
 import __spark_entry__ as E
-from sparkrisk.session import release_stages
+from sparkrisk.session import stage_scope
 
 SQL = E.oracle_sql()
 
@@ -32,14 +32,20 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_matches_oracle(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not [n for n in FORBIDDEN if n in plan], plan
-    ok, msg = compare(df, SQL[key], SF_SMALL)
-    release_stages(spark)
+    with stage_scope(spark):
+        df = E.queries()[key](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [n for n in FORBIDDEN if n in plan], plan
+        ok, msg = compare(df, SQL[key], SF_SMALL)
     assert ok, msg
 
 
+def test_every_query_of_this_package_has_an_oracle():
+    from sparkrisk.plans import registry
+
+    assert set(registry.queries()) == set(registry.oracle_sql())
+
+
 SURVEY_IDS = (
     [f"S{i}" for i in range(1, 12)] + [f"P{i}" for i in range(1, 12)] + [f"J{i}" for i in range(1, 6)]
     + [f"A{i}" for i in range(1, 9)] + [f"W{i}" for i in range(1, 6)] + ["O1", "O2", "O3", "U1", "U2"]

@@ -82,3 +82,37 @@ def test_range_layout_splits_a_hot_key(spark):
     sizes = [r.n for r in rows]
     assert sum(1 for r in rows if r.hot > 0) >= 4
     assert max(sizes) <= 2.5 * (sum(sizes) / len(sizes))
+
+
+def _range_sizes(monkeypatch, **kw):
+    """Rows per range of the window stage that ``ordered_window`` writes."""
+    from sparkrisk.operators import sequence as SQ
+
+    seen = []
+    write = SQ.materialize
+    monkeypatch.setattr(SQ, "materialize", lambda df, *a: seen.append(write(df, *a)) or seen[-1])
+    out = ordered_window(**kw)
+    return out, [r["count"] for r in seen[0].groupBy("__seq_pid").count().collect()]
+
+
+def test_hot_key_without_times_is_split(spark, monkeypatch):
+    df = spark.range(40_000).selectExpr("'hot' AS k", "CAST(NULL AS INT) AS t", "id AS uid", "1 AS v")
+    out, sizes = _range_sizes(monkeypatch, df=df, key="k", time="t", ties=["uid"], row_number="rn", group_sums={"g": "v"},
+                              null_time_sum=0, lags={"before": "uid"}, num_partitions=8)
+    assert len(sizes) == 8 and max(sizes) < 7000
+    assert out.filter("rn <> uid + 1 OR g <> 0 OR before <> uid - 1 OR (uid > 0 AND before IS NULL)").count() == 0
+
+
+def test_equal_counts_are_split(spark, monkeypatch):
+    df = spark.range(40_000).selectExpr("0 AS k", "-1 AS t", "CAST(id AS STRING) AS value")
+    out, sizes = _range_sizes(monkeypatch, df=df, key="k", time="t", ties=["value"], row_number="rn", num_partitions=8)
+    assert len(sizes) == 8 and max(sizes) < 7000
+    assert out.agg(F.count_distinct("rn"), F.max("rn")).first() == (40_000, 40_000)
+
+
+def test_short_keys_need_no_aggregate(spark):
+    df = spark.range(5000).selectExpr("CAST(id AS STRING) AS k", "1 AS t", "id AS uid", "2 AS v")
+    out = ordered_window(df, "k", "t", ["uid"], row_number="rn", running_sums={"cum": "v"}, num_partitions=6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    assert out.filter("rn <> 1 OR cum <> 2").count() == 0

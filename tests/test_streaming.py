@@ -19,6 +19,16 @@ def _batch(spark, lo, hi):
     return df
 
 
+def test_default_checkpoint_belongs_to_the_sink(spark):
+    landing, sink = shared_dir(spark, "land"), shared_dir(spark, "sink")
+    PG.write_pages(_batch(spark, 0, 300), landing + "/a", 100)
+    ingest_stream(spark, landing + "/*", RECORD_SCHEMA, ["resultdttm", "issdttm"], sink)
+    assert TB.read_table(spark, sink).count() == 300
+    PG.write_pages(_batch(spark, 300, 450), landing + "/b", 100)
+    ingest_stream(spark, landing + "/*", RECORD_SCHEMA, ["resultdttm", "issdttm"], sink)
+    assert TB.read_table(spark, sink).count() == 450
+
+
 def test_restart_appends_only_new_pages(spark):
     landing, sink, ckpt = shared_dir(spark, "land"), shared_dir(spark, "sink"), shared_dir(spark, "ckpt")
     PG.write_pages(_batch(spark, 0, 300), landing + "/a", 100)

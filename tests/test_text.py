@@ -23,3 +23,25 @@ def test_ngrams(spark):
     docs = spark.createDataFrame([(1, "a b c a b c"), (2, "a b")], "doc_id long, text string")
     got = {(r.doc_id, r.ngram): r["count"] for r in TX.ngrams(docs).collect()}
     assert got == {(1, "a b c"): 2, (1, "b c a"): 1, (1, "c a b"): 1}
+
+
+def test_repeated_keys_are_separate_texts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "b a a"), (1, "a b"), (2, ""), (2, ""), (None, "b")], "doc_id long, text string")
+    vocab = TX.vocabulary(TX.tokens(docs), n=2)
+    a, b = (vocab.filter(f"word = '{w}'").first().id for w in "ab")
+    enc = TX.encode(docs, vocab)
+    rows = sorted((r.doc_id or 0, r.ids) for r in enc.collect())
+    assert rows == sorted([(1, [a, b]), (1, [b, a, a]), (1, [a, b]), (2, []), (2, []), (0, [b])])
+    assert sorted((r.doc_id or 0, r.text) for r in TX.decode(enc, vocab).collect()) == [(0, "b"), (1, "a b"), (1, "a b"), (1, "b a a"), (2, ""), (2, "")]
+
+
+def test_large_vocabulary_joins_by_salted_shuffle(spark):
+    docs = spark.createDataFrame([(i, "the " * 20 + f"w{i}") for i in range(50)], "doc_id long, text string")
+    toks = TX.tokens(docs)
+    vocab = toks.groupBy("word").count().selectExpr("word", "CAST(hash(word) AS INT) AS id")  # no proven bound
+    got = TX.lookup(toks, vocab)
+    assert "__salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.word: r.id for r in vocab.collect()}
+    rows = got.collect()
+    assert len(rows) == 50 * 21 and all(want[r.word] == r.id for r in rows)
+    assert TX.known_tokens(toks, vocab.filter("word = 'the'")).count() == 1000
