@@ -12,7 +12,11 @@ whose word sequence also starts earlier (smaller document, or same document and
 2. A minimizer with one segment repeats nowhere. Of equal segments, all but the first are
    repeated. Different segments under one minimizer may share windows: these candidates take
    their words from the texts.
-3. Candidates are dealt by minimizer to shards. Each shard numbers its words (no hashes from
+3. Candidates are dealt by minimizer to shards. A minimizer with more than ``hot`` different
+   segments (say, the border of a passage that very many documents share, each with other words
+   around it) would make one shard grow with the corpus: its windows are dealt one by one by a
+   hash of their words, after each task has kept the earliest of its equal ones.
+   Each shard numbers its words (no hashes from
    here on), builds a compressed FM-index over its segments, and streams the segments through
    backward search: matching statistics up to the threshold ``width`` and their suffix
    intervals, in which the earliest occurrence is found.
@@ -43,6 +47,10 @@ from sparkrisk.llm.wordhash import Runs, utf8, window_argmin, words
 
 WIDTH = 20
 GRAM = 8
+# Different segments of one minimizer that go to one shard.
+HOT_SEGMENTS = 500
+# Windows of hot minimizers that a task compares before it passes them on.
+HELD_WINDOWS = 500_000
 # Segments a sending task holds before it packs them.
 HELD_SEGMENTS = 2_000_000
 # Symbols of one FM-index.
@@ -82,7 +90,8 @@ def _first_of_equal(mh, ch, *order) -> tuple[np.ndarray, np.ndarray]:
     return by, new
 
 
-def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
+                     hot: int = HOT_SEGMENTS) -> DataFrame:
     """(doc long, mark long, start int, count int): ``count`` windows from word ``start`` on
     that occurred before. ``mark`` is the text's crc32."""
     import pyarrow as pa
@@ -176,35 +185,64 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         several[1:] |= alike
         several[:-1] |= alike
         first = first[several]
+        _, which, size = np.unique(mh[first], return_inverse=True, return_counts=True)
+        many = size[which] > hot
         for pick, group in ((again, None), (first, mh[first].view(np.int64))):
             for a in range(0, len(pick), 100_000):
                 i = pick[a : a + 100_000]
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(i), pa.int64()) if group is None else pa.array(group[a : a + 100_000]), pa.array(doc[i]),
-                     pa.array(mark[i]), pa.array(start[i]), pa.array(count[i])], names=["mh", "doc", "mark", "start", "count"])
+                     pa.array(mark[i]), pa.array(start[i]), pa.array(count[i]),
+                     pa.nulls(len(i), pa.bool_()) if group is None else pa.array(many[a : a + 100_000])],
+                    names=["mh", "doc", "mark", "start", "count", "hot"])
 
     sent = stage(own.select("doc", "text", "mark").mapInArrow(
         send, "part int, body binary, docs binary, doc long, mark long, start int, count int"), "segments")
     met = sent.filter("part is not null").select("part", "body", "docs").repartitionById(parts, F.col("part")).mapInArrow(
-        meet, "mh long, doc long, mark long, start int, count int")
+        meet, "mh long, doc long, mark long, start int, count int, hot boolean")
     met = stage(met, "candidates")
     known = sent.filter("doc is not null").select("doc", "mark", "start", "count").unionByName(
         met.filter("mh is null").select("doc", "mark", "start", "count"))
 
     # Candidates with their words, by minimizer.
-    asked = met.filter("mh is not null").groupBy("doc", "mark").agg(F.collect_list(F.struct("mh", "start", "count")).alias("asked"))
+    asked = met.filter("mh is not null").groupBy("doc", "mark").agg(F.collect_list(F.struct("mh", "start", "count", "hot")).alias("asked"))
     asked = asked.select(F.col("doc").alias("d"), F.col("mark").alias("m"), "asked")
     texts = own.join(asked.hint("shuffle_hash"), (F.col("doc") == F.col("d")) & (F.col("mark") == F.col("m")))
 
     def cut(batches: Iterator) -> Iterator:
+        earliest: dict[str, tuple] = {}  # of windows of hot minimizers, in this task
+
+        def rows(out: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)],
+                                              names=["mh", "doc", "mark", "start", "words"])
+
+        def passed_on() -> pa.RecordBatch:
+            key = lambda x: int.from_bytes(hashlib.blake2b(x.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+            out = [(key(x), *place, x) for x, place in earliest.items()]
+            earliest.clear()
+            return rows(out)
+
         for batch in batches:
             out = []
             for doc, mark, text_, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 w = _WORD.findall(text_ or "")
-                out += [(a["mh"], doc, mark, a["start"], " ".join(w[a["start"] : a["start"] + a["count"] + width - 1])) for a in wanted]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)],
-                                             names=["mh", "doc", "mark", "start", "words"])
+                for a in wanted:
+                    s, n = a["start"], a["count"]
+                    if not a["hot"]:
+                        out.append((a["mh"], doc, mark, s, " ".join(w[s : s + n + width - 1])))
+                        continue
+                    for i in range(s, s + n):
+                        window, here = " ".join(w[i : i + width]), (doc, mark, i)
+                        there = earliest.setdefault(window, here)
+                        if here != there:  # the later one is repeated for certain
+                            earliest[window] = min(here, there)
+                            out.append((None, *max(here, there), None))
+            yield rows(out)
+            if len(earliest) >= HELD_WINDOWS:
+                yield passed_on()
+        if earliest:
+            yield passed_on()
 
     def search(batches: Iterator) -> Iterator:
         held, symbols, last = [], 0, None
@@ -221,7 +259,9 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
             yield from _repeats_in_shard(held, width)
 
     segments = texts.select("doc", "mark", "text", "asked").mapInArrow(cut, "mh long, doc long, mark long, start int, words string")
-    segments = segments.repartition(parts, "mh").sortWithinPartitions("mh", "doc", "mark", "start")
+    segments = stage(segments, "windows")
+    known = known.unionByName(segments.filter("mh is null").select("doc", "mark", "start", F.lit(1).alias("count")))
+    segments = segments.filter("mh is not null").repartition(parts, "mh").sortWithinPartitions("mh", "doc", "mark", "start")
     found = segments.mapInArrow(search, "doc long, mark long, start int, count int")
     return known.unionByName(found)
 
@@ -275,9 +315,9 @@ def _repeats_in_shard(rows: list[tuple], width: int) -> Iterator:
                                       pa.array(n.astype(np.int32))], names=["doc", "mark", "start", "count"])
 
 
-def _with_windows(docs: DataFrame, key: str, text: str, width: int, gram: int) -> DataFrame:
+def _with_windows(docs: DataFrame, key: str, text: str, width: int, gram: int, hot: int) -> DataFrame:
     """All columns of ``docs`` and ``__windows``: array of (start, count), null if none."""
-    found = repeated_windows(docs, key, text, width, gram)
+    found = repeated_windows(docs, key, text, width, gram, hot)
     by_doc = found.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "count")).alias("__windows"))
     by_doc = by_doc.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "__windows")
     on = (docs[key].cast("long") == F.col("__doc")) & (F.coalesce(F.crc32(docs[text].cast("binary")), F.lit(0)) == F.col("__mark"))
@@ -293,7 +333,8 @@ def _removed(n: int, windows, width: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
+                   hot: int = HOT_SEGMENTS) -> DataFrame:
     """All columns of ``docs``; in ``text`` the repeated words are gone, with the white space
     after each. A null text stays null."""
     import pyarrow as pa
@@ -317,10 +358,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
             cols[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return _with_windows(docs, key, text, width, gram).select(*docs.columns, "__windows").mapInArrow(run, schema)
+    return _with_windows(docs, key, text, width, gram, hot).select(*docs.columns, "__windows").mapInArrow(run, schema)
 
 
-def kept_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def kept_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM,
+                 hot: int = HOT_SEGMENTS) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256): the kept words joined by one space, digested."""
     import pyarrow as pa
 
@@ -341,5 +383,5 @@ def kept_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", width
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha)],
                                              names=["key", "n_words", "n_removed", "kept_sha256"])
 
-    out = _with_windows(own, key, text, width, gram).mapInArrow(run, f"key {kind}, n_words long, n_removed long, kept_sha256 string")
+    out = _with_windows(own, key, text, width, gram, hot).mapInArrow(run, f"key {kind}, n_words long, n_removed long, kept_sha256 string")
     return out.withColumnRenamed("key", key)

@@ -206,7 +206,8 @@ def test_op7_planted(llm):
         rows.append((i, "\n ".join(w) if w or i % 2 else None))
     df = llm.createDataFrame(rows, "doc_id long, text string").repartition(7)
     for width, gram in ((8, 3), (20, 8), (5, 5)):
-        assert digests(substring.kept_digests(df, width=width, gram=gram)) == brute_repeats(rows, width)
+        for hot in (500, 1):  # 1: all candidates go window by window
+            assert digests(substring.kept_digests(df, width=width, gram=gram, hot=hot)) == brute_repeats(rows, width)
 
 
 def test_op7_query(llm, small_docs):
