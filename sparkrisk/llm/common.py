@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from sparkrisk.session import prepare, shared_dir
 
-# Largest Arrow batch handed to a Python task: rows, and bytes where Spark knows the setting.
-BATCH_ROWS = 1000
-BATCH_BYTES = 16 * 1024 * 1024
+# Largest Arrow batch handed to a Python task: rows, and bytes where Spark knows the setting. Tasks
+# make several 8-byte numbers of every byte of a batch.
+BATCH_ROWS = 400
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def setup(spark: SparkSession) -> SparkSession:

@@ -52,9 +52,9 @@ HOT_SEGMENTS = 500
 # Windows of hot minimizers that a task compares before it passes them on.
 HELD_WINDOWS = 500_000
 # Segments a sending task holds before it packs them.
-HELD_SEGMENTS = 2_000_000
+HELD_SEGMENTS = 600_000
 # Symbols of one FM-index.
-SHARD_SYMBOLS = 4_000_000
+SHARD_SYMBOLS = 1_500_000
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 _RECORD = np.dtype([("mh", "<u8"), ("ch", "<u8"), ("row", "<u4"), ("start", "<u4"), ("count", "u1")])
 

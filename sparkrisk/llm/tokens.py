@@ -16,8 +16,9 @@ from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
 
-# Pieces remembered per Python worker; the memory starts anew when it is full.
-MAX_PIECES = 1_200_000
+# Pieces remembered per Python worker; when they are too many, the longer half (rarely met again)
+# is forgotten.
+MAX_PIECES = 700_000
 
 # White space as the tokenizers' regular expressions define it.
 WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -65,8 +66,12 @@ class TokenEncoder:
     def _learn(self, known: dict[str, bytes], pieces: set[str], spell) -> None:
         new = [p for p in pieces if p not in known]
         if len(known) + len(new) > self._max:
-            known.clear()
-            new = list(pieces)
+            middle = sorted(map(len, known))[len(known) // 2] if known else 0
+            for p in [p for p in known if len(p) >= middle]:
+                del known[p]
+            if len(known) + len(pieces) > self._max:
+                known.clear()
+            new = [p for p in pieces if p not in known]
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             known.update(zip(part, self._library([spell(p) for p in part])))
