@@ -8,9 +8,9 @@ For every block node of the page's tree (inline elements belong to their block):
   ``b``: the body);
 - density sum: the sum of its children's densities.
 
-The node with the largest density sum holds the article. An ``article`` or ``main`` element
-around it is taken whole. Else the threshold is the least density on the path from the body
-to it, and subtrees beside the path that reach the threshold are taken too. Elements that
+The node with the largest density sum holds the article. The threshold is the least density on
+the path from the body to it, and subtrees beside the path that reach the threshold are taken
+too; the names ``article`` and ``main`` play no part in the choice. Elements that
 declare themselves as something else (navigation, footers, forms, scripts, adverts, notices,
 reader comments) never take part.
 
@@ -253,12 +253,6 @@ def main_text(html: str | None) -> str:
     while node is not None:
         path.append(node)
         node = node.parent
-    named = [n for n in path if n.tag in ("article", "main") and n.chars]
-    if named:
-        return " ".join(_texts(named[0]))
-    inside = [n for n in order if n.tag in ("article", "main") and n.chars]
-    if len(inside) == 1 and best.chars and inside[0].chars >= best.chars / 2:
-        return " ".join(_texts(inside[0]))
     top = [n for n in path if n.tag not in ("#root", "html")] or path
     least = min(n.density for n in top)
     on_path = set(map(id, path)) - {id(best)}

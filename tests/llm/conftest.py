@@ -41,3 +41,8 @@ def none(odd):
 def small_docs(llm):
     rows = [tuple(r) for r in llm.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     return sorted(rows)
+
+
+@pytest.fixture(scope="session")
+def small_pages(llm):
+    return [r.html for r in llm.read.parquet(f"{SF}/pages.parquet").select("html").collect()]

@@ -196,6 +196,18 @@ def test_op6_density_without_markup_hints():
     assert html.main_text(page) == " ".join([words(60), words(50), words(40)])
 
 
+def test_op6_density_decides_inside_article_and_main(small_pages):
+    words = lambda n: " ".join(f"word{i}" for i in range(n))
+    body = f"<div><p>{words(60)}</p><p>{words(50)}</p><p>{words(40)}</p></div>"
+    links = "<div>" + "".join(f"<a href=x>link {i}</a> " for i in range(30)) + "</div>"
+    want = " ".join([words(60), words(50), words(40)])
+    for name in ("article", "main", "div"):  # link lists that no tag or class declares
+        assert html.main_text(f"<body><{name}>{links}{body}{links}</{name}></body>") == want
+        assert html.main_text(f"<body>{links}<{name}><p>short</p></{name}><div>{body}</div></body>") == want
+    for page in small_pages:  # the names of the elements do not matter
+        assert html.main_text(re.sub(r"(</?)article>", r"\1div>", page)) == html.main_text(page)
+
+
 def test_op6_edges(llm):
     df = llm.createDataFrame([(1, None, None, "x", 5), (2, "u", "<p>a", "y", 6), (2, "u", "<p>a", "y", 6), (None, "u", "<div>" * 3000 + "deep", "z", 7)],
                              "page_id long, url string, html string, text string, n_chars int")
