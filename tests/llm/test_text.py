@@ -208,6 +208,32 @@ def test_op6_density_decides_inside_article_and_main(small_pages):
         assert html.main_text(re.sub(r"(</?)article>", r"\1div>", page)) == html.main_text(page)
 
 
+def test_op6_keeps_the_article_behind_declared_elements():
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    paragraphs = [words(a, n) for a, n in (("one", 60), ("two", 50), ("three", 40))]
+    body, want = "".join(f"<p>{x}</p>" for x in paragraphs), " ".join(paragraphs)
+    menu = "".join(f"<a href=x>link {i}</a> " for i in range(30))
+    # Without end tags: an element ends where the parser ends it.
+    assert html.main_text(f"<body><p class='notice'>x{body}</body>") == want
+    assert html.main_text(f"<body><div><ul><li class='social'>x<li>y</ul></div><div>{body}</div></body>") == want
+    assert html.main_text(f"<body><div><div class='ad'>buy</div><div>{body}</div></div><nav>{menu}</body>") == want
+    for start in ("<div class='ad'>", "<nav>"):
+        assert html.main_text(f"<body><div>{start}{menu}</div><div>{body}</div></body>") == want
+        assert want in html.main_text(f"<body>{start}{menu}<div>{body}</div></body>")
+    # A word of a class name says little of an element that holds the text.
+    for name in ("content-with-sidebar", "no-sidebar", "page-header-wrapper", "elementor-widget-text-editor", "widget"):
+        assert html.main_text(f"<body><div>{menu}</div><div class='{name}'>{body}</div></body>") == want
+        assert html.main_text(f"<body><div class='{name}'>{paragraphs[0]}</div></body>") == paragraphs[0]
+    each = "".join(f"<div class='elementor-widget-text-editor'><p>{x}</p></div>" for x in paragraphs)
+    assert html.main_text(f"<body><div>{menu}</div><div>{each}</div></body>") == want
+    assert html.main_text(f"<body><form><div>{body}</div></form></body>") == want
+    # Whole class names of a minor share still leave the page.
+    assert html.main_text(f"<body><div>{body}<div class='box ad'>buy</div><span class=share>me</span></div></body>") == want
+    # Text that stands directly in an ancestor of the densest node.
+    lead = words("lead", 80)
+    assert html.main_text(f"<body><div>{menu}</div><div>{lead}<div>{body}</div></div></body>") == f"{lead} {want}"
+
+
 def test_op6_edges(llm):
     df = llm.createDataFrame([(1, None, None, "x", 5), (2, "u", "<p>a", "y", 6), (2, "u", "<p>a", "y", 6), (None, "u", "<div>" * 3000 + "deep", "z", 7)],
                              "page_id long, url string, html string, text string, n_chars int")
