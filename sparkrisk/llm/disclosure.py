@@ -7,8 +7,8 @@ fixed patterns. Other terms can give an entity away: with document frequencies `
 
 is 1 for a term that the corpus never shows without the entity, and falls as the term is used
 elsewhere. ``n(t,e)`` counts documents in which the term stands in a line with the entity. A
-term whose disclosure reaches ``threshold``, seen with the entity in at least two different
-lines, is treated as personal data in every document of that entity. ``sanitise`` generalises
+term whose disclosure reaches ``threshold``, seen with the entity in documents of at least two
+different texts, is treated as personal data in every document of that entity. ``sanitise`` generalises
 entities and terms to the name of their kind.
 
 Patterns give positions without Python: the matches and the gaps between them alternate, so a
@@ -136,14 +136,14 @@ def disclosing_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", t
         entity = _entity(span)
         own = F.lower(span["value"])
         terms = F.filter(_words(line), lambda w: ~F.contains(own, w) & ~F.contains(w, own))
-        return F.struct(entity.alias("entity"), F.xxhash64(line).alias("line"), terms.alias("terms"))
+        return F.struct(entity.alias("entity"), terms.alias("terms"))
 
     seen = stage(found.select("id", F.xxhash64("t").alias("mark"), F.transform("spans", context).alias("c")), "contexts")
     entities = seen.select("id", "mark", F.explode(F.array_distinct(F.transform("c", lambda c: c["entity"]))).alias("entity"))
-    pairs = seen.select("id", "mark", F.explode("c").alias("c")).select("id", "mark", "c.entity", "c.line", F.explode("c.terms").alias("term"))
+    pairs = seen.select("id", "mark", F.explode("c").alias("c")).select("id", "mark", "c.entity", F.explode("c.terms").alias("term"))
     # Once per document (rows with equal id and text count once), then over documents.
-    per_doc = pairs.groupBy("id", "mark", "entity", "term").agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
-    joint = per_doc.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    per_doc = pairs.select("id", "mark", "entity", "term").distinct()
+    joint = per_doc.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.min("mark").alias("lo"), F.max("mark").alias("hi"))
     joint = stage(joint.filter("lo <> hi").select("entity", "term", "n_te"), "pairs")
     n_e = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     terms = stage(joint.select("term").distinct(), "terms")
@@ -154,7 +154,10 @@ def disclosing_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     scored = joint.join(n_e, "entity").join(n_t, "term").withColumn("n_docs", F.lit(float(total.first()["n_docs"])))
     share = F.log(F.col("n_te") * F.col("n_docs") / (F.col("n_t") * F.col("n_e"))) / F.log(F.col("n_docs") / F.col("n_e"))
     hidden = scored.filter((F.col("n_docs") > F.col("n_e")) & (share >= threshold)).select("entity", "term")
-    return stage(entities.join(hidden, "entity").groupBy("id", "mark").agg(F.sort_array(F.collect_set("term")).alias("terms")), "hidden")
+    # One row per entity, so that a document meets its entities, not all their terms.
+    of_entity = hidden.groupBy("entity").agg(F.collect_set("term").alias("terms"))
+    found_in = entities.join(of_entity, "entity").groupBy("id", "mark").agg(F.collect_set("terms").alias("terms"))
+    return stage(found_in.select("id", "mark", F.array_sort(F.array_distinct(F.flatten("terms"))).alias("terms")), "hidden")
 
 
 def _spans(text: Column, terms: Column) -> Column:

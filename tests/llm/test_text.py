@@ -157,6 +157,18 @@ def test_op4_terms(llm):
     assert out[1] == "Write to [TERM] at [EMAIL] today\nother line" and out[5] == rows[4][1] and out[6] == "once [EMAIL] with quux"
 
 
+def test_op4_one_line_in_several_documents(llm):
+    rows = [(i, f"text {i} about nothing\nEditor: Maria Kowalczyk, desk@x.org\nmore of {i}") for i in range(20)]
+    rows += [(100 + i, f"number{i} of the common editor words, more text about nothing") for i in range(40)]
+    rows += [(200, "same ann@x.org and quux"), (201, "same ann@x.org and quux"), (202, "once bob@x.org and quuz")]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in disclosure.find_spans(df).collect()}
+    # Both names always come with the address; 'editor' is common; one text alone is no evidence.
+    assert {d: r.n_term for d, r in got.items() if r.n_term} == {i: 2 for i in range(20)}
+    out = {r.doc_id: r.text for r in disclosure.sanitise(df).collect()}
+    assert out[3] == "text 3 about nothing\nEditor: [TERM] [TERM], [EMAIL]\nmore of 3" and out[200] == "same [EMAIL] and quux"
+
+
 def test_op4_edges(odd, none):
     rows = disclosure.find_spans(odd).collect()
     assert len(rows) == odd.count() and {r.spans for r in rows} == {""}
