@@ -6,10 +6,11 @@ fixed patterns. Other terms can give an entity away: with document frequencies `
     disclosure(t, e) = PMI(t; e) / IC(e) = log(n(t,e) N / (n(t) n(e))) / log(N / n(e))
 
 is 1 for a term that the corpus never shows without the entity, and falls as the term is used
-elsewhere. ``n(t,e)`` counts documents in which the term stands in a line with the entity. A
-term whose disclosure reaches ``threshold``, seen with the entity in documents of at least two
-different texts, is treated as personal data in every document of that entity. ``sanitise`` generalises
-entities and terms to the name of their kind.
+elsewhere. Terms are the words outside all entities, also those that an entity contains (a name in
+its address). ``n(t,e)`` counts documents in which the term stands in the entity's line or in the
+next line with text above or below. A term whose disclosure reaches ``threshold``, seen with the
+entity in documents of at least two different texts, is treated as personal data in every document
+of that entity. ``sanitise`` generalises entities and terms to the name of their kind.
 
 Patterns give positions without Python: the matches and the gaps between them alternate, so a
 start is a sum of lengths. Possessive repetition and a look-behind at the start keep the
@@ -109,6 +110,22 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.filter(trimmed, lambda w: w != ""))
 
 
+def _with_text(lines: Column) -> Column:
+    return F.filter(lines, lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+
+
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with a mark that is no word in place of every span."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        new = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(" * "))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), new.alias("out"))
+
+    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
 def _entity(span: Column) -> Column:
     return F.concat(span["kind"].cast("string"), F.lit(":"), F.lower(span["value"]))
 
@@ -128,17 +145,19 @@ def disclosing_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     the text, as ids may repeat. Estimated from all of ``docs``."""
     rows = docs.select(docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("t"))
     found = rows.withColumn("spans", base_spans(F.col("t"))).filter(F.size("spans") > 0)
-    lines = F.split("t", "\n")
 
-    def context(span: Column) -> Column:
-        before = F.substring(F.col("t"), F.lit(1), span["start"])
-        line = F.get(lines, F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))))
-        entity = _entity(span)
+    def context(span: Column, lines: Column) -> Column:
+        above = F.split(F.substring(F.col("t"), F.lit(1), span["start"]), "\n")
+        line = F.size(_with_text(F.slice(above, F.lit(1), F.size(above) - 1)))  # from 0
+        first = F.greatest(line, F.lit(1))
+        words = _words(F.array_join(F.slice(lines, first, line + 3 - first), "\n"))
         own = F.lower(span["value"])
-        terms = F.filter(_words(line), lambda w: ~F.contains(own, w) & ~F.contains(w, own))
-        return F.struct(entity.alias("entity"), terms.alias("terms"))
+        return F.struct(_entity(span).alias("entity"), F.filter(words, lambda w: w != own).alias("terms"))
 
-    seen = stage(found.select("id", F.xxhash64("t").alias("mark"), F.transform("spans", context).alias("c")), "contexts")
+    # A line with an entity keeps a mark in its place, so lines are counted alike in both texts.
+    contexts = let(_with_text(F.split(_outside(F.col("t"), F.col("spans")), "\n")),
+                   lambda lines: F.transform("spans", lambda s: context(s, lines)))
+    seen = stage(found.select("id", F.xxhash64("t").alias("mark"), contexts.alias("c")), "contexts")
     entities = seen.select("id", "mark", F.explode(F.array_distinct(F.transform("c", lambda c: c["entity"]))).alias("entity"))
     pairs = seen.select("id", "mark", F.explode("c").alias("c")).select("id", "mark", "c.entity", F.explode("c.terms").alias("term"))
     # Once per document (rows with equal id and text count once), then over documents.
@@ -147,7 +166,8 @@ def disclosing_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", t
     joint = stage(joint.filter("lo <> hi").select("entity", "term", "n_te"), "pairs")
     n_e = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     terms = stage(joint.select("term").distinct(), "terms")
-    uses = join_small(rows.select(F.explode(_words(F.col("t"))).alias("term")), terms, "term", "left_semi", MAX_BROADCAST_ROWS)
+    words = _words(let(base_spans(F.col("t")), lambda b: F.when(F.size(b) > 0, _outside(F.col("t"), b)).otherwise(F.col("t"))))
+    uses = join_small(rows.select(F.explode(words).alias("term")), terms, "term", "left_semi", MAX_BROADCAST_ROWS)
     n_t = uses.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = rows.agg(F.count(F.lit(1)).alias("n_docs"))
     # One row with the number of documents, as a scalar for every pair.

@@ -169,6 +169,19 @@ def test_op4_one_line_in_several_documents(llm):
     assert out[3] == "text 3 about nothing\nEditor: [TERM] [TERM], [EMAIL]\nmore of 3" and out[200] == "same [EMAIL] and quux"
 
 
+def test_op4_names_in_the_address_and_on_other_lines(llm):
+    def letter(i):
+        return f"letter {i}\nthe editor\nJane Kowalczyk\n \njane.kowalczyk@x.org, ann@x.org\nroom Zorblax"
+
+    rows = [(i, letter(i)) for i in range(20)] + [(100 + i, f"the room number{i} of an editor, letter {i}") for i in range(40)]
+    rows += [(200, "kowalczyk@y.org"), (201, "kowalczyk@y.org again")]  # a part of an entity is no use of the term
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in disclosure.find_spans(df).collect()}
+    assert {d: r.n_term for d, r in got.items() if r.n_term} == {i: 3 for i in range(20)}
+    out = {r.doc_id: r.text for r in disclosure.sanitise(df).collect()}
+    assert out[3] == "letter 3\nthe editor\n[TERM] [TERM]\n \n[EMAIL], [EMAIL]\nroom [TERM]" and out[200] == "[EMAIL]"
+
+
 def test_op4_edges(odd, none):
     rows = disclosure.find_spans(odd).collect()
     assert len(rows) == odd.count() and {r.spans for r in rows} == {""}
