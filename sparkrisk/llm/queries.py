@@ -22,6 +22,10 @@ def _query(name: str):
     return wrap
 
 
+def _oracle(name: str, sql: str) -> None:
+    ORACLES[name] = sql
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -125,6 +129,74 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_spans(table(spark, sf_dir, "documents"))
 
 
+@_query("op11_decontamination")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a benchmark window of 10 words."""
+    from sparkrisk.llm.decontamination import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_oracle("op11_decontamination", r"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win
+    FROM (SELECT item, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0)),
+place AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win))),
+hit AS MATERIALIZED (SELECT rid, n, i, item FROM place JOIN win USING (n, win)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT rid, item FROM hit WHERE item IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)""")
+
+
+@_query("op12_centroid_planes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's nearest of 40 centroids after 5 rounds, with exact distances."""
+    from sparkrisk.llm.centroids import cluster_report
+
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds spelled out: long rows (vector, component, integer), joined by component."""
+    ctes = ["""kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, e FROM (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) WHERE len(e) = 64
+      AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+            """x AS MATERIALIZED (SELECT rid, unnest(range(64)) AS d,
+      unnest(list_transform(e, lambda c: CAST(floor(256 * c) AS BIGINT))) AS x FROM kept)""",
+            f"""c0 AS MATERIALIZED (SELECT c, d, x FROM (SELECT rid, row_number() OVER (
+      ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM kept) s JOIN x USING (rid) WHERE c < {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT rid, arg_min(c, (far, c)) AS c, min(far) AS far FROM (
+          SELECT rid, c, sum((x.x - m.x) * (x.x - m.x)) AS far FROM x JOIN c{r} m USING (d) GROUP BY rid, c) GROUP BY rid)""")
+        if r < rounds:
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, d, coalesce(m, x) AS x FROM c{r} LEFT JOIN (
+              SELECT c, d, (sum(x.x) - ((sum(x.x) % count(*)) + count(*)) % count(*)) // count(*) AS m
+              FROM x JOIN a{r} USING (rid) GROUP BY c, d) USING (c, d))""")
+    return f"""WITH {", ".join(ctes)},
+    sha AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(far AS BIGINT) AS distance,
+           CAST(sum(far) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(far) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM a{rounds} JOIN kept USING (rid) JOIN sha USING (c)"""
+
+
+_oracle("op12_centroid_planes", _centroid_sql())
+
+
+@_query("op13_bit_sliced_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened on its 8 leading components, from the exact scatter matrix."""
+    from sparkrisk.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""
