@@ -12,7 +12,7 @@ the table's size. No vector is shuffled, and a vector that many rows share is no
 Defined results: vectors that are null, have another length than 64, or a null or non-finite
 component take no part, nor do those with an integer outside ``[-2^27, 2^27)``, whose distances
 may not fit a long. Rows without an id are assigned and counted, but start no centroid. Repeated
-ids are separate vectors; those tied for the last starting place are ordered by their components.
+ids are separate vectors; those with different vectors start centroids in the order of their packed planes.
 Fewer vectors than ``k`` give as many centroids; an empty table gives an empty result. Sums of
 distances beyond a long are null. Extra columns are ignored.
 """

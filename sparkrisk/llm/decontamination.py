@@ -32,9 +32,10 @@ MAX_WINDOWS = 200_000
 # Documents with hits broadcast to the final scan; more are joined by shuffle.
 MAX_BROADCAST_HITS = 50_000
 
-# The characters of words, and the others.
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What is not part of a (lower-case) word; runs of either, for texts as they are.
+_OTHERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORD_RUN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RUNS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,8 +44,9 @@ def _normal(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text, lower case; none for null."""
-    return F.regexp_extract_all(_normal(text), F.lit(_WORD), F.lit(0))
+    """The words of a text, lower case; none for null. Splitting at the other characters is several
+    times faster than extracting the words, which copies the text for every match."""
+    return F.array_remove(F.split(_normal(text), _OTHERS), "")
 
 
 def _row(text: Column) -> Column:
@@ -57,9 +59,14 @@ def _starts(size: Column, length: int) -> Column:
     return F.when(size >= length, F.sequence(F.lit(1), size - length + 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _hash(each: Column, width: int) -> Column:
+    """One hash of up to ``width`` words' hashes (what is missing adds nothing)."""
+    return F.xxhash64(*[F.get(each, F.lit(k)) for k in range(width)])
+
+
 def _window_hashes(each: Column, length: int) -> Column:
     """The hash of every window of ``length`` words, from the words' hashes."""
-    return F.transform(_starts(F.size(each), length), lambda i: F.xxhash64(F.slice(each, i, length)))
+    return F.transform(_starts(F.size(each), length), lambda i: F.xxhash64(*[F.get(each, i + k - 1) for k in range(length)]))
 
 
 def windows(items: DataFrame, width: int = WIDTH, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -69,7 +76,7 @@ def windows(items: DataFrame, width: int = WIDTH, key: str = "item_id", text: st
     every = own.select("item", length.alias("length"), F.explode(
         F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.slice("w", i, length))).alias("words"))
     sets = every.groupBy("length", "words").agg(F.collect_set("item").alias("items"))
-    return sets.select("length", "words", F.xxhash64(F.transform("words", lambda x: F.xxhash64(x))).alias("h"), "items")
+    return sets.select("length", "words", _hash(F.transform("words", lambda x: F.xxhash64(x)), width).alias("h"), "items")
 
 
 def _looked_up(docs: DataFrame, side: DataFrame, lengths: list[int], key: str, text: str) -> DataFrame:
@@ -155,7 +162,7 @@ def remove(docs: DataFrame, items: DataFrame, what: str = "spans", share: float
         return out.filter(F.col("__spans").isNull() | (n_hit <= F.lit(share) * F.size(words(F.col(text))))).select(*docs.columns)
     runs = F.regexp_extract_all(F.col(text), F.lit(_RUNS), F.lit(0))
     # Runs alternate between words and others; a text that starts with others has its words at odd places.
-    shift = F.when(F.col(text).rlike(r"\A" + _WORD), 0).otherwise(1)
+    shift = F.when(F.col(text).rlike(r"\A" + _WORD_RUN), 0).otherwise(1)
     spans = F.col("__spans")
 
     def kept(all_runs: Column) -> Column:
