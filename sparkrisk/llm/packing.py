@@ -94,7 +94,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACI
         enc, end, seen = encoder(path), np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows, pieces, crcs, sizes, ids = [], [], [], [], []
-            for i, raw in enumerate(enc.encode(batch.column(1).to_pylist())):
+            for i, raw in enumerate(enc.encode_rows(batch.column(1))):
                 raw += end
                 for p, at in enumerate(range(0, len(raw), 4 * capacity)):
                     cut = raw[at : at + 4 * capacity]

@@ -85,7 +85,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, k
 
         for batch in batches:
             key_type = batch.column(0).type
-            for k, raw in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+            for k, raw in zip(batch.column(0).to_pylist(), enc.encode_rows(batch.column(1))):
                 held.append(raw + end)
                 keys.append(k)
                 sizes.append(len(raw) // 4 + 1)
