@@ -89,7 +89,10 @@ def _looked_up(docs: DataFrame, side: DataFrame, lengths: list[int], key: str, t
         return F.concat(*[_window_hashes(each, n) for n in lengths])
 
     each = F.transform("w", lambda x: F.xxhash64(x))
-    placed = own.select("key", "row", "w", F.posexplode(let(each, hashes)).alias("at", "h"))
+    # The hashes are a column before they are exploded: a generator over a lambda leaves generated
+    # code and would copy the words of the document for every window.
+    own = own.select("key", "row", "w", let(each, hashes).alias("hashes"))
+    placed = own.select("key", "row", "w", F.posexplode("hashes").alias("at", "h"))
     before, skipped = F.lit(0), F.when(F.lit(False), F.lit(0))
     for n in lengths:
         skipped = skipped.when(F.col("length") == n, before)
