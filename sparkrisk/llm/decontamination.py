@@ -90,9 +90,10 @@ def _looked_up(docs: DataFrame, side: DataFrame, lengths: list[int], key: str, t
 
     each = F.transform("w", lambda x: F.xxhash64(x))
     # The hashes are a column before they are exploded: a generator over a lambda leaves generated
-    # code and would copy the words of the document for every window.
+    # code and would copy the words of the document for every window. The outer form infers no filter
+    # on the array's size, for which all hashes would be computed twice.
     own = own.select("key", "row", "w", let(each, hashes).alias("hashes"))
-    placed = own.select("key", "row", "w", F.posexplode("hashes").alias("at", "h"))
+    placed = own.select("key", "row", "w", F.posexplode_outer("hashes").alias("at", "h"))
     before, skipped = F.lit(0), F.when(F.lit(False), F.lit(0))
     for n in lengths:
         skipped = skipped.when(F.col("length") == n, before)
