@@ -2,8 +2,8 @@
 
 Texts are split whole, on an explicit whitespace class. Token rows come from ``posexplode``
 (narrow, no shuffle); the vocabulary has at most ``n`` rows, a bound that does not grow with
-the data, so joins against it are broadcast hash joins. Re-assembly groups the tokens of one
-document, a group bounded by that document's own length.
+the data, so joins against it are broadcast hash joins. Encoding, decoding and window counts keep
+a text in its row and work on Arrow columns (``arrow_text``).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrisk.functions.scalar import join_words, split_words
+from sparkrisk.operators import arrow_text
 from sparkrisk.operators.joins import max_rows
 
 # Vocabulary size and sequence length of the text model inputs.
@@ -87,24 +88,38 @@ def _regroup(items: DataFrame, key: str, value: str) -> DataFrame:
     return grouped.select(key, one.alias("list"), F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__i")).select(key, "list")
 
 
-def encode(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def _bounded(vocab: DataFrame, most: int):
+    """A vocabulary whose plan proves at most ``most`` rows, as an Arrow table; else None."""
+    bound = max_rows(vocab)
+    return vocab.select("word", "id").toArrow() if bound is not None and bound <= most else None
+
+
+def encode(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id",
+           most: int = MAX_BROADCAST_VOCAB) -> DataFrame:
     """T4: (key, ids) with the ids of known words in text order, one row per row of ``df``
     (repeated keys are separate texts); a text without any known word gets an empty array.
 
-    Outer explode and an outer broadcast join keep every text, so no join back is needed;
-    all tokens of a text sit in one task, so the grouping is complete after the map-side
-    partial aggregate and the shuffle moves one row per text.
+    A bounded vocabulary (one from ``vocabulary()`` is) goes to the tasks, and every row is looked up
+    where it is, without a shuffle. Any other is joined with the tokens by a salted shuffle; all
+    tokens of a text are then grouped again.
     """
+    own = _bounded(vocab, most)
+    if own is not None:
+        return arrow_text.lookup_ids(df, own, text, key)
     toks = df.select(key, *_row_key(text), F.posexplode_outer(split_words(text)).alias("pos", "word"))
-    ids = _join_vocab(toks, vocab.select("word", "id"), "word", "left")
+    ids = _join_vocab(toks, vocab.select("word", "id"), "word", "left", most)
     return _regroup(ids, key, "id").withColumnRenamed("list", "ids")
 
 
-def decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", key: str = "doc_id") -> DataFrame:
+def decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", key: str = "doc_id",
+           most: int = MAX_BROADCAST_VOCAB) -> DataFrame:
     """(key, text) with the words of the ids joined by one space, one row per row of
-    ``df``."""
+    ``df``; vocabularies as in ``encode``."""
+    own = _bounded(vocab, most)
+    if own is not None:
+        return arrow_text.lookup_words(df, own, ids, key)
     exploded = df.select(key, *_row_key(ids), F.posexplode_outer(ids).alias("pos", "id"))
-    words = _join_vocab(exploded, vocab.select("word", "id"), "id", "left")
+    words = _join_vocab(exploded, vocab.select("word", "id"), "id", "left", most)
     return _regroup(words, key, "word").select(key, join_words(F.col("list")).alias("text"))
 
 
@@ -127,12 +142,6 @@ def seen_ids(toks_with_ids: DataFrame, train_ids: DataFrame, vocab: DataFrame, i
 
 def ngrams(df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3) -> DataFrame:
     """T8 counts: (key, ngram, count) of width-``n`` word windows, words joined by a space,
-    the same strings MLlib's ``NGram`` produces."""
-    # The word array is a column first: inside the lambda an expression would be
-    # re-evaluated for every window position.
-    split = df.select(key, split_words(text).alias("__w"))
-    words = F.col("__w")
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
-    has = F.size(words) >= n
-    exploded = split.select(key, F.explode(F.when(has, grams).otherwise(F.array().cast("array<string>"))).alias("ngram"))
-    return exploded.groupBy(key, "ngram").agg(F.count(F.lit(1)).alias("count"))
+    the same strings MLlib's ``NGram`` produces. Windows are counted inside their row, without a
+    shuffle; repeated keys are separate texts."""
+    return arrow_text.window_counts(df, text, key, n)

@@ -144,6 +144,37 @@ def s10_write_csv(spark, sf_dir):
     return TB.read_csv(spark, path, schema=RECORD_SCHEMA)
 
 
+# Texts that break careless delimited files, dealt over the documents.
+HOSTILE = ["a\nb", 'q"x', "back\\", "", None, " ", "x;y", 'e\\"z', "cr\rx", "\\N", "\\n", '"', "#x"]
+_HOSTILE_SQL = " ".join(
+    f"WHEN {i} THEN " + ("NULL" if t is None else " || ".join(
+        ["''", *(f"chr({ord(ch)})" if ch in "\r\n\\" else f"'{ch}'" for ch in t)])) for i, t in enumerate(HOSTILE))
+
+
+@query("S10_csv_hostile_texts", "SELECT doc_id, text, lang, source, n_chars, "
+       f"CASE doc_id % {len(HOSTILE)} {_HOSTILE_SQL} END AS odd FROM documents")
+def s10_csv_hostile_texts(spark, sf_dir):
+    """All documents, with their line breaks, and fields that need care, written and read back."""
+    docs = FX.table(spark, sf_dir, "documents")
+    odd = F.array(*[F.lit(t).cast("string") for t in HOSTILE])[(F.col("doc_id") % len(HOSTILE)).cast("int")]
+    docs = docs.withColumn("odd", odd)
+    return TB.read_csv(spark, TB.write_csv(docs, shared_dir(spark, "csv")), schema=docs.schema)
+
+
+_BAD_LINE = "CASE o_orderkey % 10 WHEN 3 THEN 'x' || o_orderkey || ';' || o_custkey WHEN 7 THEN CAST(o_orderkey AS {t}) ELSE o_orderkey || ';' || o_custkey END"
+
+
+@query("S7_csv_bad_records", "SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS record FROM orders WHERE o_orderkey % 10 NOT IN (3, 7) "
+       f"UNION ALL SELECT NULL, NULL, {_BAD_LINE.format(t='VARCHAR')} FROM orders WHERE o_orderkey % 10 IN (3, 7)")
+def s7_csv_bad_records(spark, sf_dir):
+    """Order lines of which some have a wrong key or a missing field: rows and bad records apart."""
+    path = shared_dir(spark, "lines")
+    FX.table(spark, sf_dir, "orders").selectExpr(_BAD_LINE.format(t="STRING") + " AS value").write.text(path)
+    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT")
+    rows, bad = TB.read_csv(spark, path, schema=schema, header=False, bad="apart")
+    return rows.unionByName(bad, allowMissingColumns=True)
+
+
 @query("S11_file_count", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
 def s11_file_count(spark, sf_dir):
     path = TB.write_parquet(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "files"))

@@ -115,8 +115,10 @@ def j4_lookup(spark, sf_dir):
 
 @query(
     "J5_seen_ids",
-    f"WITH {CTE_VOCAB}, ids AS (SELECT t.doc_id, t.pos, v.id FROM tok t JOIN vocab v ON t.word = v.word) "
-    "SELECT * FROM ids WHERE id IN (SELECT DISTINCT id FROM ids JOIN labels ON ids.doc_id = labels.doc_id)",
+    "WITH " + CTE_VOCAB.replace(" AS (\n", " AS MATERIALIZED (\n", 1).replace("vocab AS (", "vocab AS MATERIALIZED (")
+    + ", ids AS MATERIALIZED (SELECT t.doc_id, t.pos, v.id FROM tok t JOIN vocab v ON t.word = v.word), "
+    "used AS MATERIALIZED (SELECT DISTINCT id FROM ids SEMI JOIN labels ON ids.doc_id = labels.doc_id) "
+    "SELECT ids.* FROM ids SEMI JOIN used ON ids.id = used.id",
 )
 def j5_seen_ids(spark, sf_dir):
     docs, vocab = _docs(spark, sf_dir), _vocab(spark, sf_dir)

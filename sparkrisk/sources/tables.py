@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkrisk.session import materialize
+
 
 def empty_table(spark: SparkSession, schema: T.StructType, name: str | None = None, path: str | None = None) -> DataFrame:
     """An empty DataFrame with ``schema``; written as a table when ``name`` is given."""
@@ -25,20 +28,66 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-# Text values round-trip exactly: no trimming (a lone space stays a space); an empty
-# string is written quoted and reads back empty, a null is written as nothing.
-_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Delimited text. A null is written as nothing and an empty text as "", and both read back as they
+# were; quotes are doubled, white space is kept. Line breaks and backslashes of a text are written
+# as \\n, \\r and \\\\, so a record is always one line and the scan of a large file can be split. The
+# folder says so in ``_dialect`` (a name that scans skip); files without it are read as they are.
+_CSV = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
+_NULL = "\\N"  # never the written form of a text, whose backslashes are doubled
+_DIALECT = "_dialect"
+BAD = "__bad"
+
+
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
+
+
+def _escaped(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _unescaped(c: Column) -> Column:
+    # Doubled backslashes are cut out first, from left to right; what is left of one is a break.
+    part = lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(F.split(c, r"\\\\"), part), "\\")).otherwise(c)
+
+
+def _dialect(spark: SparkSession, path: str, write: bool = False) -> bool:
+    """Whether the folder holds escaped texts; ``write`` says so."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, _DIALECT)
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if write:
+        fs.create(file, True).close()
+    return write or fs.exists(file)
+
 
+def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | None = None, header: bool = True,
+             bad: str = "fail", multi_line: bool = False):
+    """Delimited text with a header. Give ``schema`` in production: inference reads the data twice.
 
-def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | None = None, header: bool = True) -> DataFrame:
-    """Delimited text with a header. Give ``schema`` in production: inference reads the
-    data twice."""
-    reader = spark.read.options(header=str(header).lower(), sep=sep, **_KEEP_SPACES)
-    if schema is not None:
-        reader = reader.schema(schema)
+    A record that does not fit the schema (wrong number of fields, a value of another type) fails the
+    read. With ``bad="apart"`` the result is (rows, bad records): the records are parsed once into a
+    stage, and the second frame holds the lines that did not fit, as they stand in the file.
+    ``multi_line`` reads foreign files whose quoted fields hold line breaks; those cannot be split."""
+    if bad not in ("fail", "apart") or (bad == "apart" and schema is None):
+        raise ValueError("bad is 'fail' or, with a schema, 'apart'")
+    options = {**_CSV, "header": str(header).lower(), "sep": sep, "nullValue": _NULL, "multiLine": str(multi_line).lower(),
+               # All fields are parsed, whatever a query needs: bad records are found in any of them.
+               "mode": "FAILFAST" if bad == "fail" else "PERMISSIVE", "columnPruning": "false"}
+    reader = spark.read.options(**options)
+    if schema is None:
+        rows = reader.option("inferSchema", "true").csv(path)
+    elif bad == "fail":
+        rows = reader.schema(schema).csv(path)
     else:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+        whole = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
+        rows = materialize(reader.schema(whole).option("columnNameOfCorruptRecord", BAD).csv(path))
+    if _dialect(spark, path):
+        texts = {f.name: _unescaped(F.col(f"`{f.name}`")) for f in rows.schema.fields if _is_text(f) and f.name != BAD}
+        rows = rows.withColumns(texts) if texts else rows
+    if bad == "fail":
+        return rows
+    return rows.filter(F.col(BAD).isNull()).drop(BAD), rows.filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("record"))
 
 
 def _files(df: DataFrame, files: int | None) -> DataFrame:
@@ -60,8 +109,16 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None, mode: str = "overwrite") -> str:
-    """Delimited text with a header."""
-    _files(df, files).write.mode(mode).options(header="true", sep=sep, **_KEEP_SPACES).csv(path)
+    """Delimited text with a header, in the form that ``read_csv`` reads back exactly."""
+    spark = df.sparkSession
+    if mode == "append" and not _dialect(spark, path):
+        raise ValueError(f"{path} has files that were written in another form")
+    texts = {f.name: _escaped(F.col(f"`{f.name}`")) for f in df.schema.fields if _is_text(f)}
+    out = df.withColumns(texts) if texts else df
+    # A record of one column must not be an empty or blank line: readers skip those.
+    alone = {"quoteAll": "true", "nullValue": _NULL} if len(df.columns) == 1 else {}
+    _files(out, files).write.mode(mode).options(header="true", sep=sep, **_CSV, **alone).csv(path)
+    _dialect(spark, path, write=True)
     return path
 
 

@@ -25,6 +25,39 @@ def test_ngrams(spark):
     assert got == {(1, "a b c"): 2, (1, "b c a"): 1, (1, "c a b"): 1}
 
 
+def test_ngrams_inside_rows(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1, 2, i]), " ".join(rng.choice(["a", "b", "é", "", "\t"]) for _ in range(rng.randrange(40)))) for i in range(700)]
+    rows += [(7, None), (8, "x " * 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (1, 2, 3, 40):
+        want = []
+        for key, text in rows:
+            w = (text or "").split()
+            counts = {}
+            for i in range(len(w) - n + 1):
+                g = " ".join(w[i : i + n])
+                counts[g] = counts.get(g, 0) + 1
+            want += [(key, g, c) for g, c in counts.items()]
+        got = TX.ngrams(docs, n=n)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert TX.ngrams(docs.limit(0)).count() == 0
+
+
+def test_lookup_and_join_agree(spark):
+    docs = spark.createDataFrame([(i % 5, " ".join(f"w{(i * j) % 17}" for j in range(i % 9))) for i in range(60)] + [(1, None)],
+                                 "doc_id long, text string")
+    vocab = TX.vocabulary(TX.tokens(docs), n=9)
+    enc, joined = TX.encode(docs, vocab), TX.encode(docs, vocab, most=0)
+    assert "Exchange" not in enc._jdf.queryExecution().executedPlan().toString()
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(enc) == rows(joined)
+    assert rows(TX.decode(enc, vocab)) == rows(TX.decode(enc, vocab, most=0))
+
+
 def test_repeated_keys_are_separate_texts(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "b a a"), (1, "a b"), (2, ""), (2, ""), (None, "b")], "doc_id long, text string")
     vocab = TX.vocabulary(TX.tokens(docs), n=2)
