@@ -1,10 +1,10 @@
 """Checked queries for splits, encoders, models and evaluation.
 
 A learned value has no SQL twin. Queries of learned models therefore return the key of every row
-with facts about the value that must hold whatever was learned (a probability in [0, 1], class
-probabilities that add up to 1, a prediction that is the likelier class, equal scores of a
-loaded model, a risk above chance), and their oracles say which rows there are and that every
-fact is true. Splits, indexes, one-hot slots, assembled vectors, ROC, AUC and accuracy of a
+with facts about the value (a score equal to the one computed anew from the model's saved nodes, a
+prediction that is the likelier class, equal scores of a loaded model, a risk above chance), and
+their oracles say which rows there are and that every fact is true. The ``*_values`` queries return
+the scores themselves beside the recomputed ones; they have no oracle. Splits, indexes, one-hot slots, assembled vectors, ROC, AUC and accuracy of a
 rule are compared by value.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sparkrisk import fixtures as FX
 from sparkrisk.ml import evaluate as EV
 from sparkrisk.ml import model as MD
+from sparkrisk.ml import recompute as RC
 from sparkrisk.ml import text_model as TM
 from sparkrisk.operators import text as TX
 from sparkrisk.plans import q_history as QH
@@ -193,13 +194,20 @@ def _better_than_chance(area):
     return F.lit(0.5 < area <= 1.0)
 
 
-@query("C4_train_risk", _held_out_sql("true AS proba_ok, true AS auc_ok"))
+def _agrees(score="probability", column="recomputed"):
+    """The score is the one that the saved nodes give."""
+    p = vector_to_array(score)[1] if score == "probability" else F.col(score)
+    return F.coalesce(F.abs(p - F.col(column)) < 1e-9, F.lit(False))
+
+
+@query("C4_train_risk", _held_out_sql("true AS proba_ok, true AS recomputed_ok, true AS auc_ok"))
 def c4_train_risk(spark, sf_dir):
     """Held-out rows with their risk; the held-out AUC is above chance."""
-    _, scored = _trained(spark, sf_dir)
+    model, scored = _trained(spark, sf_dir)
     area = MD.evaluate_auc(scored)
-    return MD.with_risk(scored).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"),
-                                       _better_than_chance(area).alias("auc_ok"))
+    checked = RC.recomputed_score(scored, model).withColumn("recomputed_ok", _agrees())
+    return MD.with_risk(checked).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"), "recomputed_ok",
+                                        _better_than_chance(area).alias("auc_ok"))
 
 
 @query("C6_predict_risk", _entities_sql("businessname, city, true AS proba_ok").replace("businessname,", "BusinessName AS businessname,"))
@@ -261,10 +269,38 @@ def _class_facts(probability="probability"):
             F.when(p[0] == p[1], True).otherwise(F.col("prediction") == (p[1] > p[0]).cast("double")).alias("likelier_class")]
 
 
-@query("M6_M8_forest_scores", _held_out_sql("true AS sums_to_one, true AS likelier_class"))
+@query("M6_M8_forest_scores", _held_out_sql("true AS sums_to_one, true AS likelier_class, true AS recomputed_ok"))
 def m6_m8_forest_scores(spark, sf_dir):
-    _, scored = _trained(spark, sf_dir)
-    return scored.select(F.col("__key").alias("key"), *_class_facts())
+    """Held-out rows scored by the forest, against its saved nodes."""
+    model, scored = _trained(spark, sf_dir)
+    checked = RC.recomputed_score(scored, model)
+    return checked.select(F.col("__key").alias("key"), *_class_facts(), _agrees().alias("recomputed_ok"))
+
+
+def _values(scored, key):
+    return scored.select(key, vector_to_array("probability")[1].alias("proba"), "recomputed")
+
+
+@query("M6_M8_forest_values")
+def m6_m8_forest_values(spark, sf_dir):
+    """P(fail) of the held-out rows, and the same from the forest's saved nodes."""
+    model, scored = _trained(spark, sf_dir)
+    return _values(RC.recomputed_score(scored, model), F.col("__key").alias("key"))
+
+
+@query("M14_gbt_values")
+def m14_gbt_values(spark, sf_dir):
+    """P(fail) of the held-out rows, and the same from the boosted trees' saved nodes."""
+    model, scored = _trained(spark, sf_dir, kind="gbt")
+    return _values(RC.recomputed_score(scored, model, kind="gbt"), F.col("__key").alias("key"))
+
+
+@query("C6_risk_values")
+def c6_risk_values(spark, sf_dir):
+    """The risk of every entity, and the same from the forest's saved nodes."""
+    hist = QH.history(spark, sf_dir)
+    model, _ = _trained(spark, sf_dir, hist=hist)
+    return _values(RC.recomputed_score(MD.score(model, QH.features(spark, sf_dir, hist)), model), "_id")
 
 
 @query("M12_save_load", _entities_sql("true AS same_score"))
@@ -292,12 +328,14 @@ def m13_grid_search(spark, sf_dir):
     return table.select("params", ok.alias("auc_ok"), F.lit(train.count()).cast("bigint").alias("rows"))
 
 
-@query("M14_gbt_scores", _held_out_sql("true AS proba_ok, true AS auc_ok"))
+@query("M14_gbt_scores", _held_out_sql("true AS proba_ok, true AS recomputed_ok, true AS auc_ok"))
 def m14_gbt_scores(spark, sf_dir):
-    _, scored = _trained(spark, sf_dir, kind="gbt")
+    """Held-out rows scored by boosted trees, against their saved nodes."""
+    model, scored = _trained(spark, sf_dir, kind="gbt")
     area = MD.evaluate_auc(scored)
-    return MD.with_risk(scored).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"),
-                                       _better_than_chance(area).alias("auc_ok"))
+    checked = RC.recomputed_score(scored, model, kind="gbt").withColumn("recomputed_ok", _agrees())
+    return MD.with_risk(checked).select(F.col("__key").alias("key"), _in_range().alias("proba_ok"), "recomputed_ok",
+                                        _better_than_chance(area).alias("auc_ok"))
 
 
 @query("M15_with_risk", _held_out_sql("property_id, fail, true AS proba_ok, true AS float_ok"))
@@ -369,21 +407,23 @@ def m7_fit_pipeline(spark, sf_dir):
     return spark.createDataFrame(rows, "stage int, kind string, output string, labels long")
 
 
-@query("M8_score", _entities_sql("true AS sums_to_one, true AS likelier_class"))
+@query("M8_score", _entities_sql("true AS sums_to_one, true AS likelier_class, true AS recomputed_ok"))
 def m8_score(spark, sf_dir):
     """Entity rows scored by the fitted chain."""
     hist = QH.history(spark, sf_dir)
     model, _ = _trained(spark, sf_dir, hist=hist)
-    return MD.score(model, QH.features(spark, sf_dir, hist)).select("_id", *_class_facts())
+    checked = RC.recomputed_score(MD.score(model, QH.features(spark, sf_dir, hist)), model)
+    return checked.select("_id", *_class_facts(), _agrees().alias("recomputed_ok"))
 
 
 @query("F12_vector_element", _held_out_sql("true AS same_value"))
 def f12_vector_element(spark, sf_dir):
-    """P(fail) read from the probability vector with a built-in function, against one minus the
-    other class."""
-    _, scored = _trained(spark, sf_dir)
-    other = 1 - vector_to_array("probability")[0]
-    return scored.select(F.col("__key").alias("key"), (F.abs(MD.vector_element("probability", 1) - other) < 1e-6).alias("same_value"))
+    """P(fail) read from the probability vector with a built-in function, against the value that the
+    model's saved nodes give."""
+    model, scored = _trained(spark, sf_dir)
+    checked = RC.recomputed_score(scored, model)
+    same = F.abs(MD.vector_element("probability", 1) - F.col("recomputed")) < 1e-6  # the element is a float
+    return checked.select(F.col("__key").alias("key"), same.alias("same_value"))
 
 
 @query("D1_proba_without_udf", _entities_sql("true AS same_value"))

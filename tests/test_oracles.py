@@ -40,10 +40,14 @@ def test_matches_oracle(spark, key):
     assert ok, msg
 
 
+# Scores of learned models beside recomputed ones: compared with each other in test_recompute.py.
+VALUES = {"M6_M8_forest_values", "M14_gbt_values", "C6_risk_values"}
+
+
 def test_every_query_of_this_package_has_an_oracle():
     from sparkrisk.plans import registry
 
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) - set(registry.oracle_sql()) == VALUES
 
 
 SURVEY_IDS = (
