@@ -129,8 +129,10 @@ def verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     small = sizes.filter(F.col("n") < min_group).groupBy("lang").agg(F.sum("n").alias("n"))
     kinds = sizes.select(F.col("lang").alias("gl"), F.col("source").alias("gs"), F.col("n").alias("gn")).join(
         small.select(F.col("lang").alias("sl"), F.col("n").alias("sn")), F.col("gl").eqNullSafe(F.col("sl")), "left")
-    kinds = stage(kinds.select("gl", "gs", F.when(F.col("gn") >= min_group, F.to_json(F.struct("gl", "gs")))
-                               .when(F.col("sn") >= min_group, F.to_json(F.struct("gl"))).otherwise(F.lit("")).alias("grp")), "kinds")
+    # Nulls are written out, and a pool's name says that it is one: no two groups share a name.
+    name = lambda kind, *cols: F.to_json(F.struct(F.lit(kind).alias("of"), *cols), {"ignoreNullFields": "false"})
+    kinds = stage(kinds.select("gl", "gs", F.when(F.col("gn") >= min_group, name("source", "gl", "gs"))
+                               .when(F.col("sn") >= min_group, name("language", "gl")).otherwise(F.lit("")).alias("grp")), "kinds")
     kinds = F.broadcast(kinds) if kinds.count() <= MAX_BROADCAST_GROUPS else kinds
     rows = own.join(kinds, F.col("lang").eqNullSafe(F.col("gl")) & F.col("source").eqNullSafe(F.col("gs")))
     rows = rows.drop("gl", "gs").withColumns(dict(zip(_X, _vector())))

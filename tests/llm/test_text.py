@@ -90,6 +90,25 @@ def test_op3_distances(llm):
     assert not any(got[i].kept for i in range(0, 400, 20)) and sum(r.kept for r in got.values()) > 370
 
 
+def test_op3_null_groups_and_pools_stay_apart(llm):
+    rng = random.Random(12)
+    kinds = [("en", None, 3), *[("en", f"s{i}", 30) for i in range(6)], (None, None, 8), *[(None, f"s{i}", 90) for i in range(6)]]
+    rows = []
+    for lang, source, size in kinds:
+        for _ in range(120 if source is None else 20):
+            w = [f"{rng.choice('abcdef')}{'x' * rng.randint(1, 8)}{rng.randrange(9 * size)}" for _ in range(rng.randint(60, 70 + 3 * size))]
+            rows.append((len(rows), " ".join(w), lang, source))
+    df = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.distance for r in outliers.verdicts(df, min_group=100).collect()}
+    for lang in ("en", None):
+        for alone in (True, False):
+            ids = [i for i, _, la, so in rows if la == lang and (so is None) == alone]
+            c = np.array([counts(rows[i][1])[:5] for i in ids], float)
+            x = np.stack([np.log1p(c[:, 0]), np.log((c[:, 1] + 1) / (c[:, 0] + 1)), np.sqrt(c[:, 2] / (c[:, 1] + 1)),
+                          np.sqrt(c[:, 4] / np.maximum(c[:, 0], 1)), np.log1p(c[:, 3])], 1)
+            assert np.allclose([got[i] for i in ids], brute_mcd(x, outliers.SUPPORT, outliers.STEPS), rtol=1e-6)
+
+
 def test_op3_edges(odd, none):
     rows = outliers.verdicts(odd).collect()
     assert len(rows) == odd.count() and {r.base_failed for r in rows if r.doc_id in (1, 2, 3, 6)} == {True}
