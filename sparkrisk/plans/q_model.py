@@ -19,6 +19,7 @@ from sparkrisk import fixtures as FX
 from sparkrisk.ml import evaluate as EV
 from sparkrisk.ml import model as MD
 from sparkrisk.ml import recompute as RC
+from sparkrisk.functions.scalar import WHITESPACE
 from sparkrisk.ml import text_model as TM
 from sparkrisk.operators import text as TX
 from sparkrisk.plans import q_history as QH
@@ -369,7 +370,33 @@ def t7_embed(spark, sf_dir):
     docs = FX.table(spark, sf_dir, "documents").select("doc_id", "text")
     v = vector_to_array("embedding")
     finite = F.forall(v, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return TM.embed_pipeline().fit(docs).transform(docs).select("doc_id", F.size(v).alias("size"), finite.alias("finite"))
+    return TM.embed_pipeline(parts=TM.training_parts(docs)).fit(docs).transform(docs).select("doc_id", F.size(v).alias("size"), finite.alias("finite"))
+
+
+def _text_vectors_sql():
+    dims, k = range(TM.EMBED_DIM), TM.NEIGHBOURS
+    bits = ", ".join(f"sum((c.h >> {d}) & 1) AS b{d}" for d in dims)
+    values = ", ".join(f"coalesce(CAST(floor((n - 2 * b{d}) * CAST({TM.UNIT} AS DOUBLE) / n) AS BIGINT), 0) AS v{d}" for d in dims)
+    sums = ", ".join(f"sum(v{d}) AS s{d}" for d in dims)
+    means = ", ".join(f"coalesce(CAST(s{d} AS DOUBLE) / known / CAST({TM.UNIT} AS DOUBLE), 0.0)" for d in dims)
+    return (
+        "WITH w AS MATERIALIZED (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, "
+        f"list_filter(regexp_split_to_array(coalesce(text, ''), '{WHITESPACE}'), lambda x: x <> '') AS ws FROM documents)), "
+        "c AS MATERIALIZED (SELECT *, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) AS h FROM w), "
+        f"sums AS (SELECT a.word, count(*) AS n, {bits} FROM w a JOIN c ON a.doc_id = c.doc_id "
+        f"AND c.i IN ({', '.join(f'a.i + {j}' for j in range(-k, k + 1) if j)}) GROUP BY a.word), "
+        f"vec AS (SELECT word, {values} FROM sums), "
+        f"total AS (SELECT d.doc_id, count(w.word) AS n_words, count(w.word) AS known, {sums} FROM documents d "
+        "LEFT JOIN w ON d.doc_id = w.doc_id LEFT JOIN vec ON w.word = vec.word GROUP BY d.doc_id) "
+        f"SELECT doc_id, n_words, [{means}] AS embedding FROM total"
+    )
+
+
+@query("T7_text_vectors", _text_vectors_sql())
+def t7_text_vectors(spark, sf_dir):
+    """Vectors of every word, learned from every text, and their mean for every text, by value."""
+    docs = FX.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return TM.text_vectors(docs, TM.word_vectors(docs))
 
 
 @query("T9_text_model", "SELECT doc_id, true AS proba_ok FROM documents")

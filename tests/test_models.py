@@ -104,3 +104,30 @@ def test_drop_invariant_removes_constant_features(spark):
                                      F.size(vector_to_array("selected")).alias("kept")).first()
     # constant: last_viol_fail, the single descript slot and the single zip slot
     assert out["all"] - out["kept"] == 3
+
+
+def test_word_vectors_follow_neighbours(spark):
+    from sparkrisk.ml import text_model as TM
+
+    texts = [f"the {a} runs {i % 5} home" for i in range(40) for a in ("cat", "dog")]
+    texts += [f"price {b} rose {i % 5} percent" for i in range(40) for b in ("oil", "gas")] + ["alone", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = TM.word_vectors(df.repartition(3))
+    v = {r.word: [r[f"v{d}"] for d in range(TM.EMBED_DIM)] for r in out.collect()}
+    dist = lambda a, b: sum((x - y) ** 2 for x, y in zip(v[a], v[b]))
+    assert dist("cat", "dog") < dist("cat", "oil") and dist("oil", "gas") < dist("dog", "gas")
+    assert v["alone"] == [0] * TM.EMBED_DIM
+    once = sorted(map(tuple, out.collect()))
+    assert once == sorted(map(tuple, TM.word_vectors(df.coalesce(1)).collect()))
+    docs = {r.doc_id: r for r in TM.text_vectors(df.union(df), out).collect()}
+    assert len(docs) == len(texts) and docs[len(texts) - 1].embedding == [0.0] * TM.EMBED_DIM
+    first = docs[0]
+    assert first.n_words == 5
+    assert first.embedding == [sum(v[w][d] for w in texts[0].split()) / 5 / TM.UNIT for d in range(TM.EMBED_DIM)]
+    assert TM.text_vectors(df.limit(0), out).count() == 0
+
+
+def test_training_parts_follow_the_rows(spark):
+    from sparkrisk.ml import text_model as TM
+
+    assert [TM.training_parts(spark.range(n)) for n in (0, 1, TM.ROWS_PER_PART, TM.ROWS_PER_PART + 1)] == [1, 1, 1, 2]
