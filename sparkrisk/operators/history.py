@@ -29,21 +29,51 @@ ENTITY_RENAMES = {
 
 
 def pivot_count(
-    df: DataFrame, keys: Sequence[str], col: str, values: Mapping[str, str] | Sequence[str]
+    df: DataFrame, keys: Sequence[str], col: str, values: Mapping[str, str | None] | Sequence[str]
 ) -> DataFrame:
     """A1/A2: rows per group, one column per value of ``col``; null where a group has no
     row with that value. Values are compared case-sensitively.
 
-    ``values`` is a list (columns named by the values) or ``{column: value}``. Written as
+    ``values`` is a list (columns named by the values) or ``{column: value}``; the value None counts
+    the nulls. Written as
     conditional counts in a single aggregation: no job to discover values, one shuffle of
     map-side combined partial counts, and only the listed values become columns.
     """
     named = dict(values) if isinstance(values, Mapping) else {v: v for v in values}
     aggs = [
-        F.nullif(F.count_if(F.col(col) == F.lit(v)), F.lit(0)).alias(name)
+        F.nullif(F.count_if(F.col(col).isNull() if v is None else F.col(col) == F.lit(v)), F.lit(0)).alias(name)
         for name, v in named.items()
     ]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
+
+
+def pivot_values(df: DataFrame, col: str, most: int = 1000, null_name: str = "null", blank_name: str = "blank") -> dict[str, str | None]:
+    """The values of ``col`` as ``{column: value}``, by value, for ``pivot_count``: null becomes the
+    column ``null_name``, '' the column ``blank_name``. More than ``most`` values are an error (no value
+    is left out without notice), and so are two values whose columns would have one name."""
+    found = df.select(F.col(col).cast("string").alias("v")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} values; list those to pivot")
+    names: dict[str, str | None] = {}
+    lower: dict[str, str | None] = {}
+    for v in sorted((r.v for r in found), key=lambda v: (v is not None, v or "")):
+        name = null_name if v is None else blank_name if v == "" else v
+        if name.lower() in lower:
+            raise ValueError(f"{col}: {v!r} and {lower[name.lower()]!r} both give the column {name}")
+        lower[name.lower()] = v
+        names[name] = v
+    return names
+
+
+def pivot_all(df: DataFrame, keys: Sequence[str], col: str, most: int = 1000, null_name: str = "null",
+              blank_name: str = "blank") -> DataFrame:
+    """A2 without a list of values: a first pass finds them (``pivot_values``; distinct values only
+    leave the tasks), the second counts. A value named like a key is an error."""
+    values = pivot_values(df, col, most, null_name, blank_name)
+    clash = {k.lower() for k in keys} & {n.lower() for n in values}
+    if clash:
+        raise ValueError(f"values of {col} are named like keys: {sorted(clash)}")
+    return pivot_count(df, keys, col, values)
 
 
 def attach_counts(hist: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -144,6 +144,20 @@ def a2_pivot_count(spark, sf_dir):
     return H.pivot_count(cleaned(spark, sf_dir), [H.KEY, H.TIME], H.STATUS, H.OUTCOMES)
 
 
+@query(
+    "A2_pivot_all_values",
+    f"WITH {FX.CTE_INSPECTIONS} SELECT property_id, "
+    "nullif(count(*) FILTER (WHERE violstatus IS NULL), 0) AS \"null\", "
+    "nullif(count(*) FILTER (WHERE violstatus = ' '), 0) AS \" \", "
+    "nullif(count(*) FILTER (WHERE violstatus = 'Fail'), 0) AS \"Fail\", "
+    "nullif(count(*) FILTER (WHERE violstatus = 'Pass'), 0) AS \"Pass\" "
+    "FROM fx_inspections GROUP BY property_id",
+)
+def a2_pivot_all_values(spark, sf_dir):
+    """Every status of every raw record, found in a first pass, as a column per entity."""
+    return H.pivot_all(events(spark, sf_dir), [H.KEY], H.STATUS)
+
+
 @query(
     "J1_attach_counts",
     f"WITH {CTE_EVENTS}, d AS (SELECT DISTINCT {TUPLE_SQL} FROM ev), v AS ({_PIVOT_SQL}) "

@@ -95,6 +95,21 @@ def s3_read_pages(spark, sf_dir):
     return PG.read_pages(spark, _landed_pages(spark, sf_dir), RECORD_SCHEMA)
 
 
+@query("S3_paged_api", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderpriority FROM orders")
+def s3_paged_api(spark, sf_dir):
+    """All orders landed as page files in the shared folder and fetched page by page on executors."""
+    folder = shared_dir(spark, "page-files")
+    if not folder.startswith(("/", "file:")):
+        raise RuntimeError("S3_paged_api writes page files: spark.checkpoint.dir must be a folder that all executors mount")
+    folder = "/" + folder.removeprefix("file:").lstrip("/")
+    fields = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    orders = FX.table(spark, sf_dir, "orders").select(*fields)
+    url = PG.write_page_files(orders, folder, PAGE_LIMIT)
+    PG.register_paged_api(spark)
+    schema = ", ".join(f"{c} string" for c in fields)
+    return spark.read.format("paged_api").schema(schema).options(url=url, total=str(orders.count()), limit=str(PAGE_LIMIT)).load()
+
+
 @query("S4_conform", INS + f"SELECT CAST(_id AS INTEGER) AS _id, {', '.join(TEXT_COLUMNS[:4])}, "
        "CAST(NULL AS VARCHAR) AS businessname FROM (SELECT " + TEXT_SQL + " FROM fx_inspections)")
 def s4_conform(spark, sf_dir):
@@ -130,6 +145,18 @@ def s8_write_table(spark, sf_dir):
     return spark.table(name)
 
 
+@query("S8_replace_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
+def s8_replace_table(spark, sf_dir):
+    """A table replaced by rows read from itself: its history, written with all counts one too high,
+    is mended in place."""
+    name = _name("inspections_historic")
+    path = shared_dir(spark, "history")
+    wrong = QH.history(spark, sf_dir).withColumn("inspections_so_far", F.col("inspections_so_far") + 1)
+    TB.replace_table(wrong, name, path)
+    TB.replace_table(spark.table(name).withColumn("inspections_so_far", F.col("inspections_so_far") - 1), name, path)
+    return spark.table(name)
+
+
 @query("S9_managed_table", f"WITH {CTE_HISTORY} SELECT * FROM hist")
 def s9_managed_table(spark, sf_dir):
     db = _name("sparkrisk")

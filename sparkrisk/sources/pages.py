@@ -60,6 +60,51 @@ def write_pages(df: DataFrame, path: str, limit: int) -> str:
     return path
 
 
+def write_page_files(df: DataFrame, folder: str, limit: int) -> str:
+    """Land ``df`` as one file a page, ``page-<n>.json``, every page but the last with exactly ``limit``
+    records: the form that ``paged_api`` fetches. Returns the URL template.
+
+    Row numbers come from the row counts of the stage's scan tasks (one number a task on the driver)
+    and the ids inside a task, so nothing is sorted. ``folder`` is a path that all executors mount.
+    A page is written to a name of its own and then renamed: a task that runs twice leaves one whole file.
+    """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    df = materialize(df)
+    total = df.count()
+    if not total:
+        raise ValueError("no records: there is no page to write")
+    ids = df.withColumn("__id", F.monotonically_increasing_id())
+    task, inside = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    sizes = {r.task: r.n for r in ids.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, start = [], 0
+    for t in sorted(sizes):
+        starts += [F.lit(t), F.lit(start)]
+        start += sizes[t]
+    page = F.floor((F.create_map(*starts)[task] + inside) / F.lit(limit))
+    rec = F.struct(*[F.col(c) for c in df.columns])
+    pages = ids.select(page.alias("page"), rec.alias("r")).groupBy("page").agg(F.collect_list("r").alias("records"))
+    body = F.to_json(F.struct(F.struct(F.lit(total).cast("bigint").alias("total"), "records").alias("result")))
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = f"{folder}/.part-{uuid.uuid4().hex}"
+                with open(part, "w", encoding="utf-8") as f:
+                    f.write(text)
+                os.replace(part, f"{folder}/page-{n}.json")
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["page"])
+
+    pages.select("page", body.alias("body")).mapInArrow(write, "page long").write.format("noop").mode("overwrite").save()
+    return f"file://{folder}/page-{{page}}.json"
+
+
 def read_pages(spark: SparkSession, path: str, record_schema: T.StructType, multiline: bool = False) -> DataFrame:
     """All records of all page files, one row per record, pages appended, in the fields of
     ``record_schema``.
@@ -149,27 +194,45 @@ try:  # Python data sources need pyspark >= 4.0
             self.total = int(options["total"])
             self.timeout = float(options.get("timeout", "60"))
             self.per_task = max(1, int(options.get("pages_per_partition", "1")))
+            self.retries = int(options.get("retries", "3"))
+            self.wait = float(options.get("wait", "1"))
 
         def partitions(self):
             n = -(-self.total // self.limit)
             return [_Pages(p, min(p + self.per_task, n)) for p in range(0, n, self.per_task)]
 
-        def read(self, partition: _Pages) -> Iterator[tuple]:
+        def fetch(self, page: int) -> list[dict]:
+            """The records of a page; a failed or short answer is asked for again, then an error."""
+            import time
             from urllib.request import urlopen
 
+            url = self.url.format(page=page, offset=page * self.limit, limit=self.limit)
+            expected = min(self.limit, self.total - page * self.limit)
+            for attempt in range(self.retries + 1):
+                try:
+                    with urlopen(url, timeout=self.timeout) as resp:  # noqa: S310 - the caller names the endpoint
+                        records = json.load(resp)["result"]["records"]
+                    if len(records) < expected:
+                        raise ValueError(f"{len(records)} records where {expected} are due")
+                    return records
+                except (OSError, ValueError, KeyError, TypeError) as e:
+                    failure = e
+                if attempt < self.retries:
+                    time.sleep(self.wait * 2**attempt)
+            raise RuntimeError(f"page {page} ({url}): {failure}")
+
+        def read(self, partition: _Pages) -> Iterator[tuple]:
             names = [f.name for f in self.schema.fields]
             for page in range(partition.first, partition.last):
-                url = self.url.format(page=page, offset=page * self.limit, limit=self.limit)
-                with urlopen(url, timeout=self.timeout) as resp:  # noqa: S310 - the caller names the endpoint
-                    body = json.load(resp)
-                for rec in body["result"]["records"]:
+                for rec in self.fetch(page):
                     yield tuple(_as_text(rec.get(n)) for n in names)
 
     class PagedApiDataSource(DataSource):
         """``spark.read.format("paged_api").schema(text_schema).options(url=..., total=...,
         limit=...)``: pages fetched on executors, ``pages_per_partition`` contiguous pages per
         task (default 1); ``url`` is a template with ``{page}``, ``{offset}`` and ``{limit}``.
-        Every field is read as text; conform afterwards."""
+        A page that fails, or holds fewer records than ``total`` says, is fetched ``retries`` times
+        more (default 3, after ``wait`` seconds, doubled each time); then the read fails. Every field is read as text; conform afterwards."""
 
         @classmethod
         def name(cls):

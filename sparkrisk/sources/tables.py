@@ -108,6 +108,35 @@ def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "
     return name
 
 
+def replace_table(df: DataFrame, name: str, path: str, files: int | None = None, keep: int = 1) -> str:
+    """S8, all or nothing: ``df`` is written to a fresh version folder under ``path``, and only then
+    does the table ``name`` point there (one change in the catalog). A write that fails or is
+    killed leaves the table with its old rows; ``df`` may read the table itself. Of the former versions
+    the newest ``keep`` stay for readers that have begun; older ones are deleted, and so are folders of
+    killed writes. One writer at a time. Returns the table name."""
+    spark = df.sparkSession
+    if keep < 1:  # df itself may be a reader of the version before
+        raise ValueError("keep at least one former version")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    versions = {p.getName(): p for p in found if p.getName().startswith("version-")}
+    number = max((int(v.split("-")[1]) for v in versions), default=0) + 1
+    target = f"{path.rstrip('/')}/version-{number:06d}"
+    write_parquet(df, target, files, mode="errorifexists")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=target, source="parquet")
+    whole = sorted(v for v, p in versions.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    for v, p in versions.items():
+        if v not in whole[-keep:]:
+            fs.delete(p, True)
+    return name
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None, mode: str = "overwrite") -> str:
     """Delimited text with a header, in the form that ``read_csv`` reads back exactly."""
     spark = df.sparkSession
