@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORDS = re.compile(r"[a-z]+")
+_HEAD_END = re.compile(r"</head\s*>|(?=<body[\s>])", re.I)
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -135,15 +136,24 @@ def parse(html: str) -> _Block:
     root = _Block("#root", None)
     block = root
     open_tags: list[tuple[str, _Block | None, bool]] = []  # (tag, its block, or None if inline; declared inline)
+    # Where each name, and any block, is open in ``open_tags``, outermost first: no tag walks the stack.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
     links = articles = declared = 0
     at, size = 0, len(html)
+    head_ends = True
+
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def close(down_to: int, ended: bool = False) -> None:
         """Close all from ``down_to`` on; ``ended``: the outermost has its end tag."""
         nonlocal block, links, articles, declared
         while len(open_tags) > down_to:
             tag, own, inline = open_tags.pop()
+            places[tag].pop()
             if own is not None:
+                blocks.pop()
                 block = own.parent
                 if own.kind >= STRONG and tag not in OPTIONAL_END and not (ended and len(open_tags) == down_to):
                     own.kind = OPEN  # what should follow it is inside
@@ -182,28 +192,17 @@ def parse(html: str) -> _Block:
         tag = tag.lower()
         is_block = tag in BLOCK
         if slash:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == tag:
-                    close(i, True)
-                    break
-                if not is_block and open_tags[i][1] is not None:
-                    break  # an inline end tag ends no block
+            i = innermost((tag,))
+            if i >= 0 and (is_block or not blocks or i >= blocks[-1]):  # an inline end tag ends no block
+                close(i, True)
             continue
-        if is_block:
-            for i in range(len(open_tags) - 1, -1, -1):  # a block start ends an open paragraph
-                if open_tags[i][0] == "p":
-                    close(i, True)
-                    break
-                if open_tags[i][1] is not None:
-                    break
+        if is_block and blocks and open_tags[blocks[-1]][0] == "p":  # a block start ends an open paragraph
+            close(blocks[-1], True)
         if tag in SIBLINGS:
             same, until = SIBLINGS[tag]
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] in until:
-                    break
-                if open_tags[i][0] in same:
-                    close(i, True)
-                    break
+            i = innermost(same)
+            if i >= 0 and i > innermost(until):
+                close(i, True)
         if tag in VOID:
             if tag in ("br", "hr"):
                 block.run().parts.append((" ", False, False))
@@ -218,19 +217,23 @@ def parse(html: str) -> _Block:
         if kind >= STRONG and attrs.endswith("/"):
             continue
         if tag == "head":  # ends at its end tag, or where the body begins
-            end = re.compile(r"</head\s*>|(?=<body[\s>])", re.I).search(html, at)
+            end = _HEAD_END.search(html, at) if head_ends else None
+            head_ends = end is not None
             at = end.end() if end else at
             continue
         if is_block or kind == OTHER:
-            if tag in ("html", "body") and any(x[0] == tag for x in open_tags):
+            if tag in ("html", "body") and places.get(tag):
                 continue
             child = _Block(tag, block, max(kind, STRONG) if declared else kind)
             block.items.append(child)
             block = child
+            blocks.append(len(open_tags))
+            places.setdefault(tag, []).append(len(open_tags))
             open_tags.append((tag, child, False))
         else:
             declared += kind == STRONG
             block.run().elements.append((tag == "a", declared > 0))
+            places.setdefault(tag, []).append(len(open_tags))
             open_tags.append((tag, None, kind == STRONG))
         links += tag == "a"
         articles += tag in ("article", "main")
