@@ -5,7 +5,8 @@ Every piece of text (a word) is a row of symbols. A segment tree over its positi
 lowest rank. Merging it changes three leaves (the pair, its left neighbour, the symbol that
 disappears), each a point update in logarithmic time; a word is done when the root is empty.
 All new words of a batch whose trees have the same width advance together in numpy arrays, so
-the Python cost is per merge step, not per word. Words met before are looked up in a bounded
+the Python cost is per merge step, not per word. A long word has a tree in plain integers of its
+own. Words met before are looked up in a bounded
 memory per Python worker.
 
 Defined results: a null text is an empty text; it has no tokens and decodes to "". The
@@ -18,8 +19,9 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,9 +29,12 @@ from pyspark.sql import DataFrame
 from sparkrisk.llm.tokens import WS, tokenizer_kind
 
 MAX_WORDS = 700_000
-_EMPTY = np.iinfo(np.int64).max
+_EMPTY = int(np.iinfo(np.int64).max)
 # Tree cells worked on at once.
 _CELLS = 4_000_000
+# From this width on a word has a tree of its own: few such words are in a batch, and then a merge
+# costs less in plain integers than in numpy calls.
+_LONG = 512
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -140,6 +145,73 @@ class BpeModel:
                 update(row[has], left[has], pair((base + left)[has], base[has], left[has]))
             row = row[flat[row * 2 * width + 1] < _EMPTY]
 
+    def _merge_long(self, word: bytes) -> bytes:
+        """Token ids of one long word: the same tree in plain integers. An update ends at the first node
+        that keeps its value, so most touch a few levels only. Flat arrays: 40 bytes a symbol."""
+        size = len(word)
+        shift = max(size - 1, 1).bit_length()
+        width = 1 << shift
+        raw = np.frombuffer(word, dtype=np.uint8)
+        first = self._symbol[raw]
+        first[-1] = self._last[raw[-1]]
+        leaves = np.full(2 * width, _EMPTY)
+        rank = self._pair_rank(first[:-1], first[1:])
+        at = np.arange(size - 1)
+        leaves[width : width + size - 1] = np.where(rank >= 0, (rank << shift) | at, _EMPTY)
+        level = width // 2
+        while level:
+            leaves[level : 2 * level] = np.minimum(leaves[2 * level : 4 * level : 2], leaves[2 * level + 1 : 4 * level : 2])
+            level //= 2
+        tree, sym = array("q", leaves.tobytes()), array("i", first.astype(np.int32).tobytes())
+        nxt = array("i", np.append(np.arange(1, size), -1).astype(np.int32).tobytes())
+        prv = array("i", np.arange(-1, size - 1).astype(np.int32).tobytes())
+        del leaves, first, rank, at
+        ranks, merged, base, low = self._rank_of, self._merged_list, self._width, width - 1
+
+        def update(pos: int, value: int) -> None:
+            node = width + pos
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        def pair(pos: int) -> int:
+            right = nxt[pos]
+            if right < 0 or sym[pos] < 0 or sym[right] < 0:
+                return _EMPTY
+            r = ranks.get(sym[pos] * base + sym[right], -1)
+            return _EMPTY if r < 0 else r << shift | pos
+
+        while (root := tree[1]) != _EMPTY:
+            pos = root & low
+            gone = nxt[pos]
+            after = nxt[gone]
+            sym[pos] = merged[root >> shift]
+            sym[gone] = -1
+            nxt[pos] = after
+            if after >= 0:
+                prv[after] = pos
+            update(gone, _EMPTY)
+            update(pos, pair(pos))
+            left = prv[pos]
+            if left >= 0:
+                update(left, pair(left))
+        ids = np.frombuffer(sym, dtype=np.int32)
+        return ids[ids >= 0].astype("<u4").tobytes()
+
+    @cached_property
+    def _rank_of(self) -> dict[int, int]:
+        return dict(zip(self._keys.tolist(), self._ranks.tolist()))
+
+    @cached_property
+    def _merged_list(self) -> list[int]:
+        return self._merged.tolist()
+
     def merge_words(self, words: list[bytes]) -> list[bytes]:
         """Token ids (little-endian uint32 bytes) of each non-empty word."""
         out: list[bytes] = [b""] * len(words)
@@ -147,6 +219,10 @@ class BpeModel:
         widths = 1 << np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64)
         for width in np.unique(widths):
             of_width = np.nonzero(widths == width)[0]
+            if width >= _LONG:
+                for j in of_width.tolist():
+                    out[j] = self._merge_long(words[j])
+                continue
             step = max(1, _CELLS // int(2 * width))
             for i in range(0, len(of_width), step):
                 part = of_width[i : i + step]

@@ -26,3 +26,28 @@ def test_op6_tags_that_match_nothing(page):
     from sparkrisk.llm.html import main_text
 
     assert _timed(8, main_text, page).endswith("last")
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_op8_long_words(name):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from sparkrisk.llm.bpe import BpeModel
+
+    path = public_tokenizers.path(name)
+    model, library = BpeModel(path), Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    rnd = random.Random(8)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    texts = [f(n) for n in (255, 256, 257, 511, 512, 513, 1025, 3000) for f in (
+        letters, lambda n: "a" * n, lambda n: ("abc" * n)[:n], lambda n: "x" * n + " hello " + "=" * n,
+        lambda n: "".join(rnd.choice("etaoinäß€日") for _ in range(n)))]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in model.encode(texts)] == want
+    for long, limit in ((letters(20_000), 2), ("a" * 20_000, 4), (letters(1_000_000), 60)):
+        ids = _timed(limit, model.encode, [long])[0].tolist()
+        assert ids == library.encode(long, add_special_tokens=False).ids
