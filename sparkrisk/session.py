@@ -96,12 +96,18 @@ def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
     if how == "checkpoint":
         checkpoint_dir(spark)
         return df.checkpoint(eager=True)
-    path = shared_dir(spark, "stage")
-    df.write.parquet(path)
+    return spark.read.parquet(write_stage(df, "stage"))
+
+
+def write_stage(df: DataFrame, name: str) -> str:
+    """Write ``df`` to a fresh folder under the shared checkpoint folder, owned by the innermost open
+    ``stage_scope``; returns its path."""
+    path = shared_dir(df.sparkSession, name)
     owner = _SCOPE.get()
-    if owner is not None:
+    if owner is not None:  # before the write: a failed one is deleted too
         owner.append(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return path
 
 
 # Stage folders of the innermost open ``stage_scope``; None outside of any.
