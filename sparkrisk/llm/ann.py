@@ -175,9 +175,11 @@ def nearest(vectors: DataFrame, k: int = 20, query: Column | None = None, key: s
                 score = vecs[a:z] @ base.T
                 take = min(k + 1, len(base))
                 least = np.partition(score, len(base) - take, axis=1)[:, len(base) - take]
+                # The product of matrices and the product of a pair may differ in their last bits.
+                slack = 1e-12 * np.maximum(1.0, np.linalg.norm(vecs[a:z], axis=1) * np.linalg.norm(base, axis=1).max())
                 for i in range(z - a):
                     own = id_lists[a + i].as_py()[0]
-                    near = [(-float(vecs[a + i] @ base[j]), x) for j in np.nonzero(score[i] >= least[i] - 1e-12)[0].tolist() for x in ids[j] if x != own]
+                    near = [(-float(vecs[a + i] @ base[j]), x) for j in np.nonzero(score[i] >= least[i] - slack[i])[0].tolist() for x in ids[j] if x != own]
                     near.sort()
                     if near[:k]:
                         found.append((own, near[:k]))
