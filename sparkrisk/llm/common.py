@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrisk.session import prepare, shared_dir
+from sparkrisk.session import prepare, write_stage
 
 # Largest Arrow batch handed to a Python task: rows, and bytes where Spark knows the setting. Tasks
 # make several 8-byte numbers of every byte of a batch.
@@ -30,10 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder (``spark.checkpoint.dir``) and read it
     from there: the lineage is cut, several readers see the same rows, and the files outlive
-    any executor."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    any executor. An open ``stage_scope`` deletes them at its end."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, name))
 
 
 def let(value: Column, body) -> Column:
