@@ -6,11 +6,11 @@ takes exactly ``bits`` bits, the least that hold the largest id of the vocabular
 a block starts at bit ``i * bits``, so a document is reached by arithmetic, without reading the
 ids before it, and a whole block is unpacked by a few numpy operations.
 
-Writing: documents are range-partitioned and sorted by key; a task writes one shard, whose
-number follows the key order. Ids before a shard are the sums of the shards before it.
+Writing: documents are range-partitioned and sorted by key (and then a hash of the text, so that one
+key may be several ranges); a task writes one shard, whose number follows the key order. Ids before a shard are the sums of the shards before it.
 
 Defined results: a null text is an empty text (the end id alone); repeated keys are separate
-documents next to each other, ordered by text; an empty table gives files without blocks.
+documents next to each other, in the order of a hash of their texts; an empty table gives files without blocks.
 """
 
 from __future__ import annotations
@@ -98,8 +98,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, k
             yield flush()
 
     kind = docs.schema[key].dataType.simpleString()
-    own = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    own = own.repartitionByRange(F.col("key").asc()).sortWithinPartitions("key", "text")
+    # Rows of one id are dealt by a hash of their texts, equal rows by where they stand (they are alike
+    # in the files), so an id that holds many rows is many ranges.
+    own = docs.select(docs[key].alias("key"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("mark"),
+                      F.monotonically_increasing_id().alias("row"))
+    own = own.repartitionByRange("key", "mark", "row").sortWithinPartitions("key", "mark", "text").select("key", "text")
     own.mapInArrow(run, f"shard int, block int, before long, bits int, keys array<{kind}>, "
                         "lengths array<long>, payload binary").write.parquet(path)
     return path

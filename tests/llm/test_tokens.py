@@ -158,3 +158,18 @@ def test_op10_edges(llm, odd, none):
         end += r.n_tokens
     empty = tokenfile.write_token_files(none, shared_dir(llm, "t"), path, end_id=0)
     assert tokenfile.read_token_files(llm, empty).collect() == []
+
+
+def test_op10_hot_id_is_many_shards(llm):
+    path = public_tokenizers.path(FILES[1])
+    rows = [(7, f"text {i % 400}") for i in range(1200)] + [(i, "other") for i in range(100)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = tokenfile.write_token_files(docs, shared_dir(llm, "t"), path, end_id=0, block_ids=64)
+    hot = llm.read.parquet(files).selectExpr("shard", "explode(keys) AS k").filter("k = 7").select("shard").distinct().count()
+    assert hot > 1
+    got = sorted(tokenfile.read_token_files(llm, files).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r[0] for r in rows)
+    lib = Tokenizer.from_file(path)
+    crc = lambda t: zlib.crc32(np.array(lib.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes())
+    assert sorted((r.doc_id, r.ids_crc32) for r in got) == sorted((k, crc(t)) for k, t in rows)
+    assert sum(r.n_tokens for r in got[:-1]) == got[-1].start
