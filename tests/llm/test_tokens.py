@@ -164,7 +164,12 @@ def test_op10_hot_id_is_many_shards(llm):
     path = public_tokenizers.path(FILES[1])
     rows = [(7, f"text {i % 400}") for i in range(1200)] + [(i, "other") for i in range(100)]
     docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    files = tokenfile.write_token_files(docs, shared_dir(llm, "t"), path, end_id=0, block_ids=64)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # would make one task of so few rows
+    llm.conf.set(merge, "false")
+    try:
+        files = tokenfile.write_token_files(docs, shared_dir(llm, "t"), path, end_id=0, block_ids=64)
+    finally:
+        llm.conf.set(merge, "true")
     hot = llm.read.parquet(files).selectExpr("shard", "explode(keys) AS k").filter("k = 7").select("shard").distinct().count()
     assert hot > 1
     got = sorted(tokenfile.read_token_files(llm, files).collect(), key=lambda r: r.start)
