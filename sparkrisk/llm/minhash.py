@@ -10,11 +10,14 @@
    among all but their ``matches - 1`` most frequent (prefix filter), so the longest posting
    lists are skipped.
 4. Documents that share a kept value, directly or through others, form a cluster. Clusters are
-   dealt to tasks in chunks of a bounded number of shingles with their full sets; an inverted
-   list of shingles counts exact intersections. The best connected document of a chunk comes
-   first; pairs inside the component it starts are skipped, and every pair that could still join
-   two components is counted. Documents outside their cluster's largest component then meet
-   the cluster's other chunks.
+   dealt to tasks in chunks of a bounded number of shingles. A chunk has an inverted list of its
+   documents for each coordinate value. A document merges its shortest lists, all but
+   ``matches - 1`` (prefix), and skips the long ones: the documents found are counted on the whole
+   signatures, those with ``matches`` collisions or more are kept, and these are confirmed on the
+   full sets. The best connected document of a chunk comes first; pairs inside one component
+   need no counting, every pair that could still join two components gets it. Documents outside
+   their cluster's largest component then meet the cluster's other chunks, but only those that
+   hold one of their kept values.
 5. Links (a spanning set of them) give the components.
 
 Defined results: null and empty texts have an empty set and no links; fewer words than a
@@ -39,8 +42,9 @@ from sparkrisk.llm.wordhash import Runs, mix, utf8, words
 
 COORDINATES = 48
 MATCHES = 26
-# Shingles that a chunk of a cluster brings into one task, about.
-CHUNK_SHINGLES = 1_500_000
+# Shingles that a chunk of a cluster brings into one task, about: some 2 MB of sets.
+CHUNK_SHINGLES = 250_000
+SEED = 5
 MAX_BROADCAST_IDS = 500_000
 
 
@@ -61,25 +65,39 @@ def shingle_sets(column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.bincount(text[new], minlength=len(count))
 
 
-def signatures(docs: DataFrame, key: str, text: str, shingle: int, coordinates: int, seed: int = 5) -> DataFrame:
+def _numbers(coordinates: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Factor and mask of every MinHash function."""
+    rng = np.random.default_rng(seed)
+    factor = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factor, rng.integers(1, 1 << 63, coordinates, dtype=np.uint64)
+
+
+def _signature_rows(value: np.ndarray, size: np.ndarray, factor: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """One row of coordinates per text, from ``shingle_sets``; zeros for an empty set."""
+    full = np.nonzero(size)[0]
+    start = (np.cumsum(size) - size)[full]
+    sig = np.zeros((len(size), len(factor)), dtype=np.uint64)
+    if len(full):
+        for k in range(len(factor)):
+            sig[full, k] = mix(np.minimum.reduceat(value * factor[k], start) ^ own[k])
+    return sig
+
+
+def signatures(docs: DataFrame, key: str, text: str, shingle: int, coordinates: int) -> DataFrame:
     """(doc long, n_shingles long, h1 long, h2 long, signature array<long>); the hashes and the
     signature are null for an empty set."""
     import pyarrow as pa
 
-    rng = np.random.default_rng(seed)
-    factor = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    own = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64)
+    factor, own = _numbers(coordinates)
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             value, size = shingle_sets(batch.column(1), shingle)
             full = np.nonzero(size)[0]
             start = (np.cumsum(size) - size)[full]
-            sig = np.zeros((len(size), coordinates), dtype=np.uint64)
+            sig = _signature_rows(value, size, factor, own)
             h = np.zeros((2, len(size)), dtype=np.uint64)
             if len(full):
-                for k in range(coordinates):
-                    sig[full, k] = mix(np.minimum.reduceat(value * factor[k], start) ^ own[k])
                 h[0, full] = np.add.reduceat(mix(value + np.uint64(1)), start)
                 h[1, full] = np.add.reduceat(mix(value ^ own[0]), start)
             none = size == 0
@@ -106,31 +124,41 @@ def candidates(representatives: DataFrame, matches: int) -> DataFrame:
     return kept.select("doc", F.col("p.grp").alias("grp"), "weight")
 
 
-class _Lists:
-    """Exact intersection sizes with the sets of one chunk, from lists of documents by shingle."""
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets (distinct, rising) have a similarity of at least ``percent`` hundredths."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int(np.count_nonzero(b[at] == a))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+class _Postings:
+    """The documents of one chunk, posted under each of their coordinate values."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.size = np.array([len(s) for s in sets], dtype=np.int64)
-        value = np.concatenate(sets)
-        doc = np.repeat(np.arange(len(sets)), self.size)
-        by = np.argsort(value, kind="stable")
-        self.doc = doc[by]
-        self.value, start = np.unique(value[by], return_index=True)
-        self.start, self.count = start, np.diff(np.append(start, len(value)))
+    def __init__(self, signatures: list[np.ndarray], matches: int):
+        self.signatures, self.matches = np.stack(signatures), matches
+        flat = self.signatures.ravel()
+        by = np.argsort(flat, kind="stable")
+        self.doc = by // self.signatures.shape[1]
+        self.value, self.start, self.count = np.unique(flat[by], return_index=True, return_counts=True)
 
-    def similar(self, own: np.ndarray, percent: int) -> np.ndarray:
-        """Documents whose similarity with the set ``own`` is at least ``percent`` hundredths."""
+    def colliding(self, own: np.ndarray) -> np.ndarray:
+        """Documents that share ``matches`` coordinates or more with the signature ``own``: whoever
+        does is in one of its lists even without the ``matches - 1`` longest."""
         at = np.minimum(np.searchsorted(self.value, own), len(self.value) - 1)
         at = at[self.value[at] == own]
-        count = self.count[at]
-        pick = np.repeat(self.start[at], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        common = np.bincount(self.doc[pick], minlength=len(self.size))
-        return np.nonzero(100 * common >= percent * (self.size + len(own) - common))[0]
+        if len(at) < self.matches:
+            return np.zeros(0, np.int64)
+        at = at[np.argsort(self.count[at], kind="stable")][: len(at) - self.matches + 1]
+        found = np.unique(np.concatenate([self.doc[a : a + n] for a, n in zip(self.start[at].tolist(), self.count[at].tolist())]))
+        return found[np.count_nonzero(self.signatures[found] == own, axis=1) >= self.matches]
 
     def busiest(self) -> int:
-        """The document whose shingles are in the most other documents, per shingle."""
-        weight = np.bincount(self.doc, weights=np.repeat(self.count, self.count).astype(np.float64), minlength=len(self.size))
-        return int(np.argmax(weight / np.maximum(self.size, 1)))
+        """The document whose values are posted most often."""
+        often = self.count[np.searchsorted(self.value, self.signatures)]
+        return int(np.argmax(often.sum(axis=1)))
 
 
 class _Union:
@@ -143,21 +171,22 @@ class _Union:
             x = up
         return x
 
-    def join(self, a, b) -> bool:
+    def join(self, a, b) -> None:
         a, b = self.find(a), self.find(b)
         self.parent[max(a, b)] = min(a, b)
-        return a != b
 
 
-def _links_inside(docs: list[int], sets: list[np.ndarray], percent: int, hub: int | None) -> list[tuple[int, int]]:
+def _links_inside(docs: list[int], signatures: list[np.ndarray], sets: list[np.ndarray], percent: int, matches: int,
+                  hub: int | None) -> list[tuple[int, int]]:
     """Links that span the components of one chunk; ``hub``: the document to begin with."""
-    lists, union, out = _Lists(sets), _Union(), []
-    hub = lists.busiest() if hub is None else hub
+    posted, union, out = _Postings(signatures, matches), _Union(), []
+    hub = posted.busiest() if hub is None else hub
     for i in [hub, *range(len(docs))]:
         if i != hub and union.find(docs[i]) == union.find(docs[hub]):
             continue  # pairs inside the hub's component join nothing; pairs leaving it are met from outside
-        for j in lists.similar(sets[i], percent).tolist():
-            if union.join(docs[i], docs[j]):
+        for j in posted.colliding(signatures[i]).tolist():
+            if union.find(docs[i]) != union.find(docs[j]) and _similar(sets[i], sets[j], percent):
+                union.join(docs[i], docs[j])
                 out.append((docs[i], docs[j]))
     return out
 
@@ -210,16 +239,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             value, size = shingle_sets(batch.column(4), shingle)
             raw, ends = value.tobytes(), np.cumsum(size) * 8
             sets = [raw[a:z] for a, z in zip((ends - size * 8).tolist(), ends.tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())],
-                                             names=["cluster", "chunk", "hub", "doc", "shingles"])
+            sig = [row.tobytes() for row in _signature_rows(value, size, factor, own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sig, pa.binary()), pa.array(sets, pa.binary())],
+                                             names=["cluster", "chunk", "hub", "doc", "signature", "shingles"])
 
-    sets = stage(wanted.mapInArrow(with_sets, "cluster long, chunk int, hub boolean, doc long, shingles binary"), "sets")
+    factor, own = _numbers(coordinates)
+    sets = stage(wanted.mapInArrow(
+        with_sets, "cluster long, chunk int, hub boolean, doc long, signature binary, shingles binary"), "sets")
 
     def inside(batches: Iterator) -> Iterator:
         for _, rows in _groups(batches, 2):
-            rows = [(d, np.frombuffer(s, np.uint64), h) for h, d, s in rows if s]
-            hub = 0 if rows and rows[0][2] else None
-            out = _links_inside([r[0] for r in rows], [r[1] for r in rows], percent, hub) if len(rows) > 1 else []
+            rows = [(d, np.frombuffer(g, np.uint64), np.frombuffer(s, np.uint64), h) for h, d, g, s in rows if s]
+            hub = 0 if rows and rows[0][3] else None
+            out = _links_inside(*([r[i] for r in rows] for i in range(3)), percent, matches, hub) if len(rows) > 1 else []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
@@ -227,7 +259,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     links = stage(by_chunk.mapInArrow(inside, "a long, b long"), "links")
 
     if not several.isEmpty():
-        links = links.unionByName(_links_across(sets.filter("not hub").drop("hub"), several, hubs, links, percent, parts))
+        links = links.unionByName(_links_across(sets.filter("not hub").drop("hub"), several, hubs, posted, links, percent, matches, parts))
 
     pairs = links.select(F.explode(F.array("a", "b")).alias("doc"), F.xxhash64("a", "b").alias("grp"))
     joined = components(stage(pairs, "pairs"))
@@ -249,40 +281,47 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> Dat
     return join_small(docs, gone, docs[key] == F.col("__gone"), "left_anti", MAX_BROADCAST_IDS)
 
 
-def _links_across(sets: DataFrame, chunked: DataFrame, hubs: DataFrame, links: DataFrame, percent: int, parts: int) -> DataFrame:
+def _links_across(sets: DataFrame, chunked: DataFrame, hubs: DataFrame, posted: DataFrame, links: DataFrame, percent: int,
+                  matches: int, parts: int) -> DataFrame:
     """Links between chunks of one cluster: documents outside the component of its hub meet the
-    cluster's other chunks."""
+    other chunks that hold one of their kept values."""
     import pyarrow as pa
 
     pairs = links.select(F.explode(F.array("a", "b")).alias("doc"), F.xxhash64("a", "b").alias("grp"))
     known = components(stage(pairs, "pairs"))
-    labelled = chunked.join(known, "doc", "left").select("doc", "cluster", "chunks", F.coalesce("label", "doc").alias("label"))
+    labelled = chunked.join(known, "doc", "left").select("doc", "cluster", "chunk", F.coalesce("label", "doc").alias("label"))
     main = hubs.join(known, "doc", "left").select("cluster", F.coalesce("label", "doc").alias("main"))
-    rows = sets.join(labelled.select("doc", "label", "chunks"), "doc").join(main, "cluster")
-    members = rows.select("cluster", "chunk", F.lit(False).alias("asks"), "doc", "label", F.col("chunk").alias("home"), "shingles")
-    asking = rows.filter("label <> main").select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), "doc", "label",
-        F.col("chunk").alias("home"), "shingles").filter("home <> chunk")
+    outside = labelled.join(main, "cluster").filter("label <> main").select("doc", F.col("chunk").alias("home"))
+    # The chunks of every list are counted once, however long it is; a document goes to each chunk once.
+    holding = posted.join(chunked, "doc").select("grp", "chunk").distinct()
+    visits = posted.join(outside, "doc").join(holding, "grp").filter("home <> chunk").select("doc", "chunk").distinct()
+    rows = sets.join(labelled.select("doc", "label"), "doc")
+    members = rows.select("cluster", "chunk", F.lit(False).alias("asks"), "doc", "label", "signature", "shingles")
+    asking = rows.drop("chunk").join(visits, "doc").select(
+        "cluster", "chunk", F.lit(True).alias("asks"), "doc", "label", "signature", "shingles")
 
     def run(batches: Iterator) -> Iterator:
         for _, group in _stream(batches):
-            lists, docs, union = None, [], _Union()
+            posts, docs, union = None, [], _Union()
+            signatures: list[np.ndarray] = []
             held: list[np.ndarray] = []
             out = []
-            for asks, doc, label, _home, raw in group:
-                own = np.frombuffer(raw, np.uint64)
-                if not len(own):
+            for asks, doc, label, signature, raw in group:
+                if not raw:
                     continue
+                signature, own = np.frombuffer(signature, np.uint64), np.frombuffer(raw, np.uint64)
                 union.join(doc, label)
                 if not asks:
                     docs.append(doc)
+                    signatures.append(signature)
                     held.append(own)
                     continue
                 if not docs:
                     continue
-                lists = lists or _Lists(held)
-                for j in lists.similar(own, percent).tolist():
-                    if union.join(doc, docs[j]):
+                posts = posts or _Postings(signatures, matches)
+                for j in posts.colliding(signature).tolist():
+                    if union.find(doc) != union.find(docs[j]) and _similar(own, held[j], percent):
+                        union.join(doc, docs[j])
                         out.append((doc, docs[j]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])

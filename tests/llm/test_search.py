@@ -122,6 +122,39 @@ def test_op5_planted(llm):
     assert as_dict(minhash.near_duplicates(df, shingle=4, chunk_shingles=150)) == want
 
 
+def test_op5_collisions():
+    """The counted collisions equal a plain count over all pairs, though long lists are skipped."""
+    rng = np.random.default_rng(3)
+    signatures = rng.integers(0, 40, (60, 48)).astype(np.uint64) + np.arange(48, dtype=np.uint64) * np.uint64(100)
+    for i in range(30, 60):  # copies with some coordinates changed
+        signatures[i] = signatures[i - 30]
+        signatures[i, rng.permutation(48)[: i - 30]] += np.uint64(1)
+    signatures[:, :12] = signatures[0, :12]  # values that all documents share
+    posts = minhash._Postings(list(signatures), 26)
+    for own in signatures:
+        assert posts.colliding(own).tolist() == np.nonzero((signatures == own).sum(axis=1) >= 26)[0].tolist()
+
+
+def test_op5_chained_group(llm):
+    """A chain in which only neighbours are similar, beside a hot group of near copies: over many
+    chunks, and with the shuffle's parts."""
+    rng = random.Random(11)
+    line = [f"c{rng.randrange(5000)}" for _ in range(900)]
+    rows = [line[i : i + 60] for i in range(0, 780, 3)]
+    base = [f"h{rng.randrange(300)}" for _ in range(80)]
+    for _ in range(130):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(80)] = f"x{rng.random()}"
+        rows.append(copy)
+    rng.shuffle(rows)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    df = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_components(rows, 4)
+    assert as_dict(minhash.near_duplicates(df, shingle=4)) == want
+    assert as_dict(minhash.near_duplicates(df, shingle=4, chunk_shingles=1500)) == want
+
+
 def test_op5_query(llm, small_docs):
     assert as_dict(queries.queries()["op5_minhash_coordinates"](llm, SF)) == brute_components(small_docs, 4)
 
