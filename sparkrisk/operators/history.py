@@ -105,7 +105,7 @@ def build_history(
     Plan: filter and clean (narrow, pushed into the scan), one aggregation that both removes
     duplicates and counts outcomes per tuple (map-side combined), then one ordered window
     pass that sums the counts per visit and adds ordinal and lags (see ``ordered_window``).
-    The visit counts need no join back: a (key, time) visit never spans two partitions.
+    The visit counts need no join back; a visit that spans ranges is added up from its parts.
     """
     fail_col, pass_col = list(outcomes)[:2]
     cleaned = C.clean_city(C.clean_events(events, key=key, status=status), stage="train", lower_cols=("state",))

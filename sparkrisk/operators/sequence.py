@@ -5,9 +5,8 @@ entity holds a third of the rows, that task holds a third of the data. ``strateg
 (the default) avoids this:
 
 1. Spark cuts the data into ordered ranges of similar size by (key, time, ties), so a hot key
-   is spread over many partitions, and so are the rows of a hot key that share one time. With
-   sums over (key, time) groups, rows of one group must stay together: the cut is by (key,
-   time) there, and by the ties only among rows without a time, which form no group.
+   is spread over many partitions, and so are the rows of a hot key that share one time, with
+   sums over (key, time) groups too.
 2. Windows run per (partition, key) with the full order (time, ties). The rows are moved
    once more, range-partitioned on the partition id, which gives the windows their
    (partition, key) clustering with about one range per task (a hash of (partition, key)
@@ -19,6 +18,11 @@ entity holds a third of the rows, that task holds a third of the data. ``strateg
    mark the last row of those keys; it carries their count, running sums and lag sources. So
    the correction reads at most two rows per range (no aggregate over the data), combines them
    with a window over ranges, and is broadcast: its bound is twice the partition count.
+4. Sums over (key, time) groups are peer sums of the range at first. Only the group of a range's
+   first row and that of its last row can continue in another range; these two rows are marked, the
+   parts of a group are added up, and the totals are broadcast as one row per range. The row before
+   the current one, whose sums a lag reads, is in the same range (or is a marked row of 3.), so the
+   same row of the range corrects it.
 
 ``strategy="hash"`` is the plain window, one shuffle, for data known to be free of hot keys.
 
@@ -38,6 +42,8 @@ from sparkrisk.session import materialize
 _PID = "__seq_pid"
 _LRN = "__seq_lrn"
 _EDGE = "__seq_edge"
+_GEDGE = "__seq_gedge"
+_PTIME = "__seq_ptime"
 
 
 def _order(time: str, ties: Sequence[str]) -> list[Column]:
@@ -66,7 +72,8 @@ def ordered_window(
       computed before the lags, so a lag may read a group sum. A null time forms no group
       and gives ``null_time_sum``.
     - ``running_sums``: ``{out: src}``, sum of ``src`` over the key's rows up to and
-      including this one (a prefix sum; with a constant key, a global one).
+      including this one (a prefix sum; with a constant key, a global one). ``src`` is a column of
+      ``df``, not a group sum.
 
     The order is ``time`` then ``ties``, all ascending with nulls first. Rows with a null
     key form one group, as in a SQL window.
@@ -84,10 +91,9 @@ def ordered_window(
 
     # Without a fixed count, adaptive execution may merge neighbouring ranges to its target
     # size; merged ranges are still contiguous and ordered, which is all the correction needs.
-    order = [F.col(key).asc_nulls_first(), F.col(time).asc_nulls_first()]
-    for tie in ties:
-        cut = F.when(F.col(time).isNull(), F.col(tie)) if group_sums else F.col(tie)
-        order.append(cut.asc_nulls_first())
+    if set(running.values()) & set(group_sums):
+        raise ValueError("a running sum cannot read a group sum")
+    order = [F.col(key).asc_nulls_first(), *_order(time, ties)]
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
     # The windows need rows clustered by (range, key). Range ids all carry about the same
@@ -97,9 +103,10 @@ def ordered_window(
     by_id = F.col(_PID).asc()
     ranged = ranged.repartitionByRange(num_partitions, by_id) if num_partitions else ranged.repartitionByRange(by_id)
 
-    local = _hash_window(ranged, key, time, ties, _LRN, lags, group_sums, null_time_sum, running, part=[_PID])
-    if not lags and not running and row_number is None:
-        return local.drop(_PID, _LRN)
+    # A lagged group sum needs the time of the group it was taken from.
+    of_group = {out: src for out, src in lags.items() if src in group_sums}
+    times = {_PTIME: time} if of_group else {}
+    local = _hash_window(ranged, key, time, ties, _LRN, lags | times, group_sums, null_time_sum, running, part=[_PID])
     # The last row of the range's first key, and the range's last row.
     of_key = Window.partitionBy(_PID, key).orderBy(*_order(time, ties))
     of_range = Window.partitionBy(_PID).orderBy(F.col(key).asc_nulls_first(), *_order(time, ties))
@@ -109,7 +116,11 @@ def ordered_window(
         _EDGE: F.lead(F.lit(1)).over(of_key).isNull()
         & (F.lead(F.lit(1)).over(of_range).isNull() | F.col(key).eqNullSafe(first_key))
     })
+    if group_sums:  # the range's first and last row, whose groups may continue
+        local = local.withColumn(_GEDGE, F.lag(F.lit(1)).over(of_range).isNull() | F.lead(F.lit(1)).over(of_range).isNull())
     local = materialize(local)
+    if group_sums:
+        local = _whole_groups(local, key, time, list(group_sums), of_group)
 
     srcs = sorted(set(lags.values()))
     by_part = Window.partitionBy("__seq_key").orderBy("__seq_cpid")
@@ -142,10 +153,35 @@ def ordered_window(
     if row_number is not None:
         cols[row_number] = F.col(_LRN) + F.coalesce(F.col("__seq_off"), F.lit(0))
     out = joined.withColumns(cols)
-    internal = [_PID, _LRN, _EDGE, "__seq_cpid", "__seq_key", "__seq_off", "__seq_prev"]
+    internal = [_PID, _LRN, _EDGE, _GEDGE, _PTIME, "__seq_cpid", "__seq_key", "__seq_off", "__seq_prev"]
     return out.drop(*internal, *[f"__seq_o{i}" for i in range(len(running))])
 
 
+def _whole_groups(local: DataFrame, key: str, time: str, sums: Sequence[str], lagged: Mapping[str, str]) -> DataFrame:
+    """Group sums of whole (key, time) groups, and lags of them, from the sums of each range's part."""
+    types = {o: local.schema[o].dataType for o in sums}
+    parts = local.filter(F.col(_GEDGE) & F.col(time).isNotNull()).select(
+        F.col(_PID).alias("__seq_gpid"), F.col(key).alias("k"), F.col(time).alias("t"), *sums).dropDuplicates(["__seq_gpid", "k", "t"])
+    whole = Window.partitionBy("k", "t")
+    totals = parts.withColumns({**{o: F.sum(o).over(whole).cast(types[o]) for o in sums},
+                                "__seq_parts": F.count(F.lit(1)).over(whole)}).filter("__seq_parts > 1")
+    # At most two groups a range, one row per range.
+    of_range = totals.groupBy("__seq_gpid").agg(F.collect_list(F.struct("k", "t", *sums)).alias("__seq_groups"))
+    joined = local.join(F.broadcast(of_range), F.col(_PID) == F.col("__seq_gpid"), "left")
+
+    def fixed(own: str, total: str, at: str) -> Column:
+        out = F.col(own)
+        for i in (0, 1):
+            group = F.get("__seq_groups", F.lit(i))
+            out = F.when(group["k"].eqNullSafe(F.col(key)) & (group["t"] == F.col(at)), group[total]).otherwise(out)
+        return out
+
+    # The lag of a range's first row of a key is null here and taken from the marked rows later.
+    cols = {o: fixed(o, o, time) for o in sums}
+    cols |= {out: F.when(F.col(_LRN) > 1, fixed(out, src, _PTIME)).otherwise(F.col(out)) for out, src in lagged.items()}
+    return joined.withColumns(cols).drop("__seq_gpid", "__seq_groups")
+
+
 def _hash_window(df, key, time, ties, row_number, lags, group_sums, null_time_sum, running=None, part=()):
     w = Window.partitionBy(*part, key).orderBy(*_order(time, ties))
     if group_sums:

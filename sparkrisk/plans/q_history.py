@@ -16,8 +16,10 @@ from sparkrisk.plans.sql import (
     CTE_FEATURES,
     CTE_HISTORY,
     CTE_HISTORY_HOT,
+    CTE_HISTORY_HOT_VISIT,
     HIST_ORDER,
     HOT_KEY_SQL,
+    HOT_VISIT,
     LATEST_ORDER,
 )
 
@@ -67,6 +69,16 @@ def c3_build_history_hot_entity(spark, sf_dir):
     return H.build_history(hot_events(spark, sf_dir))
 
 
+@query("W4_hot_visit", f"WITH {CTE_HISTORY_HOT_VISIT} SELECT * FROM hist")
+def w4_hot_visit(spark, sf_dir):
+    """C3 when one visit (entity and time) holds a third of all rows: its counts and the counts that
+    the next rows take from it are added up over the ranges it spans."""
+    rows = events(spark, sf_dir)
+    hot = F.lit(HOT_VISIT).cast(rows.schema[H.TIME].dataType)
+    rows = rows.withColumn(H.TIME, F.when(F.col(H.KEY).cast("bigint") % 3 == 0, hot).otherwise(F.col(H.TIME)))
+    return H.build_history(rows.withColumn(H.KEY, F.expr(HOT_KEY_SQL)))
+
+
 @query("C5_latest_features", f"WITH {CTE_FEATURES} SELECT * FROM feat")
 def c5_latest_features(spark, sf_dir):
     return features(spark, sf_dir)

@@ -28,6 +28,14 @@ CTE_EVENTS = _EVENTS_TEMPLATE.format(key="property_id")
 HOT_KEY_SQL = "CASE WHEN CAST(property_id AS BIGINT) % 3 = 0 THEN '0' ELSE property_id END"
 CTE_EVENTS_HOT = _EVENTS_TEMPLATE.format(key=HOT_KEY_SQL)
 
+# One visit holding about a third of the rows: those rows also have one time.
+HOT_VISIT = "2001-01-01 00:00:00"
+CTE_EVENTS_HOT_VISIT = CTE_EVENTS_HOT.replace(
+    "try_strptime(resultdttm_raw, '%Y-%m-%d %H:%M:%S')",
+    f"CASE WHEN CAST(property_id AS BIGINT) % 3 = 0 THEN TIMESTAMP '{HOT_VISIT}' "
+    "ELSE try_strptime(resultdttm_raw, '%Y-%m-%d %H:%M:%S') END",
+)
+
 HIST_ORDER = (
     "PARTITION BY property_id ORDER BY resultdttm NULLS FIRST, issdttm NULLS FIRST, "
     "state NULLS FIRST, location NULLS FIRST, licensecat NULLS FIRST, descript NULLS FIRST, "
@@ -69,6 +77,7 @@ hist AS (
 )
 CTE_HISTORY = CTE_EVENTS + _HISTORY_TAIL
 CTE_HISTORY_HOT = CTE_EVENTS_HOT + _HISTORY_TAIL
+CTE_HISTORY_HOT_VISIT = CTE_EVENTS_HOT_VISIT + _HISTORY_TAIL
 
 # C5 scoring features in SQL.
 CTE_FEATURES = (

@@ -103,6 +103,34 @@ def test_hot_key_without_times_is_split(spark, monkeypatch):
     assert out.filter("rn <> uid + 1 OR g <> 0 OR before <> uid - 1 OR (uid > 0 AND before IS NULL)").count() == 0
 
 
+def test_hot_visit_is_split(spark, monkeypatch):
+    """One (key, time) group with most rows is cut into ranges; its sum, and the lag of that sum on
+    the next row, are the whole group's."""
+    df = spark.range(40_000).selectExpr(
+        "IF(id % 4 < 3, 'hot', CAST(id % 40 AS STRING)) AS k", "IF(id % 4 < 3, IF(id = 2, 9, 5), CAST(id % 7 AS INT)) AS t",
+        "id AS uid", "id % 3 AS v")
+    kw = dict(key="k", time="t", ties=["uid"], row_number="rn", group_sums={"g": "v"}, null_time_sum=0,
+              lags={"last_g": "g", "last_t": "t"})
+    out, sizes = _range_sizes(monkeypatch, df=df, num_partitions=8, **kw)
+    assert len(sizes) == 8 and max(sizes) < 7000
+    cols = ["uid", "rn", "g", "last_g", "last_t"]
+    assert _collect(out, cols) == _collect(ordered_window(df, strategy="hash", **kw), cols)
+    assert out.filter("k = 'hot' AND t = 9").first()["last_g"] == df.filter("k = 'hot' AND t = 5").agg(F.sum("v")).first()[0]
+
+
+def test_group_sums_over_many_ranges(spark):
+    """Groups longer than several ranges, null keys and times, null values, and no other column asked for."""
+    rows = [(None if i % 11 == 0 else i % 2, None if i % 13 == 0 else i % 3, i, None if i % 5 == 0 else i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, t int, uid int, v int")
+    for parts in (1, 5, 40):
+        kw = dict(key="k", time="t", ties=["uid"], group_sums={"g": "v", "h": "uid"}, null_time_sum=-1)
+        assert (_collect(ordered_window(df, num_partitions=parts, **kw), ["uid", "g", "h"])
+                == _collect(ordered_window(df, strategy="hash", **kw), ["uid", "g", "h"]))
+        kw["lags"] = {"lg": "g", "lh": "h"}
+        assert (_collect(ordered_window(df, num_partitions=parts, **kw), ["uid", "g", "lg", "lh"])
+                == _collect(ordered_window(df, strategy="hash", **kw), ["uid", "g", "lg", "lh"]))
+
+
 def test_equal_counts_are_split(spark, monkeypatch):
     df = spark.range(40_000).selectExpr("0 AS k", "-1 AS t", "CAST(id AS STRING) AS value")
     out, sizes = _range_sizes(monkeypatch, df=df, key="k", time="t", ties=["value"], row_number="rn", num_partitions=8)
