@@ -296,7 +296,10 @@ def _links_across(sets: DataFrame, chunked: DataFrame, hubs: DataFrame, posted:
     holding = posted.join(chunked, "doc").select("grp", "chunk").distinct()
     visits = posted.join(outside, "doc").join(holding, "grp").filter("home <> chunk").select("doc", "chunk").distinct()
     rows = sets.join(labelled.select("doc", "label"), "doc")
-    members = rows.select("cluster", "chunk", F.lit(False).alias("asks"), "doc", "label", "signature", "shingles")
+    # Only documents that share a kept value with an asking one travel again.
+    asked = posted.join(outside, "doc").select("grp").distinct()
+    met = posted.join(asked, "grp").select("doc").distinct()
+    members = rows.join(met, "doc").select("cluster", "chunk", F.lit(False).alias("asks"), "doc", "label", "signature", "shingles")
     asking = rows.drop("chunk").join(visits, "doc").select(
         "cluster", "chunk", F.lit(True).alias("asks"), "doc", "label", "signature", "shingles")
 
