@@ -46,17 +46,39 @@ def as_api_records(df: DataFrame, keep: Sequence[str] = ("_id",)) -> DataFrame:
 def write_pages(df: DataFrame, path: str, limit: int) -> str:
     """Land ``df`` as page envelopes of at most ``limit`` records (JSON lines).
 
-    The records are written once as a stage; page ids come from the row ids of its scan, which are
-    the same in every run of a task. No global numbering or ordering is needed; a page never mixes
-    tasks and holds at most ``limit`` records, a bounded group.
+    The records are written once as a stage, and each task of its scan fills one page after the other
+    in the order of its rows: it holds a page, whatever the size of the input, and nothing is
+    shuffled. No global numbering or ordering is needed; a page never mixes tasks and holds at most
+    ``limit`` records.
     """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     df = materialize(df)
     total = df.count()
-    rec = F.struct(*[F.col(c) for c in df.columns])
-    paged = df.withColumn("__page", F.floor(F.monotonically_increasing_id() / F.lit(limit)))
-    env = paged.groupBy("__page").agg(F.collect_list(rec).alias("records"))
-    env = env.select(F.struct(F.lit(total).cast("bigint").alias("total"), "records").alias("result"))
-    env.write.mode("overwrite").json(path)
+
+    def fill(batches):
+        import pyarrow as pa
+
+        def page(parts):
+            records = pa.concat_arrays(parts)
+            records = pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records)
+            result = pa.StructArray.from_arrays([pa.array([total], pa.int64()), records], names=["total", "records"])
+            return pa.RecordBatch.from_arrays([result], names=["result"])
+
+        held, n = [], 0
+        for batch in batches:
+            rows, at = batch.to_struct_array(), 0
+            while at < len(rows):
+                part = rows.slice(at, limit - n)
+                held.append(part)
+                at, n = at + len(part), n + len(part)
+                if n == limit:
+                    yield page(held)
+                    held, n = [], 0
+        if held:
+            yield page(held)
+
+    df.mapInArrow(fill, page_envelope(df.schema)).write.mode("overwrite").json(path)
     return path
 
 
@@ -65,7 +87,8 @@ def write_page_files(df: DataFrame, folder: str, limit: int) -> str:
     records: the form that ``paged_api`` fetches. Returns the URL template.
 
     Row numbers come from the row counts of the stage's scan tasks (one number a task on the driver)
-    and the ids inside a task, so nothing is sorted. ``folder`` is a path that all executors mount.
+    and the ids inside a task. Records meet by page, and a task writes its pages one after the other:
+    it holds one. ``folder`` is a path that all executors mount.
     A page is written to a name of its own and then renamed: a task that runs twice leaves one whole file.
     """
     if limit < 1:
@@ -82,9 +105,8 @@ def write_page_files(df: DataFrame, folder: str, limit: int) -> str:
         starts += [F.lit(t), F.lit(start)]
         start += sizes[t]
     page = F.floor((F.create_map(*starts)[task] + inside) / F.lit(limit))
-    rec = F.struct(*[F.col(c) for c in df.columns])
-    pages = ids.select(page.alias("page"), rec.alias("r")).groupBy("page").agg(F.collect_list("r").alias("records"))
-    body = F.to_json(F.struct(F.struct(F.lit(total).cast("bigint").alias("total"), "records").alias("result")))
+    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns])).cast("binary")
+    pages = ids.select(page.alias("page"), "__id", rec.alias("r")).repartition("page").sortWithinPartitions("page", "__id")
 
     def write(batches):
         import os
@@ -93,15 +115,26 @@ def write_page_files(df: DataFrame, folder: str, limit: int) -> str:
         import pyarrow as pa
 
         os.makedirs(folder, exist_ok=True)
+
+        def whole(n, records):
+            part = f"{folder}/.part-{uuid.uuid4().hex}"
+            with open(part, "wb") as f:
+                f.write(b'{"result":{"total":%d,"records":[' % total + b",".join(records) + b"]}}")
+            os.replace(part, f"{folder}/page-{n}.json")
+            return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["page"])
+
+        last, held = None, []
         for batch in batches:
-            for n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = f"{folder}/.part-{uuid.uuid4().hex}"
-                with open(part, "w", encoding="utf-8") as f:
-                    f.write(text)
-                os.replace(part, f"{folder}/page-{n}.json")
-            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["page"])
-
-    pages.select("page", body.alias("body")).mapInArrow(write, "page long").write.format("noop").mode("overwrite").save()
+            for n, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if n != last and held:
+                    yield whole(last, held)
+                    held = []
+                last = n
+                held.append(record)
+        if held:
+            yield whole(last, held)
+
+    pages.select("page", "r").mapInArrow(write, "page long").write.format("noop").mode("overwrite").save()
     return f"file://{folder}/page-{{page}}.json"
 
 

@@ -77,6 +77,27 @@ def test_write_pages_keeps_every_record(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_write_pages_holds_one_page_at_a_time(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 1234, 1, 3).selectExpr("id AS _id", "CAST(id AS DOUBLE) AS v", "if(id % 2 = 0, 'a', NULL) AS w")
+    df = df.sortWithinPartitions("_id")
+    monkeypatch.setattr(type(df), "groupBy", None)  # grouped rows are held until their task ends
+    path = PG.write_pages(df, str(tmp_path / "p"), 50)
+    pages = [[r._id for r in p.result.records] for p in spark.read.json(path).collect()]
+    assert all(ids == list(range(ids[0], ids[0] + len(ids))) for ids in pages)  # in the order of the rows
+    assert sum(len(ids) < 50 for ids in pages) <= 3  # only the last page of a task is short
+    back = PG.read_pages(spark, path, df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_page_files_are_whole_and_in_order(spark, tmp_path):
+    df = spark.range(0, 1234, 1, 3).selectExpr("id AS _id", "concat('ä', id) AS v")
+    PG.write_page_files(df, str(tmp_path / "p"), 100)
+    pages = [json.loads((tmp_path / "p" / f"page-{n}.json").read_text())["result"] for n in range(13)]
+    assert [p["total"] for p in pages] == [1234] * 13
+    ids = [[r["_id"] for r in p["records"]] for p in pages]
+    assert [len(x) for x in ids] == [100] * 12 + [34] and sorted(sum(ids, [])) == list(range(1234))
+
+
 def test_paged_api_values_as_the_json_reader_gives_them(spark, tmp_path):
     recs = [{"_id": 1, "flag": True, "obj": {"a": 1}, "name": "n"}]
     (tmp_path / "page-0.json").write_text(json.dumps({"result": {"total": 1, "records": recs}}, separators=(",", ":")))
