@@ -131,3 +131,13 @@ def test_training_parts_follow_the_rows(spark):
     from sparkrisk.ml import text_model as TM
 
     assert [TM.training_parts(spark.range(n)) for n in (0, 1, TM.ROWS_PER_PART, TM.ROWS_PER_PART + 1)] == [1, 1, 1, 2]
+
+
+def test_fits_spread_their_rows_over_tasks(spark):
+    rows = spark.range(0, 10_000, 1, 2).selectExpr("id", "id % 7 AS v", "CAST(NULL AS STRING) AS n")
+    out = MD.spread(rows, 1_000)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 1_300
+    assert sorted(r.id for r in out.collect()) == list(range(10_000))
+    assert MD.spread(rows, 5_000) is rows  # few rows stay where they are
+    assert MD.spread(rows.limit(0), 5_000).count() == 0
