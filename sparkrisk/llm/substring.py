@@ -53,6 +53,8 @@ HOT_SEGMENTS = 500
 HELD_WINDOWS = 500_000
 # Segments a sending task holds before it packs them.
 HELD_SEGMENTS = 600_000
+# Bytes of text that a sending task hashes at once: several 8-byte numbers are made of every byte.
+HASHED_BYTES = 1 << 20
 # Symbols of one FM-index.
 SHARD_SYMBOLS = 1_500_000
 _WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -82,6 +84,18 @@ def _segments(column, width: int, gram: int) -> tuple:
     return gram_hash[least[at]], content, text[at], inside[at], count
 
 
+def _slices(column, most: int = HASHED_BYTES) -> Iterator[tuple[int, int]]:
+    """(first text, texts) of runs of texts with about ``most`` bytes together, or one longer text."""
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(size):
+        z = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + most, side="right")))
+        yield a, z - a
+        a = z
+
+
 def _first_of_equal(mh, ch, *order) -> tuple[np.ndarray, np.ndarray]:
     """(sorting permutation by content then ``order``, whether each is the first of its content)."""
     by = np.lexsort((*reversed(order), ch, mh))
@@ -138,11 +152,13 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", w
 
         names = ["part", "body", "docs", "doc", "mark", "start", "count"]
         for batch in batches:
-            mh, ch, row, start, count = _segments(batch.column(1), width, gram)
-            held.append((mh, ch, row + rows, start, count))
+            for first, n in _slices(batch.column(1)):
+                mh, ch, row, start, count = _segments(batch.column(1).slice(first, n), width, gram)
+                held.append((mh, ch, row + rows + first, start, count))
+                size += len(mh)
             docs_.append(batch.column(0).to_numpy())
             marks.append(batch.column(2).to_numpy())
-            rows, size = rows + batch.num_rows, size + len(mh)
+            rows += batch.num_rows
             if size >= HELD_SEGMENTS:
                 yield from pack()
                 held, docs_, marks, rows, size = [], [], [], 0, 0

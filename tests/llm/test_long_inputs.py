@@ -51,3 +51,23 @@ def test_op8_long_words(name):
     for long, limit in ((letters(20_000), 2), ("a" * 20_000, 4), (letters(1_000_000), 60)):
         ids = _timed(limit, model.encode, [long])[0].tolist()
         assert ids == library.encode(long, add_special_tokens=False).ids
+
+
+def test_batches_are_hashed_in_slices():
+    """A batch's numbers are made for a bounded run of texts at a time, and are the same ones."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkrisk.llm import substring
+
+    texts = [" ".join(f"w{(i * j) % 50}" for j in range(i * 7)) for i in range(60)] + [None, "", "x " * 3000, "ä ö"]
+    column = pa.array(texts)
+    runs = list(substring._slices(column, 2_000))
+    assert [a for a, _ in runs] == [0, *np.cumsum([n for _, n in runs])[:-1]] and sum(n for _, n in runs) == len(texts)
+    assert all(n == 1 or sum(len((t or "").encode()) for t in texts[a : a + n]) <= 2_000 for a, n in runs)
+    parts = [substring._segments(column.slice(a, n), 20, 8) for a, n in runs]
+    whole = substring._segments(column, 20, 8)
+    for i in range(5):
+        shift = [a if i == 2 else 0 for a, _ in runs]
+        assert np.array_equal(np.concatenate([p[i] + p[i].dtype.type(s) for p, s in zip(parts, shift)]), whole[i])
+    assert list(substring._slices(column.slice(0, 0))) == []
