@@ -167,7 +167,8 @@ def s9_managed_table(spark, sf_dir):
 
 @query("S10_write_csv", INS + f"SELECT {TEXT_SQL} FROM fx_inspections")
 def s10_write_csv(spark, sf_dir):
-    path = TB.write_csv(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "csv"))
+    # An entity's records are alike: they move together.
+    path = TB.write_csv(PG.as_api_records(FX.fx_inspections(spark, sf_dir)), shared_dir(spark, "csv"), by=["property_id"])
     return TB.read_csv(spark, path, schema=RECORD_SCHEMA)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,12 +92,16 @@ def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructTyp
     return rows.filter(F.col(BAD).isNull()).drop(BAD), rows.filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("record"))
 
 
-def _files(df: DataFrame, files: int | None) -> DataFrame:
+def _files(df: DataFrame, files: int | None, by: Sequence[str] = ()) -> DataFrame:
     """Output files. ``None`` (the default) rebalances: adaptive execution splits large
     partitions and merges small ones to its advisory size, so the file count follows the data. A
     number gives exactly that many files by a round-robin exchange, which is also the number of
-    writing tasks: only for outputs known to be small."""
-    return df.hint("rebalance") if files is None else df.repartition(files)
+    writing tasks: only for outputs known to be small.
+
+    Without ``by`` the rows are dealt one by one, so like rows part and the shuffle compresses badly. With
+    it, rows that share these columns move together, in the order they came; adaptive execution splits the
+    partition of a frequent value."""
+    return df.hint("rebalance", *by) if files is None else df.repartition(files)
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", files: int | None = None) -> str:
@@ -137,8 +143,9 @@ def replace_table(df: DataFrame, name: str, path: str, files: int | None = None,
     return name
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None, mode: str = "overwrite") -> str:
-    """Delimited text with a header, in the form that ``read_csv`` reads back exactly."""
+def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None, mode: str = "overwrite",
+              by: Sequence[str] = ()) -> str:
+    """Delimited text with a header, in the form that ``read_csv`` reads back exactly. ``by``: see ``_files``."""
     spark = df.sparkSession
     if mode == "append" and not _dialect(spark, path):
         raise ValueError(f"{path} has files that were written in another form")
@@ -146,7 +153,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None
     out = df.withColumns(texts) if texts else df
     # A record of one column must not be an empty or blank line: readers skip those.
     alone = {"quoteAll": "true", "nullValue": _NULL} if len(df.columns) == 1 else {}
-    _files(out, files).write.mode(mode).options(header="true", sep=sep, **_CSV, **alone).csv(path)
+    _files(out, files, by).write.mode(mode).options(header="true", sep=sep, **_CSV, **alone).csv(path)
     _dialect(spark, path, write=True)
     return path
 

@@ -1,6 +1,7 @@
 """Delimited files: texts come back as they were, bad records are not lost."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkrisk.plans.q_sources import HOSTILE
@@ -66,3 +67,12 @@ def test_scans_can_be_split(spark):
         assert got.rdd.getNumPartitions() > 1 and got.count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_that_share_a_column_are_written_together(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 4).selectExpr("id", "IF(id % 50 = 0, NULL, 'k' || id % 50) AS k", "'a;\n' || id AS t")
+    path = TB.write_csv(rows, str(tmp_path / "csv"), by=["k"])
+    back = TB.read_csv(spark, path, schema=rows.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    files = back.withColumn("f", F.input_file_name()).groupBy("k").agg(F.countDistinct("f").alias("n"))
+    assert {r.n for r in files.collect()} == {1}
