@@ -127,6 +127,22 @@ def test_word_vectors_follow_neighbours(spark):
     assert TM.text_vectors(df.limit(0), out).count() == 0
 
 
+def test_vectors_move_once_a_chunk(spark):
+    from sparkrisk.ml import text_model as TM
+    from sparkrisk.operators import arrow_text as AT
+
+    texts = ["a b a  c", None, "", "b c", "\t", "x " * 50] * 40
+    df = spark.createDataFrame([(None if i == 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = AT.word_counts(df, "text", ["doc_id"]).collect()
+    assert len(rows) == len(texts) and len({r.chunk for r in rows}) == 1
+    assert [len(r.words) for r in rows if r.words] == [4]  # all words once, however many texts hold them
+    known = TM.word_vectors(df).filter("word <> 'x'")
+    v = {r.word: r for r in known.collect()}
+    out = {r.doc_id: r for r in TM.text_vectors(df, known).collect()}
+    assert len(out) == len(texts) and out[None].n_words == 2 and out[5].n_words == 50 and set(out[5].embedding) == {0.0}
+    assert out[0].embedding == [(2 * v["a"][d] + v["b"][d] + v["c"][d]) / 4 / TM.UNIT for d in (f"v{i}" for i in range(TM.EMBED_DIM))]
+
+
 def test_training_parts_follow_the_rows(spark):
     from sparkrisk.ml import text_model as TM
 
