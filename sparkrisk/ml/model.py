@@ -31,7 +31,7 @@ LABEL = "fail"
 WORK_COLUMNS = (*NUMERIC_FEATURES, *(f"{c}{kind}" for c in CATEGORICAL_FEATURES for kind in ("Index", "Vec")),
                 "features", "rawPrediction", "prediction", "probability")
 # Most rows of one task of a fit. MLlib caches some 450 (forest) to 1,000 bytes (boosted trees) of each.
-ROWS_PER_TASK = 500_000
+ROWS_PER_TASK = 250_000
 # Most values of a categorical feature: they are kept on the driver and widen every vector.
 MAX_CATEGORIES = 100_000
 

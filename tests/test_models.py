@@ -157,3 +157,4 @@ def test_fits_spread_their_rows_over_tasks(spark):
     assert sorted(r.id for r in out.collect()) == list(range(10_000))
     assert MD.spread(rows, 5_000) is rows  # few rows stay where they are
     assert MD.spread(rows.limit(0), 5_000).count() == 0
+    assert MD.ROWS_PER_TASK * 452 < 120e6  # bytes of a row that a forest reads
