@@ -158,3 +158,32 @@ def test_fits_spread_their_rows_over_tasks(spark):
     assert MD.spread(rows, 5_000) is rows  # few rows stay where they are
     assert MD.spread(rows.limit(0), 5_000).count() == 0
     assert MD.ROWS_PER_TASK * 452 < 120e6  # bytes of a row that a forest reads
+
+
+def test_grid_search_encodes_once_a_fold(spark, monkeypatch):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = [(f"c{i % 3}", f"d{i % 5}", "x" if i % 2 else None, "02116", i % 4, i, i % 7, 0, int(i * i % 11 < 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "licensecat string, descript string, city string, zip string, "
+                                     "inspections_so_far int, days_since_last_inspect int, last_viol_fail int, "
+                                     "last_viol_pass int, fail int").repartition(3, "days_since_last_inspect")
+    own, calls = StringIndexer.fit, []
+    monkeypatch.setattr(StringIndexer, "fit", lambda self, *a: calls.append(1) or own(self, *a))
+    model, table = MD.grid_search(df, folds=2, grid={"maxDepth": [1, 3]}, maxIter=3)
+    assert len(calls) == 3  # once a fold and once for the refit, however many settings the grid has
+    # MLlib's search over the whole chain gives the same areas and the same best model.
+    pipe = MD.risk_pipeline("gbt", maxIter=3)
+    maps = ParamGridBuilder().addGrid(pipe.getStages()[-1].maxDepth, [1, 3]).build()
+    folded = df.withColumn("__fold", (F.abs(F.xxhash64(*df.columns, F.lit(7))) % 2).cast("int"))
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol="__fold", numFolds=2, seed=7,
+                        evaluator=BinaryClassificationEvaluator(labelCol=MD.LABEL, numBins=0)).fit(folded)
+    assert max(abs(r.auc - a) for r, a in zip(table.collect(), cv.avgMetrics)) < 1e-9
+    assert model.stages[-1].toDebugString.split("\n")[1:] == cv.bestModel.stages[-1].toDebugString.split("\n")[1:]
+    assert [type(s) for s in model.stages] == [type(s) for s in cv.bestModel.stages]
+
+
+def test_fits_side_by_side_follow_their_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [MD.fits_at_once(spark.range(0, 100, 1, n), 4) for n in (1, 2 * cores, 3 * cores, 9 * cores)] == [min(4, 3 * cores), 2, 1, 1]
