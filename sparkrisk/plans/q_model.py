@@ -422,7 +422,7 @@ def t9_text_model(spark, sf_dir):
 def m7_fit_pipeline(spark, sf_dir):
     """The fitted chain: (stage, kind, output, number of indexed values) per stage, in order. The
     chain is fitted on the training side; its indexes are compared on all of the history."""
-    model = MD.fit(_training(spark, sf_dir).fillna(0, subset=list(NUMERIC_FEATURES)))
+    model = MD.fit_kept(_training(spark, sf_dir))
     rows = []
     for i, st in enumerate(model.stages):
         if st.hasParam("outputCols") and st.isSet("outputCols"):

@@ -1,5 +1,7 @@
 """Properties of splits, evaluation and learned models (no SQL twin for the models)."""
 
+import __spark_entry__ as E
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -160,6 +162,20 @@ def test_fits_spread_their_rows_over_tasks(spark):
     assert MD.ROWS_PER_TASK * 452 < 120e6  # bytes of a row that a forest reads
 
 
+@pytest.mark.parametrize("key", ["M7_fit_pipeline", "C6_risk_values"])
+def test_fits_of_queries_take_spread_rows(spark, monkeypatch, key):
+    own_spread, own_fit, tasks = MD.spread, MD.fit, []
+
+    def fit(df, *args, **params):
+        tasks.extend(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        return own_fit(df, *args, **params)
+
+    monkeypatch.setattr(MD, "spread", lambda df: own_spread(df, 50))
+    monkeypatch.setattr(MD, "fit", fit)
+    E.queries()[key](spark, SF_SMALL)
+    assert sum(tasks) > 1_000 and max(tasks) < 80
+
+
 def test_grid_search_encodes_once_a_fold(spark, monkeypatch):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.feature import StringIndexer
