@@ -82,34 +82,51 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/" + sub
 
 
-def materialize(df: DataFrame, how: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, how: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
     Used where one intermediate feeds two branches whose results must agree row for row
     (e.g. partition ids after a range exchange). ``how="parquet"`` (default) writes a
     compressed columnar stage, so each branch reads only the columns it uses;
     ``how="checkpoint"`` uses ``DataFrame.checkpoint``. Both are reliable (never a local
-    checkpoint): the files outlive any executor, and the lineage is cut.
+    checkpoint): the files outlive any executor, and the lineage is cut. ``compression`` is that of
+    the Parquet stage, the session's by default.
     """
     spark = df.sparkSession
     how = how or spark.conf.get("sparkrisk.materialize", "parquet")
     if how == "checkpoint":
         checkpoint_dir(spark)
         return df.checkpoint(eager=True)
-    return spark.read.parquet(write_stage(df, "stage"))
+    return spark.read.parquet(write_stage(df, "stage", compression))
 
 
-def write_stage(df: DataFrame, name: str) -> str:
+def write_stage(df: DataFrame, name: str, compression: str | None = None) -> str:
     """Write ``df`` to a fresh folder under the shared checkpoint folder, owned by the innermost open
     ``stage_scope``; returns its path."""
     path = shared_dir(df.sparkSession, name)
     owner = _SCOPE.get()
     if owner is not None:  # before the write: a failed one is deleted too
         owner.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes inside the block remove their shuffle files as they end, and not when the driver happens to
+    collect its garbage. Frames that are built inside and used again would shuffle anew."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 # Stage folders of the innermost open ``stage_scope``; None outside of any.
 _SCOPE: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 

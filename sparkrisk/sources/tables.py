@@ -104,10 +104,11 @@ def _files(df: DataFrame, files: int | None, by: Sequence[str] = ()) -> DataFram
     return df.hint("rebalance", *by) if files is None else df.repartition(files)
 
 
-def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", files: int | None = None) -> str:
+def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", files: int | None = None,
+                by: Sequence[str] = ()) -> str:
     """Save as a catalog table; external (parquet at ``path``) when a path is given,
-    managed otherwise. Returns the table name."""
-    w = _files(df, files).write.mode(mode).format("parquet")
+    managed otherwise; ``by`` as in ``_files``. Returns the table name."""
+    w = _files(df, files, by).write.mode(mode).format("parquet")
     if path is not None:
         w = w.option("path", path)
     w.saveAsTable(name)

@@ -89,6 +89,32 @@ def test_write_pages_holds_one_page_at_a_time(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_landed_pages_take_little_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(PG, "FILE_RECORDS", 100)
+    local, folders = shared_dir(spark, "x").removeprefix("file:"), lambda: set(os.listdir(os.path.dirname(local)))
+    before = folders()
+    df = spark.range(0, 1000, 1, 2).selectExpr("id AS _id", "concat('a rather long text ', id % 7) AS v")
+    joined = df.repartition(5, "v").join(spark.range(1000).withColumnRenamed("id", "_id").hint("merge"), "_id")
+    path = PG.write_pages(joined, str(tmp_path / "p"), 50)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert all(f.endswith(".json.gz") for f in files) and len(files) >= 10  # one task a file: at most 100 records
+    assert not [x for x in folders() - before if x.startswith("stage")]
+    assert len(PG.read_pages(spark, path, joined.schema).collect()) == 1000
+
+
+def test_shuffles_are_dropped_with_their_write(spark, tmp_path):
+    from sparkrisk.session import shuffles_dropped
+
+    files = lambda: blocks.diskBlockManager().getAllFiles().mkString(",").count("shuffle_")
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(key, None)
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "a"))
+    assert files() <= before and spark.conf.get(key, None) == was
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1000
+
+
 def test_page_files_are_whole_and_in_order(spark, tmp_path):
     df = spark.range(0, 1234, 1, 3).selectExpr("id AS _id", "concat('ä', id) AS v")
     PG.write_page_files(df, str(tmp_path / "p"), 100)
