@@ -213,7 +213,7 @@ def s11_file_count(spark, sf_dir):
 def c1_ingest(spark, sf_dir):
     pages = _landed_pages(spark, sf_dir)
     return PG.ingest(spark, pages, RECORD_SCHEMA, ["resultdttm", "issdttm"], _name("inspections"),
-                     shared_dir(spark, "inspections"))
+                     shared_dir(spark, "inspections"), by=["property_id"])  # an entity's records are alike
 
 
 @query("C1_ingest_stream", INS + f"SELECT {TYPED_SQL} FROM fx_inspections")

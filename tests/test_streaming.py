@@ -44,3 +44,14 @@ def test_restart_appends_only_new_pages(spark):
     assert out.count() == 450 and out.select("_id").distinct().count() == 450
     row = out.filter("_id = 7").first()
     assert str(row.resultdttm) == "2001-02-03 04:05:06" and row.issdttm is None
+
+
+def test_ingest_moves_the_records_of_an_entity_together(spark):
+    landing, table = shared_dir(spark, "land"), "ingested_together"
+    df = _batch(spark, 0, 900).withColumn("property_id", F.when(F.col("_id") % 3 > 0, (F.col("_id") % 3).cast("string")))
+    PG.write_pages(df.repartition(6), landing, 100)
+    written = shared_dir(spark, "table")
+    out = PG.ingest(spark, landing, RECORD_SCHEMA, ["resultdttm", "issdttm"], table, written, by=["property_id"])
+    rows = out.groupBy("property_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_id").alias("ids"))
+    assert sorted(((r.property_id, r.n, r.ids) for r in rows.collect()), key=str) == [("1", 300, 300), ("2", 300, 300), (None, 300, 300)]
+    spark.sql(f"DROP TABLE {table}")
