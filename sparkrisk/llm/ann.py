@@ -2,7 +2,8 @@
 
 Each of several orderings projects the vectors to a few random directions, shifts them, and
 sorts them along the Hilbert curve of that small space. Spark range-partitions the curve keys;
-ranks along the curve cut every ordering into blocks of ``block_rows`` neighbours. A query goes
+ranks along the curve cut every ordering into blocks of ``block_rows`` neighbours, or of a quarter of the
+window's half in a large table. A query goes
 to the blocks within ``window`` (a share of the table) around its own place, is compared there
 with the original vectors in double precision, and the best of all orderings are merged.
 
@@ -34,6 +35,11 @@ DIMENSIONS = 4
 BITS = 12
 WINDOW = 0.2
 BLOCK_ROWS = 2048
+# Most numbers of a block that is larger than BLOCK_ROWS, and scores held at a time.
+BLOCK_VALUES = 1 << 22
+SCORES = 1 << 22
+# Scores of which only the greatest is looked at first.
+GROUP = 16
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -80,6 +86,35 @@ def _projections(dim: int, orderings: int, dimensions: int, seed: int) -> tuple[
     return p.T, rng.random(orderings * dimensions)
 
 
+def _best(queries: np.ndarray, own: np.ndarray, base: np.ndarray, longest: float, ids: np.ndarray, sizes: np.ndarray,
+          k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best entries of a block for each query, itself excluded: how many, and one after the other
+    the negative scores and ids. ``sizes`` has the number of ``ids`` of every entry, ``longest`` the norm of
+    the longest entry."""
+    score = queries @ base.T
+    take = min(k + 1, len(base))
+    # The greatest of each of many groups: the least of the best of those is no more than that of all.
+    groups = len(base) // GROUP
+    bound = score[:, : groups * GROUP].reshape(len(score), GROUP, groups).max(1) if groups >= 4 * take else score
+    least = np.partition(bound, bound.shape[1] - take, axis=1)[:, bound.shape[1] - take]
+    # The product of matrices and the product of a pair may differ in their last bits.
+    slack = 1e-12 * np.maximum(1.0, np.linalg.norm(queries, axis=1) * longest)
+    row, entry = np.divmod(np.flatnonzero(score >= (least - slack)[:, None]), len(base))
+    d = -np.vecdot(queries[row], base[entry])
+    # One candidate for each id of an entry.
+    many = sizes[entry]
+    first = (np.cumsum(sizes) - sizes)[entry]
+    row, d = np.repeat(row, many), np.repeat(d, many)
+    x = ids[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(len(row))]
+    other = x != own[row]
+    row, d, x = row[other], d[other], x[other]
+    order = np.lexsort((x, d, row))
+    row, d, x = row[order], d[order], x[order]
+    n = np.bincount(row, minlength=len(queries))
+    kept = np.arange(len(row)) - (np.cumsum(n) - n)[row] < k
+    return np.minimum(n, k), d[kept], x[kept]
+
+
 def nearest(vectors: DataFrame, k: int = 20, query: Column | None = None, key: str = "vec_id", vector: str = "embedding",
             orderings: int = ORDERINGS, dimensions: int = DIMENSIONS, bits: int = BITS, window: float = WINDOW,
             block_rows: int = BLOCK_ROWS, seed: int = 1) -> DataFrame:
@@ -145,52 +180,55 @@ def nearest(vectors: DataFrame, k: int = 20, query: Column | None = None, key: s
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = sorted_.join(counts, (F.col("o") == F.col("co")) & (F.col("part") == F.col("cp"))).select(
         "o", "q", "id", (F.col("place") - F.col("first") + F.col("base")).alias("at"))
-    width = F.lit(max(1, int(window * total / 2)))
+    width = max(1, int(window * total / 2))
+    # A query moves once for every block of its window: in a large table blocks grow with the window.
+    block_rows = max(block_rows, min(width // 4, BLOCK_VALUES // dim))
+    width = F.lit(width)
     block = lambda c: F.greatest(F.floor(c / block_rows), F.lit(0)).cast("int")
     span = F.sequence(block(F.col("at") - width), block(F.col("at") + width))
     places = ranked.select("q", "id", "o", F.explode(F.when(F.col("q"), span).otherwise(F.array(block(F.col("at"))))).alias("block"))
-    work = places.join(nodes, ["q", "id"]).repartition("o", "block").sortWithinPartitions("o", "block", "q", "id")
+    # Their number is given: adaptive execution would merge tasks by their bytes, of which the search has few.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    work = places.join(nodes, ["q", "id"]).repartition(tasks, "o", "block").sortWithinPartitions("o", "block", "q", "id")
 
     def search(batches: Iterator) -> Iterator:
-        here, known, ids = None, [], []
-        base = np.zeros((0, dim))
+        here, known, lists, block_of = None, [], [], None
         for b in batches:
             o, blocks, is_query = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
             vecs, id_lists = _matrix(b.column(4)), b.column(3)
             code = o.astype(np.int64) << 40 | blocks
             cuts = [0, *(np.nonzero((np.diff(code) != 0) | (np.diff(is_query.astype(np.int8)) != 0))[0] + 1).tolist(), len(o)]
-            found = []
             for a, z in zip(cuts[:-1], cuts[1:]):
                 if a == z:
                     continue
                 if here != code[a]:
-                    here, known, ids, base = code[a], [], [], np.zeros((0, dim))
+                    here, known, lists, block_of = code[a], [], [], None
                 if not is_query[a]:
                     known.append(vecs[a:z])
-                    ids += id_lists.slice(a, z - a).to_pylist()
-                    base = np.concatenate(known)
+                    lists.append(id_lists.slice(a, z - a))
+                    block_of = None
                     continue
-                if not len(base):
+                if not known:
                     continue
-                score = vecs[a:z] @ base.T
-                take = min(k + 1, len(base))
-                least = np.partition(score, len(base) - take, axis=1)[:, len(base) - take]
-                # The product of matrices and the product of a pair may differ in their last bits.
-                slack = 1e-12 * np.maximum(1.0, np.linalg.norm(vecs[a:z], axis=1) * np.linalg.norm(base, axis=1).max())
-                for i in range(z - a):
-                    own = id_lists[a + i].as_py()[0]
-                    near = [(-float(vecs[a + i] @ base[j]), x) for j in np.nonzero(score[i] >= least[i] - slack[i])[0].tolist() for x in ids[j] if x != own]
-                    near.sort()
-                    if near[:k]:
-                        found.append((own, near[:k]))
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], pa.int64()),
-                     pa.array([[{"d": d, "id": i} for d, i in f[1]] for f in found],
-                              pa.list_(pa.struct([("d", pa.float64()), ("id", pa.int64())])))], names=["query_id", "near"])
+                if block_of is None:
+                    base, every = np.concatenate(known), pa.concat_arrays(lists)
+                    known, lists = [base], [every]
+                    block_of = (base, np.linalg.norm(base, axis=1).max(), every.flatten().to_numpy(), np.diff(every.offsets.to_numpy()))
+                own = id_lists.slice(a, z - a).flatten().to_numpy()
+                step = max(1, SCORES // len(block_of[0]))
+                for i in range(0, z - a, step):
+                    n, d, x = _best(vecs[a + i : min(a + i + step, z)], own[i : i + step], *block_of, k)
+                    some = n > 0
+                    if some.any():
+                        near = pa.StructArray.from_arrays([pa.array(d), pa.array(x)], names=["d", "id"])
+                        ends = pa.array(np.concatenate([[0], np.cumsum(n[some])]), pa.int32())
+                        yield pa.RecordBatch.from_arrays([pa.array(own[i : i + step][some]), pa.ListArray.from_arrays(ends, near)],
+                                                         names=["query_id", "near"])
 
     found = work.select("o", "block", "q", "ids", "v").mapInArrow(search, "query_id long, near array<struct<d:double,id:long>>")
-    best = found.groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    best = best.select("query_id", F.posexplode(F.slice(F.array_sort("near"), 1, k)).alias("pos", "n"))
+    # Sorted first: equal entries then stand side by side, and are not looked for in the whole list.
+    best = found.groupBy("query_id").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+    differs = lambda x, i: (i == 0) | (x != F.get("near", i - 1))
+    best = best.select("query_id", F.posexplode(F.slice(F.filter("near", differs), 1, k)).alias("pos", "n"))
     return best.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("n.id").alias("vec_id"),
                        (-F.col("n.d")).alias("score"))

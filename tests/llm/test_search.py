@@ -22,6 +22,41 @@ def test_hilbert_neighbours_touch():
         assert (np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(1) == 1).all()
 
 
+def test_best_of_a_block_as_one_query_after_the_other():
+    rng = np.random.default_rng(3)
+    for n, d, k in ((1, 3, 5), (30, 4, 20), (900, 8, 5), (2500, 16, 20)):
+        base = np.round(rng.normal(size=(n, d)) * 2)  # many equal scores
+        ids = [sorted(rng.integers(0, 4000, int(rng.integers(1, 4))).tolist()) for _ in range(n)]
+        asked = rng.integers(0, n, 40)
+        own = np.array([ids[j][0] for j in asked])
+        many, far, got = ann._best(base[asked], own, base, np.linalg.norm(base, axis=1).max(), np.array(sum(ids, [])),
+                                   np.array([len(x) for x in ids]), k)
+        ends = np.cumsum(many)
+        for j, a, a_z, me in zip(asked, ends - many, ends, own):
+            want = sorted((-float(base[j] @ base[e]), x) for e in range(n) for x in ids[e] if x != me)[:k]
+            assert list(zip(far[a:a_z].tolist(), got[a:a_z].tolist())) == want
+
+
+def test_op1_a_query_visits_few_blocks_of_a_large_table(llm, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(2000)]
+    vectors = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame, blocks = type(vectors), []
+    plain = frame.mapInArrow
+
+    def counted(df, f, schema):
+        if "near" in str(schema):
+            blocks.append(df.select("o", "block").distinct().count())
+        return plain(df, f, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    got = ann.nearest(vectors, k=5, query=vectors["vec_id"] % 20 == 0, block_rows=2).collect()
+    assert blocks[0] <= 8 * 50  # 1,000 blocks of 2 in each of 8 orderings otherwise
+    want = brute_nearest(rows, 5, lambda i: i % 20 == 0)
+    found = {(r.query_id, r.vec_id) for r in got}
+    assert sum((q, i) in found for q, near in want.items() for _, i in near) >= 0.9 * 5 * len(want)
+
+
 def brute_nearest(rows, k, query):
     ok = {i: np.array(v, float) for i, v in rows}
     out = {}
