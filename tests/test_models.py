@@ -203,3 +203,12 @@ def test_grid_search_encodes_once_a_fold(spark, monkeypatch):
 def test_fits_side_by_side_follow_their_tasks(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [MD.fits_at_once(spark.range(0, 100, 1, n), 4) for n in (1, 2 * cores, 3 * cores, 9 * cores)] == [min(4, 3 * cores), 2, 1, 1]
+
+
+def test_a_fit_keeps_only_what_it_reads(spark, monkeypatch):
+    rows = [("k" * 50, "a", f"d{i % 3}", "c", "z", i, i % 7, 0, 1, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, ["__key", *MD.CATEGORICAL_FEATURES, *MD.NUMERIC_FEATURES, MD.LABEL])
+    kept = []
+    monkeypatch.setattr(MD, "fit", lambda train, **params: kept.append((train.columns, train.is_cached, train.count())))
+    MD.fit_kept(df)
+    assert kept == [([*MD.CATEGORICAL_FEATURES, *MD.NUMERIC_FEATURES, MD.LABEL], True, 40)]
